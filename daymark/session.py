@@ -28,6 +28,7 @@ def local_session(cores: int = 8, name: str = "daymark") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
     )

@@ -48,7 +48,7 @@ ROLES: dict[str, str] = {
                CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END AS active_yesno,
                CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END AS booked_yesno,
                CAST(o_orderdate AS DATE) AS booking_date,
-               CAST(o_totalprice / 100 AS DECIMAL(18,2)) AS booked_amortization_amount,
+               CAST(floor(o_totalprice / 100) AS DECIMAL(18,2)) AS booked_amortization_amount,
                CASE WHEN o_totalprice > 400000 THEN '30' WHEN o_totalprice > 300000 THEN 'n/a' ELSE '0' END
                    AS days_past_due,
                last_day(CAST(o_orderdate AS DATE)) AS reporting_date
@@ -63,7 +63,7 @@ ROLES: dict[str, str] = {
                CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS active_yesno,
                CASE WHEN o_totalprice > 100000 THEN 1 ELSE 0 END AS booked_yesno,
                CAST(o_orderdate AS DATE) AS booking_date,
-               CAST(o_totalprice / 100 AS DECIMAL(18,2)) AS booked_amortization_amount,
+               CAST(floor(o_totalprice / 100) AS DECIMAL(18,2)) AS booked_amortization_amount,
                CASE WHEN o_totalprice > 450000 THEN '30' ELSE '0' END AS days_past_due,
                DATE '1998-05-31' AS reporting_date
         FROM {orders}
