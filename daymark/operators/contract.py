@@ -168,9 +168,9 @@ def conform(
     for spec in contract.columns:
         if spec.name.lower() in present:
             column = F.col(f"`{present[spec.name.lower()]}`")
-            chosen.append((column.cast(spec.spark_type) if cast else column).alias(spec.name))
+            chosen.append((column.cast(spec.data_type) if cast else column).alias(spec.name))
         elif pad:
-            chosen.append(F.lit(None).cast(spec.spark_type).alias(spec.name))
+            chosen.append(F.lit(None).cast(spec.data_type).alias(spec.name))
     return df.select(*chosen)
 
 

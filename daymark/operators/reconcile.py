@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 LEFT_ONLY, RIGHT_ONLY = "left_only", "right_only"
 BALANCE = "__balance"
+BLOCK = 1000
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -28,10 +29,17 @@ def difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def difference_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """The differing rows themselves, each as many times as it is in surplus."""
+    """The differing rows themselves, each as many times as it is in surplus.
+
+    A row with very many surplus copies is first split into blocks, which are spread over the tasks, so
+    that no task has to produce them all.
+    """
     found = difference(left, right)
-    repeated = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("__copy")
-    return found.select(*left.columns, repeated).drop("__copy")
+    block, size = F.col("__block"), F.lit(BLOCK).cast("long")
+    blocks = found.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / size))))
+    spread = blocks.repartition(*[F.col(f"`{name}`") for name in left.columns], block)
+    in_block = F.least(size, F.col("copies") - block * size).cast("int")
+    return spread.select(*left.columns, F.explode(F.array_repeat(F.lit(0), in_block)).alias("__copy")).drop("__copy")
 
 
 def difference_count(left: DataFrame, right: DataFrame) -> int:

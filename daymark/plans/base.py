@@ -9,6 +9,7 @@ split. Inputs keyed by account or card are joined on their own keys, also after
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from daymark.functions.bounds import DateLike, RunBounds, day, whole_months, who
 from daymark.functions.cleaning import empty_to_null, present
 from daymark.functions.contacts import normalize_landline, normalize_mobile
 from daymark.operators.contract import TableContract, conform
-from daymark.operators.dedup import any_per_key, distinct_keys, first_per_key
+from daymark.operators.dedup import any_per_key, distinct_keys
 from daymark.operators.joins import enrich_known, joined_key
 from daymark.operators.rollups import any_flag, any_flags, average_between, max_where
 from daymark.plans.contracts import CROSS_SELL_BASE, STAGING_BASE
@@ -51,15 +52,26 @@ ACCOUNT_COLUMNS = (
 
 def accounts(customer_account: DataFrame) -> DataFrame:
     """One row per (customer, account): the row with the highest card tag, plus the do-not-call flag of
-    all its copies."""
+    all its copies.
+
+    Both come out of one grouped pass; the smallest struct is the wanted row, because its first fields are
+    the reversed tag and the rest only breaks ties.
+    """
     keys = ["bbnumber", "accountnumber"]
-    do_not_call = any_flags(customer_account, keys, {"dnc_tag": F.col("dnc_tag") > 0})
-    named = customer_account.select(*ACCOUNT_COLUMNS)
-    for key in ("bbnumber", "account_basic_number", "accountnumber"):
-        named = named.where(empty_to_null(key).isNotNull())
-    rest = [F.col(name) for name in ACCOUNT_COLUMNS if name not in {*keys, "credit_card_tag"}]
-    chosen = first_per_key(named, keys, [F.col("credit_card_tag").desc(), *rest])
-    return chosen.join(do_not_call, keys, "left")
+    rest = [name for name in ACCOUNT_COLUMNS if name not in keys]
+    named = present_key("bbnumber") & present_key("account_basic_number") & present_key("accountnumber")
+    untagged = F.col("credit_card_tag").isNull().alias("untagged")
+    ranked = F.struct(untagged, (-F.col("credit_card_tag")).alias("tag"), *[F.col(name) for name in rest])
+    grouped = customer_account.groupBy(*keys).agg(
+        F.min(F.when(named, ranked)).alias("chosen"), any_flag(F.col("dnc_tag") > 0).alias("dnc_tag")
+    )
+    return grouped.where(F.col("chosen").isNotNull()).select(
+        *keys, *[F.col("chosen")[name].alias(name) for name in rest], "dnc_tag"
+    )
+
+
+def present_key(name: str) -> Column:
+    return empty_to_null(name).isNotNull()
 
 
 def application_flags(
@@ -225,9 +237,14 @@ def branch_summary(classes: DataFrame, branches: DataFrame) -> DataFrame:
     return any_per_key(named, ["bbn"]).join(listing, "branch_key", "left").drop("branch_key")
 
 
-def _listed(df: DataFrame, key: str, flag: str) -> DataFrame:
-    """Customers on a list, with a marker column."""
-    return distinct_keys(df.select(F.col(key).alias("bbn")), ["bbn"]).withColumn(flag, F.lit(1))
+def list_flags(lists: Mapping[str, DataFrame]) -> DataFrame:
+    """Customer lists, each a frame whose first column is the customer, as one row of flags per customer.
+
+    All lists go through one grouped pass and later one join, however many there are.
+    """
+    mark = "__list"
+    marked = [df.select(F.col(df.columns[0]).alias("bbn"), F.lit(flag).alias(mark)) for flag, df in lists.items()]
+    return any_flags(reduce(DataFrame.union, marked), ["bbn"], {flag: F.col(mark) == flag for flag in lists})
 
 
 def _one(df: DataFrame, key: str, columns: Mapping[str, str | Column]) -> DataFrame:
@@ -255,18 +272,21 @@ def customer_inputs(t: Tables, run_date: DateLike, as_declared_write_off: bool =
     }
     abt = {"payroll_salary_cr_avg_6m": "payroll_salary_cr_avg_6m", "trb_amt_m0": "trb_amt_m0"}
     employment = {n: n for n in ("employer_name", "occupation_details_text", "nature_of_work_code")}
+    lists = {
+        "is_with_cc_propensity_flag": t["ptbcasatocc"].select("bbn"),
+        "is_dosri_flag": t["dosri_distinct"].select("bbn_winner"),
+        "is_enfis_flag": t["enfis_bbn"].select("bbn"),
+        "is_risk_industry_flag": t["ref_risk_industry"].select("bbn"),
+        "is_with_pl_flag": t["pl_active_accounts"].select("bbn"),
+        "is_with_pl_acct_woff_flag": write_offs.select("bbn"),
+        "is_with_salad_flag": t["salad_accounts"].select("bbn"),
+    }
     return [
         _one(t["dim_cust_indiv_pii"], "bbn", pii),
-        _listed(t["ptbcasatocc"], "bbn", "is_with_cc_propensity_flag"),
-        _listed(t["dosri_distinct"], "bbn_winner", "is_dosri_flag"),
+        list_flags(lists),
         branch_summary(t["dim_cust_class"], t["branch_listing"]),
         _one(t["depo_segmentation_v2"], "bbnumber", {"new_segment": "new_segment"}),
-        _listed(t["enfis_bbn"], "bbn", "is_enfis_flag"),
-        _listed(t["ref_risk_industry"], "bbn", "is_risk_industry_flag"),
         product_flags(t["df_pm_eq"], t["staging_pm_al_non_grid_application_data"], t["pm_application"], run_date),
-        _listed(t["pl_active_accounts"], "bbn", "is_with_pl_flag"),
-        _listed(write_offs, "bbn", "is_with_pl_acct_woff_flag"),
-        _listed(t["salad_accounts"], "bbn", "is_with_salad_flag"),
         _one(t["df_abt_customer"], "bbnumber", abt),
         card_application_flag(t["credit_card_processing_tu"], run_date),
         _one(t["incomeestimatorv2"], "bbn", {"label": "label"}),
@@ -308,8 +328,9 @@ def staging_base(t: Tables, run_date: DateLike, as_declared_write_off: bool = Fa
             "credit_card_card_no": "credit_card_physical_num",
         }
     )
+    customers = t["df_customer_account"].select(F.col("bbnumber").alias("bbn")).where(present_key("bbn"))
     profile = customer_profile(
-        distinct_keys(spine, ["bbn"]), customer_inputs(t, run_date, as_declared_write_off)
+        distinct_keys(customers, ["bbn"]), customer_inputs(t, run_date, as_declared_write_off)
     )
     balances = balance_3m(t["df_adb"], run_date).withColumnRenamed("account_number", "external_acct_num")
     cards = card_profile(t["df_cards_accounts"], t["winnow_b_score_cc"], run_date).withColumnRenamed(

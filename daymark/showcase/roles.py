@@ -271,7 +271,9 @@ class TestTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        setattr(self, name, df)  # one schema lookup per table and query
+        return df
 
     def role(self, name: str) -> DataFrame:
         text = ROLES[name]

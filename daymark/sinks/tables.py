@@ -171,25 +171,39 @@ def save_table(
 # --- versioned tables -------------------------------------------------------------------------------
 
 
-def write_scd2_step(step: DataFrame, table: str, action: str = "scd_action", closed: str = "closed") -> None:
+def write_scd2_step(
+    step: DataFrame, table: str, action: str = "scd_action", closed: str = "closed", resume_keys: Sequence[str] = ()
+) -> None:
     """Apply an ``scd2_step`` to its table, which is partitioned by the current flag.
 
     Rows closed by the run are appended to the history; the current partition is then replaced. The
-    step is settled first, because its input is the very partition that gets replaced.
+    step is settled first, because its input is the very partition that gets replaced. A run that broke
+    off between the two writes is repeated with ``resume_keys`` (business keys and start date): closed
+    rows that are in the history already are then not appended again.
     """
     rows = settle(step)
-    write_table(rows.where(F.col(action) == closed).drop(action), table, mode="append")
+    ended = rows.where(F.col(action) == closed).drop(action)
+    if resume_keys:
+        history = step.sparkSession.table(table).where("current_row_flag = 'N'").select(*resume_keys)
+        ended = settle(ended.join(history, list(resume_keys), "left_anti"))
+    write_table(ended, table, mode="append")
     write_table(rows.where(F.col(action) != closed).drop(action), table, mode="overwrite")
 
 
 # --- upkeep -----------------------------------------------------------------------------------------
 
 
-def compact(spark: SparkSession, table: str, order: Sequence[str], tasks: int | None = None) -> None:
-    """Rewrite a table sorted: rows in global key ranges, sorted inside each file."""
-    df = settle(spark.table(table))
-    ranged = df.repartitionByRange(tasks, *order) if tasks else df.repartitionByRange(*order)
-    write_table(ranged.sortWithinPartitions(*order), table, clustered=False)
+def compact(
+    spark: SparkSession, table: str, order: Sequence[str], where: str | None = None, tasks: int | None = None
+) -> None:
+    """Rewrite a table sorted: rows in global key ranges, sorted inside each file.
+
+    ``where`` picks whole partitions; the others are left as they are. The rows go through the shared
+    folder, since a table cannot be replaced while it is being read.
+    """
+    chosen = spark.table(table) if where is None else spark.table(table).where(where)
+    ranged = chosen.repartitionByRange(tasks, *order) if tasks else chosen.repartitionByRange(*order)
+    write_table(settle(ranged.sortWithinPartitions(*order)), table, clustered=False)
 
 
 def copy_table(spark: SparkSession, table: str, copy: str, path: str, validate: bool = True) -> None:
