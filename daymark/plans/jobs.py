@@ -16,7 +16,7 @@ from daymark.operators.quality import check_table
 from daymark.plans import base, offers
 from daymark.plans.contracts import CONTRACTS, CROSS_SELL_BASE, STAGING_BASE
 from daymark.sinks.tables import create_table, write_table, write_with_metrics
-from daymark.sources.registry import Reader, Sources
+from daymark.sources.registry import SOURCES, CatalogReader, Reader, Sources
 
 JOBS = (STAGING_BASE.name, CROSS_SELL_BASE.name, *offers.BUILDERS)
 
@@ -33,9 +33,16 @@ def build(name: str, tables: Mapping[str, DataFrame], run_date: DateLike, **opti
 def own_or_source(spark: SparkSession, database: str, source: Reader) -> Reader:
     """Reads produced tables from their database and everything else from ``source``."""
 
+    own = CatalogReader(spark, database)
+
     def read(name: str) -> DataFrame:
-        return spark.table(f"{database}.{name}") if name in CONTRACTS else source(name)
+        return own(name) if name in CONTRACTS else source(name)
 
+    if isinstance(source, CatalogReader):
+        names = {name: database for name in CONTRACTS}
+        elsewhere = source.database
+        others = elsewhere if isinstance(elsewhere, Mapping) else {s.table: elsewhere for s in SOURCES.values()}
+        return CatalogReader(spark, {**others, **names})
     return read
 
 

@@ -6,10 +6,11 @@ turns it into a DataFrame; cleaning comes before the filters, so filters see cle
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import datetime as dt
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from daymark.functions.bounds import DateLike
 from daymark.functions.cleaning import clean_strings
@@ -18,9 +19,34 @@ from daymark.sources import snapshots
 
 Reader = Callable[[str], DataFrame]
 
+# Written by the loader itself, so there is nothing to clean; left as they are, filters on them prune partitions.
+TECHNICAL = ("current_row_flag", "row_hash_value", "ctrl_create_user_id", "ctrl_last_update_user_id")
+
 LIVE = "current_row_flag = 'Y' AND row_eff_end_date IS NOT NULL"
 
 
+@dataclass(frozen=True)
+class CatalogReader:
+    """Reads catalog tables; where the snapshot column partitions a table, its latest date comes from the
+    partition names instead of a scan. ``database`` is one name, or a name per table."""
+
+    spark: SparkSession
+    database: str | Mapping[str, str]
+
+    def qualified(self, table: str) -> str:
+        database = self.database if isinstance(self.database, str) else self.database[table]
+        return f"{database}.{table}"
+
+    def __call__(self, table: str) -> DataFrame:
+        return self.spark.table(self.qualified(table))
+
+    def latest_date(self, table: str, run_date: DateLike, column: str) -> dt.date:
+        name = self.qualified(table)
+        if column in [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]:
+            return snapshots.latest_partition(self.spark, name, run_date, column)
+        return snapshots.latest_date(self(table), run_date, column)
+
+
 @dataclass(frozen=True)
 class Source:
     """One read: ``mode`` is 'full', 'last', 'exact' or a number of trailing months."""
@@ -33,10 +59,13 @@ class Source:
     mobile: tuple[str, ...] = ()
     landline: tuple[str, ...] = ()
 
-    def select(self, df: DataFrame, run_date: DateLike) -> DataFrame:
+    def select(self, reader: Reader, run_date: DateLike) -> DataFrame:
+        df = reader(self.table)
         if isinstance(self.mode, int):
             return snapshots.month_period(df, run_date, self.mode, self.column)
         if self.mode == "last":
+            if isinstance(reader, CatalogReader):
+                return snapshots.exact(df, reader.latest_date(self.table, run_date, self.column), self.column)
             return snapshots.last(df, run_date, self.column)
         if self.mode == "exact":
             return snapshots.exact(df, run_date, self.column)
@@ -124,7 +153,7 @@ for _product in ("al", "cc", "hl"):
 
 
 def load(source: Source, reader: Reader, run_date: DateLike) -> DataFrame:
-    df = clean_strings(source.select(reader(source.table), run_date), skip=source.skip_cleaning)
+    df = clean_strings(source.select(reader, run_date), skip=(*source.skip_cleaning, *TECHNICAL))
     if source.mobile:
         df = clean_mobile_columns(df, source.mobile)
     if source.landline:

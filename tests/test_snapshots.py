@@ -5,7 +5,7 @@ import pytest
 from daymark.operators.contract import TableContract
 from daymark.sinks import tables
 from daymark.sources import snapshots as S
-from daymark.sources.registry import SOURCES, Source, Sources, load
+from daymark.sources.registry import SOURCES, CatalogReader, Source, Sources, load
 
 D = dt.date
 
@@ -82,6 +82,28 @@ def test_source_cleans_before_it_filters(spark):
     assert [(r["flag"], r["phone"]) for r in got] == [("Y", "639171234567")]
 
 
+def test_live_filter_reaches_the_scan(spark, plan, tmp_path):
+    rows = spark.createDataFrame(
+        [(" a ", "Y", D(9999, 12, 31)), ("b", "Y", None), ("c", "N", D(2023, 1, 1))],
+        "bbn string, current_row_flag string, row_eff_end_date date",
+    )
+    rows.write.partitionBy("current_row_flag").parquet(str(tmp_path / "dim"))
+    live = load(SOURCES["dim_cust_indiv"], lambda _: spark.read.parquet(str(tmp_path / "dim")), "2023-01-10")
+    assert [r["bbn"] for r in live.collect()] == ["a"]
+    text = plan(live)
+    assert "(current_row_flag" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "IsNotNull(row_eff_end_date)" in text
+
+
+def test_catalog_reader_takes_dates_from_partitions(spark, daily, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS gaps")
+    contract = TableContract.from_ddl("enfis_bbn", "n int, actual_date date", partitions=("actual_date",))
+    tables.create_table(spark, "gaps.enfis_bbn", contract, str(tmp_path / "enfis"))
+    tables.write_table(daily, "gaps.enfis_bbn", contract)
+    reader = CatalogReader(spark, {"enfis_bbn": "gaps"})
+    assert days(load(SOURCES["enfis_bbn"], reader, "2023-01-09")) == [D(2023, 1, 5)]
+
+
 def test_registry(spark):
     assert {s.mode for s in SOURCES.values()} <= {"full", "last", "exact", 1, 2, 4, 13}
     assert len([n for n in SOURCES if n.endswith("_for_month")]) == 6
