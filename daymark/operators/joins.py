@@ -22,21 +22,36 @@ def joined_key(*columns: Column | str) -> Column:
     return F.concat(*[F.trim(F.col(c) if isinstance(c, str) else c) for c in columns])
 
 
+FRESH = "__fresh"
+
+
+def join_splitting(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join in which AQE can split the tasks of a hot left key.
+
+    AQE splits a join only when both sides come straight out of a shuffle. A right side that was just
+    grouped by the key keeps its partitioning and would take the left rows of a hot key into one task.
+    The hash of the keys as one more join column makes both sides shuffle anew.
+    """
+    fresh = F.xxhash64(*on)
+    return left.withColumn(FRESH, fresh).join(right.withColumn(FRESH, fresh), [*on, FRESH], how).drop(FRESH)
+
+
 def enrich(left: DataFrame, right: DataFrame, on: Sequence[str], one_per_key: bool = True) -> DataFrame:
     """Left join that cannot multiply rows: the right side is reduced to one row per key first."""
-    return left.join(any_per_key(right, on) if one_per_key else right, list(on), "left")
+    return join_splitting(left, any_per_key(right, on) if one_per_key else right, on)
 
 
 def enrich_known(left: DataFrame, right: DataFrame, key: str, scatter: Sequence[str]) -> DataFrame:
     """Left join on a text key that many left rows lack.
 
     Rows without a key would all meet in one task, so each gets a key of its own, made from the
-    ``scatter`` columns, that matches nothing.
+    ``scatter`` columns, that matches nothing. Hot keys can be split as in ``join_splitting``.
     """
     joint = "__joint"
     spread = F.concat(F.lit("\x00"), F.xxhash64(*scatter).cast("string"))
     keyed = left.withColumn(joint, F.when(is_blank(key), spread).otherwise(F.col(key)))
-    return keyed.join(right.where(~is_blank(key)).withColumnRenamed(key, joint), joint, "left").drop(joint)
+    known = right.where(~is_blank(key)).withColumnRenamed(key, joint)
+    return join_splitting(keyed, known, [joint]).drop(joint)
 
 
 def require(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions.bounds import DateLike, day
 from daymark.functions.cleaning import clean_strings
+from daymark.operators.joins import join_splitting
 from daymark.operators.sequence import number_rows
 from daymark.sources.versions import CURRENT, END, OPEN_END, START, current, versions_as_of
 
@@ -224,11 +225,11 @@ def scd2_repair(target: DataFrame, keys: Sequence[str]) -> DataFrame:
         .distinct()
     )
     best_chained = (
-        ranked.join(chained, group, "left_semi")
+        join_splitting(ranked, chained, group, "left_semi")
         .groupBy(*group)
         .agg(F.min("__rank").alias("__best_chained"))
     )
-    judged = ranked.join(best_current, list(keys), "left").join(best_chained, group, "left")
+    judged = join_splitting(join_splitting(ranked, best_current, keys), best_chained, group)
     in_current_group = (F.col(CURRENT) == "Y") & F.col("__best_current").isNotNull()
     in_chain = F.col("__best_chained").isNotNull()
     survives = (F.col("__rank") == F.col("__best_current")) | ~F.coalesce(in_current_group, F.lit(False))

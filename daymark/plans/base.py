@@ -2,8 +2,8 @@
 
 Shape of the plan: every customer-level input is first reduced to one row per customer and joined into
 one customer profile - joins of unique keys, which cannot skew or multiply rows. The account rows, where
-a single customer may own a large share, meet that profile in one join only, whose hot partitions AQE can
-split. Inputs keyed by account or card are joined on their own keys, also after reduction.
+a single customer may own a large share, meet that profile in one join only, set up so that AQE can split a
+hot customer's rows over several tasks. Inputs keyed by account or card are joined the same way.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from daymark.functions.cleaning import empty_to_null, present
 from daymark.functions.contacts import normalize_landline, normalize_mobile
 from daymark.operators.contract import TableContract, conform
 from daymark.operators.dedup import any_per_key, distinct_keys
-from daymark.operators.joins import enrich_known, joined_key
+from daymark.operators.joins import enrich_known, join_splitting, joined_key
 from daymark.operators.rollups import any_flag, any_flags, average_between, max_where
 from daymark.plans.contracts import CROSS_SELL_BASE, STAGING_BASE
 from daymark.sources.snapshots import previous_month_end
@@ -234,7 +234,7 @@ def branch_summary(classes: DataFrame, branches: DataFrame) -> DataFrame:
         "cust_category_desc",
         F.trim("acct_origin_branch_code").alias("branch_key"),
     )
-    return any_per_key(named, ["bbn"]).join(listing, "branch_key", "left").drop("branch_key")
+    return join_splitting(any_per_key(named, ["bbn"]), listing, ["branch_key"]).drop("branch_key")
 
 
 def list_flags(lists: Mapping[str, DataFrame]) -> DataFrame:
@@ -341,10 +341,10 @@ def staging_base(t: Tables, run_date: DateLike, as_declared_write_off: bool = Fa
         ["internal_acct_num"],
     )
     account = ["bbn", "external_acct_num"]
-    wide = spine.join(balances, "external_acct_num", "left")
+    wide = join_splitting(spine, balances, ["external_acct_num"])
     wide = enrich_known(wide, cards, "credit_card_physical_num", account)
     wide = enrich_known(wide, payroll, "internal_acct_num", account)
-    wide = wide.join(profile, "bbn", "left")
+    wide = join_splitting(wide, profile, ["bbn"])
     flags = [c.name for c in STAGING_BASE.columns if c.name.startswith("is_") and c.name in wide.columns]
     derived = {
         **{name: _count(name) for name in flags},

@@ -1,8 +1,8 @@
 """The six offer tables: pre-approved amounts (STP) and likely buyers (PTB) for three products.
 
-Every job has the same shape: rules cut the base down first, then customers barred by loans or by an
-unexpired offer are dropped, one row per customer is kept, and only the survivors are priced, numbered
-and widened to the declared columns.
+Every job has the same shape: rules cut the base down first and one row per customer is kept, which is done
+inside the map tasks; then customers barred by loans or by an unexpired offer are dropped - joins of unique
+keys - and only the survivors are priced, numbered and widened to the declared columns.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from daymark.functions.codes import build_code, last_sequence
 from daymark.functions.contacts import is_valid_email, yes_no
 from daymark.operators.contract import TableContract, conform
 from daymark.operators.dedup import any_per_key, first_per_key
-from daymark.operators.joins import active_offers, exclude, exclude_active, fan_out
+from daymark.operators.joins import active_offers, exclude, exclude_active, fan_out, join_splitting
 from daymark.operators.rollups import any_flags
 from daymark.operators.rules import Tree, apply_rules
 from daymark.operators.sequence import number_rows
@@ -125,7 +125,8 @@ def auto_stp(
     base = eligible(t["staging_cross_sell_base"], rules)
     base = base if per_account else one_per_customer(base)
     checks = loans.auto_loan_checks(t["df_pm_eq"], run_date).where(F.col("loan_criteria_pass") == 1)
-    base = exclude(base.join(checks, "bbn"), loans.recent_auto_bookings(t["df_pm_eq"], run_date), ["bbn"])
+    cleared = exclude(checks, loans.recent_auto_bookings(t["df_pm_eq"], run_date), ["bbn"])
+    base = join_splitting(base, cleared, ["bbn"], "inner") if per_account else base.join(cleared, "bbn")
     offers = fan_out(base, [{"al_ratecode": c, "term": n, "rate_factor": f} for c, n, f in rates])
     amount = pricing.auto_loan_amount("adb_3m_avg", "amort_all_loans", "term", "rate_factor")
     offers = offers.withColumn("max_loan_amount", amount)
@@ -153,15 +154,11 @@ def card_stp(
     blank_is_missing: bool = True,
 ) -> DataFrame:
     """Card limits and card types."""
-    base = exclude(
-        eligible(t["staging_cross_sell_base"], rules),
-        loans.card_loan_exclusions(t["df_pm_eq"], run_date, exclude_good_loans),
-        ["bbn"],
-    )
+    barred = loans.card_loan_exclusions(t["df_pm_eq"], run_date, exclude_good_loans)
+    base = exclude(one_per_customer(eligible(t["staging_cross_sell_base"], rules)), barred, ["bbn"])
     raw = pricing.card_raw_limit("is_payroll_acct_flag", "payr_sal_6m_avg", "adb_3m_avg")
     offers = (
-        one_per_customer(base)
-        .withColumn("credit_limit", pricing.card_limit(raw))
+        base.withColumn("credit_limit", pricing.card_limit(raw))
         .withColumn("card_type", pricing.card_type("credit_limit"))
         .where(F.col("card_type").isNotNull())
     )
@@ -270,13 +267,13 @@ def contacted_customers(
     by_call = ((F.col("layoutid") == OFFER_LAYOUT) | (kind == "OFFER")) & (F.col("was_reached") == 1)
     # activity that counts, reduced to one row per lead before it meets the lead's customer
     per_lead = any_flags(
-        recent.withColumn("activity_key", F.col("activityid").cast("string"))
-        .join(answers.withColumn("has_answer", F.lit(1)), "statusid", "left")
+        join_splitting(recent, answers.withColumn("has_answer", F.lit(1)), ["statusid"])
+        .withColumn("activity_key", F.col("activityid").cast("string"))
         .join(reached, "activity_key", "left"),
         ["relatedtoid"],
         {"is_contacted": (F.col("has_answer") == 1) & (by_call | (kind == "LEAD"))},
     )
-    joined = per_lead.join(customers, "relatedtoid")
+    joined = join_splitting(customers, per_lead, ["relatedtoid"], "inner")
     return any_flags(joined, ["bbn"], {"is_contacted": F.col("is_contacted") > 0})
 
 
@@ -304,10 +301,10 @@ def auto_ptb(
     blocked_mailboxes: Sequence[str] = (),
 ) -> DataFrame:
     """Likely auto-loan buyers without an unexpired auto or card offer."""
-    base = eligible(t["staging_cross_sell_base"].where(present("bbn", blank_is_missing)), rules)
+    base = one_per_customer(eligible(t["staging_cross_sell_base"].where(present("bbn", blank_is_missing)), rules))
     for product, kind in (("AL", "STP"), ("CC", "PTB")):
         base = exclude_active(base, t[offers_name(product, kind)], run_date, include_run_date=True)
-    coded = numbered(one_per_customer(base), t[offers_name("AL", "PTB")], "AL", "PTB", run_date, ["bbn"])
+    coded = numbered(base, t[offers_name("AL", "PTB")], "AL", "PTB", run_date, ["bbn"])
     scored = coded.join(any_per_key(t["ptbcasatoal"].select("bbn", "propensity"), ["bbn"]), "bbn", "left")
     columns = {
         **_buyer_columns(run_date, "is_mobile_valid_flag", blank_is_missing, blocked_mailboxes),
@@ -325,9 +322,9 @@ def card_ptb(
     card_products_only: bool = False,
 ) -> DataFrame:
     """Likely card buyers without an unexpired card offer, with whether they were contacted lately."""
-    base = eligible(t["staging_cross_sell_base"], rules)
+    base = one_per_customer(eligible(t["staging_cross_sell_base"], rules))
     base = exclude_active(base, t[offers_name("CC", "STP")], run_date, include_run_date=True)
-    coded = numbered(one_per_customer(base), t[offers_name("CC", "PTB")], "CC", "PTB", run_date, ["bbn"])
+    coded = numbered(base, t[offers_name("CC", "PTB")], "CC", "PTB", run_date, ["bbn"])
     clusters = t["depo_clusters_v2"].select(F.col("bbnumber").alias("bbn"), "cluster_name")
     contacted = contacted_customers(
         t["activity"],
@@ -360,10 +357,10 @@ def home_ptb(
     blocked_mailboxes: Sequence[str] = (),
 ) -> DataFrame:
     """Likely home-loan buyers without any unexpired home, auto-buyer or card-buyer offer."""
-    base = eligible(t["staging_cross_sell_base"], rules)
+    base = one_per_customer(eligible(t["staging_cross_sell_base"], rules))
     for product, kind in (("HL", "STP"), ("AL", "PTB"), ("CC", "PTB")):
         base = exclude_active(base, t[offers_name(product, kind)], run_date, include_run_date=True)
-    coded = numbered(one_per_customer(base), t[offers_name("HL", "PTB")], "HL", "PTB", run_date, ["bbn"])
+    coded = numbered(base, t[offers_name("HL", "PTB")], "HL", "PTB", run_date, ["bbn"])
     scores = t["casatohlptb"].select("bbn", "hl_propensity_score")
     scored = coded.join(any_per_key(scores, ["bbn"]), "bbn", "left")
     columns = {
