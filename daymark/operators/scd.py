@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,11 +73,21 @@ def _has_control(df: DataFrame) -> bool:
 
 
 def _sides(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Both states of every key side by side, as structs ``old`` and ``new``."""
-    old = target.select(*[F.col(k).alias(f"old_{k}") for k in keys], F.struct(*target.columns).alias("old"))
-    new = source.select(*[F.col(k).alias(f"new_{k}") for k in keys], F.struct(*source.columns).alias("new"))
-    matched = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in keys]
-    return old.join(new, matched, "full_outer").select("old", "new")
+    """Both states of every key side by side, as structs ``old`` and ``new``.
+
+    Rows without a complete key match nothing; each gets a place of its own instead of all meeting in the
+    task of the NULL key.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        place = F.when(complete, F.lit(0).cast("long")).otherwise(F.xxhash64(*df.columns))
+        return df.select(
+            *[F.col(k).alias(f"{name}_{k}") for k in keys], place.alias(f"{name}_place"), F.struct(*df.columns).alias(name)
+        )
+
+    matched = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in [*keys, "place"]]
+    return side(target, "old").join(side(source, "new"), matched, "full_outer").select("old", "new")
 
 
 def scd2_step(
@@ -145,8 +157,14 @@ def scd2_step(
     return _sides(current_rows, hashed, keys).select(F.inline(versions))
 
 
-def scd2_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], run_date: DateLike, **options) -> DataFrame:
-    """The whole table after the source is applied."""
+def scd2_merge(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], run_date: DateLike, repair: bool = False, **options
+) -> DataFrame:
+    """The whole table after the source is applied; ``repair`` first removes repeated versions.
+
+    The keys are business keys: the source holds each of them once.
+    """
+    target = scd2_repair(target, keys) if repair else target
     step = scd2_step(current(target), source, keys, run_date, **options)
     history = target.where(~F.coalesce(F.col(CURRENT) == "Y", F.lit(False)))
     return history.unionByName(step.drop(ACTION))

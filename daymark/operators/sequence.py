@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from daymark.shared import settle
 
-SLOT, PART, BEFORE = "__slot", "__part", "__before"
+SLOT, PART, BEFORE, TIE = "__slot", "__part", "__before", "__tie"
 # monotonically_increasing_id() holds the partition number above this bit
 SLOT_BITS = 33
 
@@ -29,14 +29,17 @@ def number_rows(
 ) -> DataFrame:
     """Add ``name`` = 1, 2, 3, ... in the given order, continuing after ``start``.
 
-    ``order`` should identify a row: then reruns give the same numbers, and a value that very many
-    rows share can still be split over partitions by the columns after it. The ordered frame is
-    checkpointed, because the counts and the numbers must come from one and the same partitioning.
+    Rows that tie in ``order`` are ordered by a hash of the whole row, so that reruns give the same
+    numbers and a value that very many rows share can still be split over partitions. The ordered frame
+    is checkpointed, because the counts and the numbers must come from one and the same partitioning.
     """
     size = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = [*order, TIE]
     placed = settle(
-        df.repartitionByRange(size, *order)
-        .sortWithinPartitions(*order)
+        df.withColumn(TIE, F.xxhash64(*df.columns))
+        .repartitionByRange(size, *total)
+        .sortWithinPartitions(*total)
+        .drop(TIE)
         .withColumn(SLOT, F.monotonically_increasing_id())
     )
     part = F.shiftright(SLOT, SLOT_BITS)

@@ -261,13 +261,14 @@ def scalar_subquery(t):
     return t.orders.where(F.col("o_totalprice") > mean).select("o_orderkey", "o_totalprice")
 
 
-@query("""SELECT a.event_id, b.event_id AS next_event FROM events a JOIN events b
-          ON a.user_id = b.user_id AND a.event_type = b.event_type AND CAST(a.ts AS DATE) + 1 = CAST(b.ts AS DATE)""")
-def join_adjacent(t):
-    """Rows of one key and kind on following days: an equi-join on key, kind and date."""
+@query("""SELECT event_id FROM events a WHERE EXISTS (SELECT 1 FROM events b WHERE a.user_id = b.user_id
+          AND a.event_type = b.event_type AND CAST(a.ts AS DATE) + 1 = CAST(b.ts AS DATE))""")
+def semi_adjacent(t):
+    """Rows whose key and kind occur again on the following day: existence only, no pairs."""
+    keys = ["user_id", "event_type", "d"]
     left = t.events.select("event_id", "user_id", "event_type", F.date_add(F.col("ts").cast("date"), 1).alias("d"))
-    right = t.events.select(F.col("event_id").alias("next_event"), "user_id", "event_type", F.col("ts").cast("date").alias("d"))
-    return left.join(right, ["user_id", "event_type", "d"]).select("event_id", "next_event")
+    right = t.events.select("user_id", "event_type", F.col("ts").cast("date").alias("d"))
+    return joins.require(left, right, keys).select("event_id")
 
 
 # --- roll-ups ---------------------------------------------------------------------------------------

@@ -136,6 +136,11 @@ def test_repair(spark):
     assert state(again) == repaired
 
 
+def test_merge_can_repair_first(spark):
+    twice = table(spark, [("a", "1", START, OPEN, "Y"), ("a", "1", START, OPEN, "Y")])
+    assert state(merge(twice, source(spark, [("a", "1")]), repair=True)) == [("a", "1", START, OPEN, "Y")]
+
+
 def test_append(spark):
     history = spark.createDataFrame(
         [("a", "1", 1, START), ("b", "1", 2, START), ("b", "2", 3, D(2024, 2, 1))], "k string, v string, id long, actual_date date"

@@ -65,6 +65,46 @@ def test_rows_without_a_key_are_scattered(spark):
             spark.conf.unset(name)
 
 
+def test_ties_of_a_hot_value_are_spread(skewed):
+    numbered = number_rows(skewed, ["k"], partitions=8)
+    sizes = [len(p) for p in numbered.select("n").rdd.glom().collect()]
+    assert max(sizes) < 2 * (HOT + REST) / 8 and numbered.select("sequence").distinct().count() == HOT + REST
+
+
+def test_hot_key_is_split_when_the_other_side_was_grouped(spark, skewed, plan):
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for name, value in forced.items():
+        spark.conf.set(name, value)
+    try:
+        grouped = rollups.any_flags(skewed, ["k"], {"f": F.col("n") >= 0})
+        joined = joins.join_splitting(skewed, grouped, ["k"])
+        sizes = [len(p) for p in joined.select("n").rdd.glom().collect()]
+        joined.collect()
+        assert "skew=true" in plan(joined)
+        assert sum(sizes) == HOT + REST and max(sizes) < HOT
+    finally:
+        for name in forced:
+            spark.conf.unset(name)
+
+
+def test_rows_without_a_business_key_are_scattered(spark):
+    rows = spark.range(0, 8_000, 1, 4).select(F.lit(None).cast("string").alias("k"), F.col("id").cast("string").alias("v"))
+    target = scd.with_version_columns(scd.with_row_hash(rows.limit(0)), "2024-01-01")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        merged = scd.scd2_merge(target, rows, ["k"], "2024-05-10")
+        sizes = [len(p) for p in merged.select("v").rdd.glom().collect()]
+        assert sum(sizes) == 8_000 and max(sizes) < 4_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_reconcile_many_copies(spark):
     left = spark.range(0, 5_000, 1, 4).select(F.lit("same").alias("v"))
     right = spark.createDataFrame([("same",), ("other",), ("other",)], "v string")
