@@ -42,7 +42,8 @@ def row_findings(df: DataFrame, contract: TableContract) -> DataFrame:
     if not found:
         found = [F.when(F.lit(False), _finding("none", "", F.lit(None)))]
     key = _key_text(contract.keys) if contract.keys else F.lit("")
-    return df.select(key.alias("row_key"), F.inline(F.array_compact(F.array(*found))))
+    # a check that finds nothing is a row of NULLs here
+    return df.select(key.alias("row_key"), F.inline(F.array(*found))).where(F.col("check_name").isNotNull())
 
 
 def key_findings(df: DataFrame, contract: TableContract) -> DataFrame:

@@ -148,13 +148,12 @@ def scd2_step(
 
     keep_old = there & (kept | (old[START] < day(run_date)))
     make_new = (arrives & ~kept) | (there & ~tombstone & ~arrives)
-    versions = F.array_compact(
-        F.array(
-            F.when(keep_old, row(before, F.when(kept, F.lit(UNCHANGED)).otherwise(F.lit(CLOSED)))),
-            F.when(make_new, row(after, F.when(arrives, F.lit(INSERTED)).otherwise(F.lit(DELETED)))),
-        )
+    versions = F.array(
+        F.when(keep_old, row(before, F.when(kept, F.lit(UNCHANGED)).otherwise(F.lit(CLOSED)))),
+        F.when(make_new, row(after, F.when(arrives, F.lit(INSERTED)).otherwise(F.lit(DELETED)))),
     )
-    return _sides(current_rows, hashed, keys).select(F.inline(versions))
+    # a version that does not arise is a row of NULLs here
+    return _sides(current_rows, hashed, keys).select(F.inline(versions)).where(F.col(ACTION).isNotNull())
 
 
 def scd2_merge(

@@ -173,10 +173,7 @@ ROLES: dict[str, str] = {
     "dim_cust_contact": """
         SELECT CAST(c_custkey AS STRING) AS bbn, CAST(c_custkey AS STRING) || '-' || slot AS cust_contact_key,
                kind AS contact_type_desc, category AS contact_category_desc
-        FROM {customer}, (VALUES ('1', 'Present', 'Email Address'), ('2', 'Present', 'Mobile Number 1'),
-               ('3', 'Permanent', 'Mobile Number 1'), ('4', 'Permanent', 'Mobile Number 2'),
-               ('5', 'Present', 'Landline Number 1'), ('6', 'Office', 'Landline Number 1'),
-               ('7', 'Permanent', 'Mobile Number 3')) AS slots(slot, kind, category)""",
+        FROM {customer} <slots>""",
     "dim_cust_contact_pii": """
         SELECT CAST(c_custkey AS STRING) || '-' || slot AS cust_contact_pii_key,
                CASE slot
@@ -191,7 +188,7 @@ ROLES: dict[str, str] = {
                         ELSE '0' || CAST(c_nationkey + 30 AS STRING) || lpad(CAST(c_custkey AS STRING), 7, '1') END
                    WHEN '6' THEN '(632) 5' || lpad(CAST(c_custkey AS STRING), 7, '4')
                    ELSE '12345' END AS contact_details_text
-        FROM {customer}, (VALUES ('1'), ('2'), ('3'), ('4'), ('5'), ('6'), ('7')) AS slots(slot)""",
+        FROM {customer} <slots>""",
     "dim_cust_address": """
         SELECT CAST(o_custkey AS STRING) AS bbn, CAST(o_orderkey AS STRING) AS cust_address_key,
                CASE o_orderstatus WHEN 'O' THEN 'Present' WHEN 'P' THEN 'Permanent' ELSE 'Office' END
@@ -218,9 +215,10 @@ ROLES: dict[str, str] = {
                kind.prefix || CASE WHEN CAST(o_orderdate AS DATE) >= DATE '1998-06-01' THEN '0698' ELSE '0598' END
                    || 'B' || lpad(CAST(o_custkey AS STRING), 7, '0') AS offer_code,
                CAST(o_orderdate AS DATE) + 42 AS expiry_date, CAST(o_orderdate AS DATE) AS actual_date
-        FROM {orders}, (VALUES ('ALSTP', '1-URGENT'), ('CCSTP', '2-HIGH'), ('HLSTP', '3-MEDIUM'),
+        FROM {orders} JOIN (VALUES ('ALSTP', '1-URGENT'), ('CCSTP', '2-HIGH'), ('HLSTP', '3-MEDIUM'),
                ('ALPTB', '4-NOT SPECIFIED'), ('CCPTB', '5-LOW'), ('HLPTB', '1-URGENT')) AS kind(prefix, priority)
-        WHERE o_orderpriority = kind.priority AND CAST(o_orderdate AS DATE) > DATE '1998-04-15'
+          ON o_orderpriority = kind.priority
+        WHERE CAST(o_orderdate AS DATE) > DATE '1998-04-15'
           AND CAST(o_orderdate AS DATE) <= DATE '1998-06-15'""",
     # campaign activity from the event stream: a user's event is a contact attempt on the lead of that user
     "activity": """
@@ -253,6 +251,17 @@ ROLES: dict[str, str] = {
         FROM {orders}""",
 }
 
+# contact rows every customer has; Spark explodes them in place, the oracle lists them as values
+SLOTS = (
+    ("1", "Present", "Email Address"), ("2", "Present", "Mobile Number 1"), ("3", "Permanent", "Mobile Number 1"),
+    ("4", "Permanent", "Mobile Number 2"), ("5", "Present", "Landline Number 1"), ("6", "Office", "Landline Number 1"),
+    ("7", "Permanent", "Mobile Number 3"),
+)
+SPARK_SLOTS = "LATERAL VIEW inline(array({})) slots AS slot, kind, category".format(
+    ", ".join("struct" + str(row) for row in SLOTS)
+)
+VALUE_SLOTS = ", (VALUES {}) AS slots(slot, kind, category)".format(", ".join(map(str, SLOTS)))
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -276,7 +285,7 @@ class TestTables:
         return df
 
     def role(self, name: str) -> DataFrame:
-        text = ROLES[name]
+        text = ROLES[name].replace("<slots>", SPARK_SLOTS)
         return self.spark.sql(text, **{table: getattr(self, table) for table in set(PLACEHOLDER.findall(text))})
 
     def sql(self, text: str) -> DataFrame:
@@ -285,7 +294,8 @@ class TestTables:
 
 def with_roles(names: tuple[str, ...], body: str) -> str:
     """Oracle text: the named roles as CTEs, then the body (which may start with more CTEs)."""
-    parts = [f"{name} AS ({PLACEHOLDER.sub(r'\1', ROLES[name])})" for name in names]
+    texts = {name: PLACEHOLDER.sub(r"\1", ROLES[name]).replace("<slots>", VALUE_SLOTS) for name in names}
+    parts = [f"{name} AS ({texts[name]})" for name in names]
     text = body.strip()
     if not parts:
         return text
