@@ -25,13 +25,22 @@ def joined_key(*columns: Column | str) -> Column:
 FRESH = "__fresh"
 
 
+def _hash_alike(left: DataFrame, right: DataFrame, on: Sequence[str]) -> bool:
+    """Whether equal keys of both sides surely have equal hashes: same types, and no floating point."""
+    types, others = dict(left.dtypes), dict(right.dtypes)
+    return all(types[k] == others[k] and types[k] not in ("float", "double") for k in on)
+
+
 def join_splitting(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join in which AQE can split the tasks of a hot left key.
 
     AQE splits a join only when both sides come straight out of a shuffle. A right side that was just
     grouped by the key keeps its partitioning and would take the left rows of a hot key into one task.
-    The hash of the keys as one more join column makes both sides shuffle anew.
+    The hash of the keys as one more join column makes both sides shuffle anew. Keys whose types differ
+    between the sides are joined plainly, as their hashes need not agree.
     """
+    if not _hash_alike(left, right, on):
+        return left.join(right, list(on), how)
     fresh = F.xxhash64(*on)
     return left.withColumn(FRESH, fresh).join(right.withColumn(FRESH, fresh), [*on, FRESH], how).drop(FRESH)
 
@@ -49,8 +58,8 @@ def enrich_known(left: DataFrame, right: DataFrame, key: str, scatter: Sequence[
     """
     joint = "__joint"
     spread = F.concat(F.lit("\x00"), F.xxhash64(*scatter).cast("string"))
-    keyed = left.withColumn(joint, F.when(is_blank(key), spread).otherwise(F.col(key)))
-    known = right.where(~is_blank(key)).withColumnRenamed(key, joint)
+    keyed = left.withColumn(joint, F.when(is_blank(key), spread).otherwise(F.col(key).cast("string")))
+    known = right.where(~is_blank(key)).withColumn(joint, F.col(key).cast("string")).drop(key)
     return join_splitting(keyed, known, [joint]).drop(joint)
 
 

@@ -105,6 +105,18 @@ def test_rows_without_a_business_key_are_scattered(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_keys_of_different_types_still_meet(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    right = spark.createDataFrame([(1, "x")], "k long, w string")
+    assert sorted(joins.join_splitting(left, right, ["k"]).select("v", "w").collect()) == [("a", "x"), ("b", None)]
+    floats = spark.createDataFrame([(0.0, "x")], "k double, w string")
+    zero = spark.createDataFrame([(-0.0, "a")], "k double, v string")
+    assert joins.join_splitting(zero, floats, ["k"]).first()["w"] == "x"
+    cards = spark.createDataFrame([("1",), ("",), (None,)], "k string")
+    got = joins.enrich_known(cards, right, "k", ["k"]).select("k", "w").collect()
+    assert {tuple(r) for r in got} == {("1", "x"), ("", None), (None, None)}
+
+
 def test_reconcile_many_copies(spark):
     left = spark.range(0, 5_000, 1, 4).select(F.lit("same").alias("v"))
     right = spark.createDataFrame([("same",), ("other",), ("other",)], "v string")
