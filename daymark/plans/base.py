@@ -8,7 +8,7 @@ hot customer's rows over several tasks. Inputs keyed by account or card are join
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -247,10 +247,20 @@ def list_flags(lists: Mapping[str, DataFrame]) -> DataFrame:
     return any_flags(reduce(DataFrame.union, marked), ["bbn"], {flag: F.col(mark) == flag for flag in lists})
 
 
-def _one(df: DataFrame, key: str, columns: Mapping[str, str | Column]) -> DataFrame:
-    """Named columns of a customer-level input, one row per customer."""
-    chosen = [(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]
-    return any_per_key(df.select(F.col(key).alias("bbn"), *chosen), ["bbn"])
+def one_row_each(inputs: Sequence[tuple[DataFrame, str, Mapping[str, str | Column]]]) -> DataFrame:
+    """Named columns of several customer-level inputs, one row per customer.
+
+    Each input is a frame, its customer column and the wanted columns. All go through one grouped pass, every
+    input as one struct of which the smallest is kept, instead of a reduction and a join per input.
+    """
+    parts, picks, names = [], [], []
+    for i, (df, key, columns) in enumerate(inputs):
+        chosen = [(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]
+        parts.append(df.select(F.col(key).alias("bbn"), F.struct(*chosen).alias(f"__{i}")))
+        picks.append(F.min(f"__{i}").alias(f"__{i}"))
+        names += [F.col(f"__{i}")[name].alias(name) for name in columns]
+    united = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+    return united.groupBy("bbn").agg(*picks).select("bbn", *names)
 
 
 def customer_inputs(t: Tables, run_date: DateLike, as_declared_write_off: bool = False) -> list[DataFrame]:
@@ -281,21 +291,24 @@ def customer_inputs(t: Tables, run_date: DateLike, as_declared_write_off: bool =
         "is_with_pl_acct_woff_flag": write_offs.select("bbn"),
         "is_with_salad_flag": t["salad_accounts"].select("bbn"),
     }
+    plain = [
+        (t["dim_cust_indiv_pii"], "bbn", pii),
+        (t["depo_segmentation_v2"], "bbnumber", {"new_segment": "new_segment"}),
+        (t["df_abt_customer"], "bbnumber", abt),
+        (t["incomeestimatorv2"], "bbn", {"label": "label"}),
+        (t["dim_cust_indiv"], "bbn", indiv),
+        (t["cust_info"], "bbnumber", {"tin_comptin": "tin_comptin"}),
+        (t["dim_cust_indiv_employment"], "bbn", employment),
+    ]
     return [
-        _one(t["dim_cust_indiv_pii"], "bbn", pii),
+        one_row_each(plain),
         list_flags(lists),
         branch_summary(t["dim_cust_class"], t["branch_listing"]),
-        _one(t["depo_segmentation_v2"], "bbnumber", {"new_segment": "new_segment"}),
         product_flags(t["df_pm_eq"], t["staging_pm_al_non_grid_application_data"], t["pm_application"], run_date),
-        _one(t["df_abt_customer"], "bbnumber", abt),
         card_application_flag(t["credit_card_processing_tu"], run_date),
-        _one(t["incomeestimatorv2"], "bbn", {"label": "label"}),
-        _one(t["dim_cust_indiv"], "bbn", indiv),
         contact_summary(t["dim_cust_contact"], t["dim_cust_contact_pii"]),
         address_summary(t["dim_cust_address"], t["dim_cust_address_pii"]),
         id_summary(t["dim_cust_id_proof"], t["dim_cust_id_proof_pii"]),
-        _one(t["cust_info"], "bbnumber", {"tin_comptin": "tin_comptin"}),
-        _one(t["dim_cust_indiv_employment"], "bbn", employment),
     ]
 
 
