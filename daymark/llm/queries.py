@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import language_id, line_dedup, sharding
+from daymark.llm import language_id, line_dedup, sentencepiece_scan, sharding, warc
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate_lines(docs, F.col("source"))
@@ -28,5 +32,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_line_dedup, op6_sharding, op9_language_id)}
-SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = sentencepiece_scan.model_bytes(spark, sentencepiece_scan.MODEL)
+    back = sentencepiece_scan.decode(sentencepiece_scan.encode(docs, model), model)
+    same = F.col("decoded").eqNullSafe(F.replace("text", F.lit(sentencepiece_scan.SPACE), F.lit(" ")))
+    return back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_warc, op5_line_dedup, op6_sharding, op9_language_id, op10_sentencepiece)}
+SQL: dict[str, str] = {"op2_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL}
