@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import language_id, line_dedup, secret_scan, sentencepiece_scan, sharding, warc
+from daymark.llm import decontaminate, language_id, line_dedup, secret_scan, sentencepiece_scan, sharding, warc
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
@@ -44,5 +48,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_warc, op3_secret_scan, op5_line_dedup, op6_sharding, op9_language_id, op10_sentencepiece)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_warc, op3_secret_scan, op5_line_dedup, op6_sharding, op9_language_id, op10_sentencepiece)}
 SQL: dict[str, str] = {"op2_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL}
