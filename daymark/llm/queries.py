@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, language_id, line_dedup, secret_scan, sentencepiece_scan, sharding, warc
+from daymark.llm import decontaminate, language_id, line_dedup, ngram_join, secret_scan, sentencepiece_scan, sharding, warc
 from daymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate_lines(docs, F.col("source"))
@@ -48,5 +52,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_warc, op3_secret_scan, op5_line_dedup, op6_sharding, op9_language_id, op10_sentencepiece)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_warc, op3_secret_scan, op4_ngram_join, op5_line_dedup, op6_sharding, op9_language_id, op10_sentencepiece)}
 SQL: dict[str, str] = {"op2_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL}
