@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
+_shipped: set[str] = set()
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # only the partitions a run writes are replaced; history stays
@@ -22,6 +30,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application, unless their path has it already."""
+    name = spark.sparkContext.applicationId
+    if name in _shipped or str(PACKAGE.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    # the driver serves this archive itself, so its own temporary folder will do
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='daymark-')}/daymark", "zip", PACKAGE.parent, PACKAGE.name)
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(name)
+
+
 def local_session(cores: int = 8, name: str = "daymark") -> SparkSession:
     """A single-machine session for tests and timings."""
     builder = (
