@@ -4,17 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.session import configure
 from daymark.shared import scratch_path
 
 #: Bytes of text that one Python step holds at a time.
 BLOCK_BYTES = 4 << 20
 
 
+#: Session settings of the operators that hand rows to Python: smaller Arrow batches, as several workers share an executor.
+SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings of the package and of this subpackage."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return configure(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,3 +58,33 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES
 def twin_hash(*columns: Column) -> Column:
     """128 bits as a struct of two differently seeded 64-bit hashes."""
     return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit("second"), *columns).alias("b"))
+
+
+#: Bits of a map of hashes, at any size, and of its parts, which are filled apart. Too few bits let more pass, never less.
+MAP_BITS = 26
+PART_BITS = 18
+
+
+def bit_map(hashes: DataFrame) -> np.ndarray:
+    """2^MAP_BITS bits (8 MB), set where the top bits of the hashes in column ``g`` point: filled in tasks and put together here."""
+    top = F.shiftrightunsigned(F.col("g"), 64 - MAP_BITS)
+    dealt = hashes.select(F.shiftright(top, PART_BITS).cast("int").alias("part"), top.bitwiseAND(F.lit((1 << PART_BITS) - 1)).cast("int").alias("bit")).distinct().repartition("part")
+
+    def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts: dict[int, np.ndarray] = {}
+        for frame in frames:
+            for part, rows in frame.groupby("part").indices.items():
+                parts.setdefault(part, np.zeros(1 << PART_BITS, dtype=bool))[frame["bit"].to_numpy()[rows]] = True
+        if parts:
+            yield pd.DataFrame({"part": list(parts), "bits": [np.packbits(p).tobytes() for p in parts.values()]})
+
+    out = np.zeros(1 << MAP_BITS >> 3, dtype=np.uint8)
+    size = 1 << PART_BITS >> 3
+    for r in dealt.mapInPandas(fill, "part int, bits binary").collect():
+        out[r["part"] * size : (r["part"] + 1) * size] |= np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
+def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    top = (hashes.astype(np.uint64) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return (bits[top >> 3] >> (7 - (top & 7)).astype(np.uint8)) & 1 == 1

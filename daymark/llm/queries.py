@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import cover_tree, decontaminate, language_id, line_dedup, ngram_join, secret_scan, sentencepiece_scan, sharding, warc
-from daymark.llm.common import table
+from daymark.llm import cover_tree, decontaminate, language_id, line_dedup, ngram_join, secret_scan, sentencepiece_scan, sharding, suffix_dedup, warc
+from daymark.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(suffix_dedup.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -56,5 +60,9 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_warc, op3_secret_scan, op4_ngram_join, op5_line_dedup, op6_sharding, op8_embedding_near_dedup, op9_language_id, op10_sentencepiece)}
+def _prepared(query: Query) -> Query:
+    return lambda spark, sf_dir: query(prepared(spark), sf_dir)
+
+
+QUERIES: dict[str, Query] = {f.__name__: _prepared(f) for f in (op1_decontamination, op2_warc, op3_secret_scan, op4_ngram_join, op5_line_dedup, op6_sharding, op7_suffix_dedup, op8_embedding_near_dedup, op9_language_id, op10_sentencepiece)}
 SQL: dict[str, str] = {"op2_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL}
