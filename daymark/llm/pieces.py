@@ -18,7 +18,7 @@ SPACE = "▁"
 LETTERS = "A-Za-z\u00c0-\u024f"
 MINUS = float("-inf")
 #: Entries of each memo a Python worker keeps; they are cleared when full.
-MEMO = 800_000
+MEMO = 400_000
 
 
 class Lattice:
@@ -29,7 +29,9 @@ class Lattice:
         self.longest = max(map(len, pieces), default=1)
         self.worst = min((s for _, s in pieces.values()), default=0.0) - 10.0
         self.texts = texts or []
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._prefixes: dict[str, bool] = {}
+        self._after: dict[str | None, dict[str, bool]] = {}
+        self._codes: dict[str, bytes] = {}
         self._whole: dict[str, bool] = {}
         self._words = _Words(self)
         met = lambda pattern: any(re.search(pattern, p) for p in pieces)
@@ -67,15 +69,7 @@ class Lattice:
         return 0.0 if whole else None
 
     def meet(self, left: str | None, right: str) -> bool:
-        if left is None or not self.merges:
-            return True
-        pair = (left, right)
-        known = self._pairs.get(pair)
-        if known is None:
-            if len(self._pairs) >= MEMO:
-                self._pairs.clear()
-            known = self._pairs[pair] = self.merged(left + right) == [left, right]
-        return known
+        return left is None or not self.merges or self.merged(left + right) == [left, right]
 
     def ids(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
@@ -107,17 +101,43 @@ class Lattice:
 
     def _merging(self, text: str, start: int, stop: int, reached: dict) -> dict:
         """The same where all weights are 0: the first row of pieces to a place is the only one."""
-        pieces, pairs, whole, longest = self.pieces, self._pairs, self._whole, self.longest
-        for end in range(start + 1, stop + 1):
-            for begin in range(max(start, end - longest), end):
+        begins, after = self._begins(), self._after
+        for begin in range(start, stop):
+            if begin not in reached:
+                continue
+            last = reached[begin][2]
+            known = after.get(last)
+            if known is None:
+                known = self._followers(last)
+            for end in range(begin + 1, stop + 1):
                 piece = text[begin:end]
-                if begin in reached and (piece in pieces or end - begin == 1):
-                    last = reached[begin][2]
-                    if (whole.get(piece) or self.weight(piece) is not None) and (last is None or pairs.get((last, piece)) or self.meet(last, piece)):
-                        reached[end] = (0.0, begin, piece)
+                kind = begins.get(piece)
+                if kind is None:
+                    if end > begin + 1:
                         break
+                    kind = True  # a character without a piece
+                if kind and end not in reached:
+                    fits = known.get(piece)
+                    if fits is None:
+                        fits = known[piece] = self.meet(last, piece)
+                    if fits:
+                        reached[end] = (0.0, begin, piece)
         return reached
 
+    def _begins(self) -> dict[str, bool]:
+        """All beginnings of pieces, and whether they are pieces that a path may hold."""
+        if not self._prefixes:
+            for piece in self.pieces:
+                for k in range(1, len(piece)):
+                    self._prefixes.setdefault(piece[:k], False)
+                self._prefixes[piece] = self.weight(piece) is not None
+        return self._prefixes
+
+    def _followers(self, last: str | None) -> dict[str, bool]:
+        if len(self._after) >= MEMO // 8:
+            self._after.clear()
+        return self._after.setdefault(last, {})
+
     @staticmethod
     def back(reached: dict, end: int) -> list[str]:
         out = []
@@ -128,9 +148,60 @@ class Lattice:
 
     def word(self, text: str) -> tuple[bytes, float]:
         """Ids (32 bits each) and weight of the best path through a text that stands by itself."""
+        if self.merges and len(text) <= 64:
+            return self._short_word(text), 0.0
         reached = self.forward(text, 0, None, len(text))
-        ids = [i for piece in self.back(reached, len(text)) for i in self.ids(piece)]
-        return np.array(ids, dtype="<i4").tobytes(), reached[len(text)][0]
+        return b"".join([self.coded(piece) for piece in self.back(reached, len(text))]), reached[len(text)][0]
+
+    def _short_word(self, text: str) -> bytes:
+        """The same for merges, depth first from the longest pieces: places where no row of pieces goes on are met once."""
+        begins, after, size = self._begins(), self._after, len(text)
+        path: list[str] = []
+        waiting: list[tuple[int, str | None, list[str]]] = []
+        dead: set[tuple[int, str | None]] = set()
+        begin, before = 0, None
+        while begin < size:
+            choices = []
+            for end in range(begin + 1, size + 1):
+                piece = text[begin:end]
+                kind = begins.get(piece)
+                if kind:
+                    choices.append(piece)
+                elif kind is None:
+                    if end == begin + 1:
+                        choices.append(piece)  # a character without a piece
+                    break
+            while True:
+                known = after.get(before)
+                if known is None:
+                    known = self._followers(before)
+                while choices:
+                    piece = choices.pop()
+                    fits = known.get(piece)
+                    if fits is None:
+                        fits = known[piece] = self.meet(before, piece)
+                    if fits and not (dead and (begin + len(piece), piece) in dead):
+                        break
+                else:
+                    dead.add((begin, before))
+                    begin, before, choices = waiting.pop()
+                    path.pop()
+                    continue
+                waiting.append((begin, before, choices))
+                path.append(piece)
+                begin, before = begin + len(piece), piece
+                break
+        codes = self._codes
+        return b"".join([codes.get(piece) or self.coded(piece) for piece in path])
+
+    def coded(self, piece: str) -> bytes:
+        """Ids of a piece, 32 bits each."""
+        found = self._codes.get(piece)
+        if found is None:
+            found = np.array(self.ids(piece), dtype="<i4").tobytes()
+            if len(self._codes) < MEMO:
+                self._codes[piece] = found
+        return found
 
     def encode(self, text: str) -> bytes:
         """Ids of a text in which nothing stands before or behind."""

@@ -50,13 +50,19 @@ def states(lattice: Lattice, text: str, cut: int) -> list[tuple[int, int]]:
 
 def _edges(lattice: Lattice, text: str, left: int, right: int) -> tuple[int, int] | None:
     """The first and the last place between two cuts that no piece reaches over."""
-    if not lattice.falls_apart:
+    right = min(right, len(text))
+    if not lattice.falls_apart or (word := lattice.cut.search(text, left, right)) is None or word.end() >= right:
         return None
-    places = [m.end() for m in lattice.cut.finditer(text, left, min(len(text), right))]
-    # a word cut off by the end of the search isn't a place; neither is one that may go on
-    inner = [p for p in (places[:1], places[-2:-1])]
-    at = [p[0] for p in inner if p]
-    return (at[0], at[1]) if len(at) == 2 and at[0] <= at[1] and at[1] < right else None
+    first, back = word.end(), 64
+    while True:
+        begin = max(first, right - back)
+        # the word that the search begins in may be cut off, as may the last one; ends of the others are places
+        ends = [m.end() for m in lattice.cut.finditer(text, begin, right)][:-1]
+        if ends:
+            return first, ends[-1]
+        if begin == first:
+            return first, first
+        back *= 4
 
 
 def transfer(lattice: Lattice, text: str, left: int, right: int, first: bool, last: bool) -> np.ndarray:
@@ -92,7 +98,7 @@ def trace(lattice: Lattice, text: str, left: int, right: int, first: bool, last:
     b, e = (left, left) if first else states(lattice, text, left)[entry]
     goal, end = (right, right) if last else states(lattice, text, right)[exit_]
     before = None if first else text[b:e]
-    closing = [] if last else lattice.ids(text[goal:end])
+    closing = b"" if last else lattice.coded(text[goal:end])
     edge = _edges(lattice, text, left + (0 if first else lattice.longest), right)
     if edge is not None and goal >= edge[1]:
         head = lattice.back(lattice.forward(text, e, before, edge[0]), edge[0])
@@ -101,8 +107,7 @@ def trace(lattice: Lattice, text: str, left: int, right: int, first: bool, last:
     else:
         head, middle = lattice.back(lattice.forward(text, e, before, goal), goal), b""
         tail = []
-    pack = lambda pieces: np.array([i for p in pieces for i in lattice.ids(p)], dtype="<i4").tobytes()
-    return pack(head) + middle + pack(tail) + np.array(closing, dtype="<i4").tobytes()
+    return b"".join(map(lattice.coded, head)) + middle + b"".join(map(lattice.coded, tail)) + closing
 
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -271,3 +276,14 @@ def decode(coded: DataFrame, model: bytes, ids: str = "token_ids", out: str = "d
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.string())], names=[*batch.schema.names, out])
 
     return coded.mapInArrow(run, schema)
+
+
+def checked(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
+    """All rows and columns but the text, with ``token_ids``, ``n_tokens`` and whether the ids decode to the text (``round_trip``).
+
+    Null texts have null ids and no number, and decode to null. U+2581 in a text is taken as the blank that it comes back as.
+    """
+    back = decode(encode(docs, model, text), model, out="__sp_decoded")
+    same = F.col("__sp_decoded").eqNullSafe(F.replace(F.col(text), F.lit(SPACE), F.lit(" ")))
+    number = F.when(F.col("token_ids").isNotNull(), F.size("token_ids")).cast("long")
+    return back.withColumns({"n_tokens": number, "round_trip": same}).drop(text, "__sp_decoded")
