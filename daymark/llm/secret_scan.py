@@ -5,7 +5,7 @@ holds its characters is taken for its encoding. Three tests ask whether its symb
 alphabet: chi-squared over symbol classes, Wald-Wolfowitz runs above and below the middle, and lag-one serial correlation; Fisher's
 method joins them. A candidate that they reject as random is dropped.
 
-The others still have to be improbable as ordinary text. How symbols follow each other in ordinary text is counted over all texts; under that
+The others still have to be improbable as ordinary text. How symbols follow each other in ordinary text is counted over all texts, candidates and matches left out; under that
 chain the likelihood ratio of "random" to "ordinary" has mean 1, so its inverse is a valid p-value, and a long run can reach a far smaller one
 than a short run. Benjamini-Hochberg within each length class, over a histogram of p-values of all texts, sets the threshold.
 """
@@ -167,8 +167,11 @@ def scan(docs: DataFrame, doc_id: str, text: str, false_share: float = FALSE_SHA
                 t = t or ""
                 spans = base_spans(t)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                tokens.append([{"start": a, "end": b, "token": t[a:b]} for a, b in candidates(t, spans)])
+                runs = candidates(t, spans)
+                tokens.append([{"start": a, "end": b, "token": t[a:b]} for a, b in runs])
                 pairs += pair_counts(t)
+                for a, b in [*runs, *[(a, b) for a, _, b in spans]]:
+                    pairs -= pair_counts(t[a:b])
             yield pa.RecordBatch.from_arrays([block.column(block.schema.get_field_index("doc_id")), pa.array(base, _SPANS), pa.array(tokens, _TOKENS), pa.nulls(len(base), pa.list_(pa.int64()))], names=["doc_id", "base", "tokens", "pairs"])
         if kind is not None:  # one more row for the counts of this task
             yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, _SPANS), pa.nulls(1, _TOKENS), pa.array([pairs.tolist()], pa.list_(pa.int64()))], names=["doc_id", "base", "tokens", "pairs"])
@@ -177,7 +180,7 @@ def scan(docs: DataFrame, doc_id: str, text: str, false_share: float = FALSE_SHA
     totals = seen.where(F.col("pairs").isNotNull()).select(F.posexplode("pairs")).groupBy("pos").agg(F.sum("col").alias("n"))
     counts = np.ones(4096)
     for r in totals.collect():  # 4,096 sums at any size
-        counts[r["pos"]] += r["n"]
+        counts[r["pos"]] += max(0, r["n"])  # overlapping matches are taken off twice
     chain = counts.reshape(64, 64)
     held = spark.sparkContext.broadcast(np.log10(chain / chain.sum(axis=1, keepdims=True)))
 
