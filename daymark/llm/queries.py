@@ -55,9 +55,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = sentencepiece_scan.model_bytes(spark, sentencepiece_scan.MODEL)
-    back = sentencepiece_scan.decode(sentencepiece_scan.encode(docs, model), model)
-    same = F.col("decoded").eqNullSafe(F.replace("text", F.lit(sentencepiece_scan.SPACE), F.lit(" ")))
-    return back.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip"))
+    return sentencepiece_scan.checked(docs, model)
 
 
 def _prepared(query: Query) -> Query:
