@@ -15,7 +15,8 @@ from pyspark.sql.types import StringType
 # Texts that mean "no value" in source extracts, compared in upper case.
 MISSING_WORDS = ("NAN", "NA", "N/A", "N.A.", "N.A", "NONE")
 
-EDGE_SPACE = r"^[\u00A0\s]+|[\u00A0\s]+$"
+# Fixed: what counts as blank at the edges of a text.
+EDGE_SPACE = " \t\n\x0b\f\r\u00a0"
 
 
 def col(column: Column | str) -> Column:
@@ -87,7 +88,7 @@ def present(column: Column | str, blank_is_missing: bool = True) -> Column:
 
 def trim_text(column: Column | str) -> Column:
     """Strip whitespace, non-breaking spaces included, from both edges."""
-    return F.trim(F.regexp_replace(col(column), EDGE_SPACE, " "))
+    return F.btrim(col(column), F.lit(EDGE_SPACE))
 
 
 def clean_text(column: Column | str) -> Column:

@@ -15,11 +15,12 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymark.functions.bounds import DateLike, day
 from daymark.functions.cleaning import clean_strings
+from daymark.operators.dedup import first_per_key
 from daymark.operators.joins import join_splitting
 from daymark.operators.sequence import number_rows
 from daymark.sources.versions import CURRENT, END, OPEN_END, START, current, versions_as_of
@@ -76,18 +77,26 @@ def _sides(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     """Both states of every key side by side, as structs ``old`` and ``new``.
 
     Rows without a complete key match nothing; each gets a place of its own instead of all meeting in the
-    task of the NULL key.
+    task of the NULL key. A complete key that the source holds more than once ends the job: its rows are
+    counted in the shuffle that the join needs anyway.
     """
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-        place = F.when(complete, F.lit(0).cast("long")).otherwise(F.xxhash64(*df.columns))
+    def side(df: DataFrame, name: str, alone: Column) -> DataFrame:
+        place = F.when(complete, F.lit(0).cast("long")).otherwise(alone)
         return df.select(
             *[F.col(k).alias(f"{name}_{k}") for k in keys], place.alias(f"{name}_place"), F.struct(*df.columns).alias(name)
         )
 
+    left = side(target, "old", F.xxhash64(*target.columns))
+    where = [*[f"new_{k}" for k in keys], "new_place"]
+    arriving = side(source, "new", 1 + F.monotonically_increasing_id()).groupBy(*where)
+    right = arriving.agg(F.first("new").alias("new"), F.count(F.lit(1)).alias("__times"))
+    shown = F.concat_ws(", ", *[F.col(f"new_{k}").cast("string") for k in keys])
+    twice = F.raise_error(F.concat(F.lit("the source holds a key more than once: "), shown))
+    right = right.withColumn("new", F.when(F.col("__times") > 1, twice).otherwise(F.col("new")))
     matched = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in [*keys, "place"]]
-    return side(target, "old").join(side(source, "new"), matched, "full_outer").select("old", "new")
+    return left.join(right, matched, "full_outer").select("old", "new")
 
 
 def scd2_step(
@@ -103,16 +112,16 @@ def scd2_step(
     """What becomes of the current rows when the source is applied, with an ``scd_action`` column.
 
     The output holds every row that is current afterwards and every row closed by this run. A row that
-    was opened on the run date itself is replaced, not closed: it was never valid for a whole day.
+    was opened on the run date itself is replaced, not closed: it was never valid for a whole day. A run
+    dated before the start of a row that it would close ends the job, since that row would have no day left.
     """
     control = _has_control(current_rows)
     if control and now is None:
         raise ValueError("the table has control columns: pass the time of the run as now")
     columns = [name for name in current_rows.columns if name not in {HASH, *VERSION_COLUMNS, *CONTROL_COLUMNS}]
     types = dict(current_rows.dtypes)
-    hashed = with_row_hash(source, partitions, separator).select(
-        *[F.col(name).cast(types[name]).alias(name) for name in columns], HASH
-    )
+    # hashes are taken of what the table would hold, so a source of other types doesn't look changed
+    hashed = with_row_hash(source.select(*[F.col(name).cast(types[name]).alias(name) for name in columns]), partitions, separator)
 
     old, new = F.col("old"), F.col("new")
     there, arrives = old.isNotNull(), new.isNotNull()
@@ -146,7 +155,10 @@ def scd2_step(
         before[UPDATE_TS] = F.when(kept, old[UPDATE_TS]).otherwise(stamp[UPDATE_TS])
         after |= stamp
 
-    keep_old = there & (kept | (old[START] < day(run_date)))
+    late = there & ~kept & F.coalesce(old[START] > day(run_date), F.lit(False))
+    shown = F.concat_ws(", ", *[old[k].cast("string") for k in keys])
+    refused = F.raise_error(F.concat(F.lit(f"the run date {run_date} is before the start of an open row: "), shown)).cast("boolean")
+    keep_old = there & F.when(late, refused).otherwise(kept | (old[START] < day(run_date)))
     make_new = (arrives & ~kept) | (there & ~tombstone & ~arrives)
     versions = F.array(
         F.when(keep_old, row(before, F.when(kept, F.lit(UNCHANGED)).otherwise(F.lit(CLOSED)))),
@@ -161,7 +173,7 @@ def scd2_merge(
 ) -> DataFrame:
     """The whole table after the source is applied; ``repair`` first removes repeated versions.
 
-    The keys are business keys: the source holds each of them once.
+    The keys are business keys: the source holds each of them once, else the job ends.
     """
     target = scd2_repair(target, keys) if repair else target
     step = scd2_step(current(target), source, keys, run_date, **options)
@@ -190,9 +202,8 @@ def scd1_merge(
         raise ValueError("the table has control columns: pass the time of the run as now")
     columns = [name for name in target.columns if name not in {HASH, *CONTROL_COLUMNS}]
     types = dict(target.dtypes)
-    hashed = with_row_hash(source, partitions, separator).select(
-        *[F.col(name).cast(types[name]).alias(name) for name in columns], HASH
-    )
+    # hashes are taken of what the table would hold, so a source of other types doesn't look changed
+    hashed = with_row_hash(source.select(*[F.col(name).cast(types[name]).alias(name) for name in columns]), partitions, separator)
     old, new = F.col("old"), F.col("new")
     same = F.coalesce(old[HASH] == new[HASH], F.lit(False))
     update = new.isNotNull() & ~same
@@ -210,54 +221,50 @@ def scd1_merge(
 
 
 def scd2_repair(target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Remove rows that repeat a version: several current rows of a key, or the same content in
-    intervals that follow each other without a gap.
+    """Join versions of equal content whose intervals meet, and drop further current rows of a key.
+
+    A chain of such versions becomes one row with the whole interval: its open row with the earliest start,
+    else its first row with the latest end. Equal content that comes back after a gap is a version of its own and stays. Of several
+    current rows of a key the open one stays, else the one with the earliest start, else the one created first.
 
-    Of each repeated group the open row stays, else the one with the earliest start, else the one
-    created first. Groups are compared through grouped minima and an interval equi-join, so that a key
-    with very many rows is combined in the map tasks instead of being sorted in one window.
+    Damage is looked for on keys, hashes and dates alone. Only rows of damaged contents or keys are carried
+    through the windows that repair them; all others pass by.
     """
-    rest = [name for name in target.columns if name not in {START, CREATE_TS}]
-    created = [F.col(CREATE_TS)] if CREATE_TS in target.columns else []
+    columns, group = target.columns, [*keys, HASH]
+    dated = target.where(F.col(END).isNotNull() & F.col(HASH).isNotNull())
+    starts = dated.select(*group, F.col(START).alias("__meets"))
+    chained = dated.select(*group, F.col(END).alias("__meets")).join(starts, [*group, "__meets"], "left_semi").select(*group).distinct()
+    marked = join_splitting(target, chained.withColumn("__chained", F.lit(True)), group)
+    broken = F.coalesce(F.col("__chained"), F.lit(False)) & F.col(END).isNotNull()
+    chains = _joined_chains(marked.where(broken).select(*columns), group)
+    whole = marked.where(~broken).select(*columns).unionByName(chains)
+
+    is_current = F.coalesce(F.col(CURRENT) == "Y", F.lit(False))
+    crowded = whole.where(is_current).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select(*keys, F.lit(True).alias("__crowded"))
+    judged = join_splitting(whole, crowded, keys)
+    several = is_current & F.coalesce(F.col("__crowded"), F.lit(False))
+    best = first_per_key(judged.where(several), keys, _preference(columns))
+    return judged.where(~several).select(*columns).unionByName(best.select(*columns))
+
+
+def _preference(columns: Sequence[str]) -> list[Column]:
+    """Open rows first, then early starts, then early creation; the rest makes the choice repeatable."""
     is_open = F.coalesce(F.col(END) == F.lit(OPEN_END).cast("date"), F.lit(False))
-    rank = F.struct(F.when(is_open, 0).otherwise(1).alias("o"), F.col(START), *created, *[F.col(c) for c in rest])
-    ranked = target.withColumn("__rank", rank)
-
-    best_current = (
-        ranked.where(F.col(CURRENT) == "Y")
-        .groupBy(*keys)
-        .agg(F.min("__rank").alias("__best"), F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > 1)
-        .select(*keys, F.col("__best").alias("__best_current"))
-    )
-    group = [*keys, HASH]
-    starts = target.where(F.col(END).isNotNull() & F.col(HASH).isNotNull()).select(
-        *group, F.col(START).alias("__meets")
-    )
-    chained = (
-        target.where(F.col(END).isNotNull() & F.col(HASH).isNotNull())
-        .select(*group, F.col(END).alias("__meets"))
-        .join(starts, [*group, "__meets"], "left_semi")
-        .select(*group)
-        .distinct()
-    )
-    best_chained = (
-        join_splitting(ranked, chained, group, "left_semi")
-        .groupBy(*group)
-        .agg(F.min("__rank").alias("__best_chained"))
-    )
-    judged = join_splitting(join_splitting(ranked, best_current, keys), best_chained, group)
-    in_current_group = (F.col(CURRENT) == "Y") & F.col("__best_current").isNotNull()
-    in_chain = F.col("__best_chained").isNotNull()
-    survives = (F.col("__rank") == F.col("__best_current")) | ~F.coalesce(in_current_group, F.lit(False))
-    survives = survives & ((F.col("__rank") == F.col("__best_chained")) | ~in_chain)
-    touched = F.coalesce(in_current_group, F.lit(False)) | in_chain
-    repaired = judged.where(survives)
-    columns = target.columns
-    # rows equal in every column share the best rank; one copy is enough
-    return (
-        repaired.where(~touched).select(*columns).unionByName(repaired.where(touched).select(*columns).distinct())
-    )
+    created = [F.col(CREATE_TS)] if CREATE_TS in columns else []
+    rest = [F.col(f"`{name}`") for name in columns if name not in {START, CREATE_TS}]
+    return [F.when(is_open, 0).otherwise(1), F.col(START), *created, *rest]
+
+
+def _joined_chains(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """One row per run of versions whose intervals meet or overlap, with the run's whole interval."""
+    in_order = Window.partitionBy(*group).orderBy(F.col(START), F.col(END))
+    reached = F.max(END).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (F.col(START) > reached), 1).otherwise(0)
+    numbered = rows.withColumn("__begins", begins).withColumn("__chain", F.sum("__begins").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    chain = Window.partitionBy(*group, "__chain")
+    spanned = numbered.withColumns({"__from": F.min(START).over(chain), "__to": F.max(END).over(chain)})
+    chosen = first_per_key(spanned, [*group, "__chain"], _preference(rows.columns))
+    return chosen.withColumns({START: F.col("__from"), END: F.col("__to")}).select(*rows.columns)
 
 
 def migrate_to_scd2(
@@ -296,19 +303,21 @@ def scd2_append(
     partitions: Iterable[str] = (),
 ) -> DataFrame:
     """Rows to append to an append-only version table: keys that are new or whose content differs from
-    their latest row. With ``id_column`` they get surrogate ids that go on from the highest one."""
+    their latest row. With ``id_column`` they get surrogate ids that go on from the highest one. Rows without a complete key
+    are compared by their whole content: they are appended when no row of the history has it."""
     incoming = clean_strings(source) if clean else source
     compared = data_columns(incoming.columns, [*partitions, column, *([id_column] if id_column else [])])
-    latest = versions_as_of(history, keys, run_date, column).select(
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    latest = versions_as_of(history.where(complete), keys, run_date, column).select(
         *keys, row_hash(compared).alias("__known")
     )
-    fresh = (
-        incoming.withColumn("__hash", row_hash(compared))
-        .join(latest, list(keys), "left")
-        .where(F.col("__known").isNull() | (F.col("__known") != F.col("__hash")))
-        .drop("__known", "__hash")
-        .withColumn(column, day(run_date))
+    hashed = incoming.withColumn("__hash", row_hash(compared))
+    keyed = join_splitting(hashed.where(complete), latest, keys).where(
+        F.col("__known").isNull() | (F.col("__known") != F.col("__hash"))
     )
+    seen = history.where(~complete & (F.col(column) <= day(run_date))).select(row_hash(compared).alias("__hash")).distinct()
+    keyless = hashed.where(~complete).join(seen, "__hash", "left_anti")
+    fresh = keyed.drop("__known", "__hash").unionByName(keyless.drop("__hash")).withColumn(column, day(run_date))
     if id_column is None:
         return fresh.select(*history.columns)
     last_id = history.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("last_id")).scalar()

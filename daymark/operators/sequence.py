@@ -31,14 +31,14 @@ def number_rows(
 
     Rows that tie in ``order`` are ordered by a hash of the whole row, so that reruns give the same
     numbers and a value that very many rows share can still be split over partitions. The ordered frame
-    is checkpointed, because the counts and the numbers must come from one and the same partitioning.
+    is written as Parquet, because the counts and the numbers must come from one and the same partitioning;
+    the counts read its slots only. Without ``partitions`` Spark sizes the ranges.
     """
-    size = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = [*order, TIE]
+    tied = df.withColumn(TIE, F.xxhash64(*df.columns))
+    ranged = tied.repartitionByRange(partitions, *total) if partitions else tied.repartitionByRange(*total)
     placed = settle(
-        df.withColumn(TIE, F.xxhash64(*df.columns))
-        .repartitionByRange(size, *total)
-        .sortWithinPartitions(*total)
+        ranged.sortWithinPartitions(*total)
         .drop(TIE)
         .withColumn(SLOT, F.monotonically_increasing_id())
     )

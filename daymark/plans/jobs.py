@@ -62,9 +62,11 @@ def run_job(
     for other in JOBS:  # earlier offers are read back, so the tables have to be there
         create_table(spark, f"{database}.{other}", CONTRACTS[other], f"{root.rstrip('/')}/{other}")
     rows = build(name, Sources(own_or_source(spark, database, source), run_date), run_date, **options)
+    # named, so that a rerun without rows takes back what an earlier one has published
+    own = {partition: str(run_date) for partition in contract.partitions} or None
     if metrics:
-        return write_with_metrics(rows, table, contract=contract)
-    write_table(rows, table, contract)
+        return write_with_metrics(rows, table, contract=contract, replacing=own)
+    write_table(rows, table, contract, replacing=own)
     return {"table": table}
 
 

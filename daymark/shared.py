@@ -29,6 +29,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder once and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame to the shared folder once, as Parquet, and go on from there: columns nobody asks for aren't read again."""
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -438,6 +438,16 @@ def offer_code_build(t):
     return t.customer.select("c_custkey", codes.build_code("AL", "PTB", RUN, "c_custkey").alias("code"))
 
 
+@query(
+    "SELECT c_custkey, 'ALPTB0698B' || lpad(CAST(c_custkey * 50000 AS VARCHAR), 9, '0') AS code, c_custkey * 50000 AS number FROM customer WHERE c_custkey * 50000 < 1000000000"
+)
+def offer_code_nine_digits(t):
+    """A wider sequence, for months with more than 9,999,999 codes."""
+    wide = t.customer.where(F.col("c_custkey") * 50000 < 1000000000).withColumn("n", F.col("c_custkey") * 50000)
+    coded = wide.select("c_custkey", codes.build_code("AL", "PTB", RUN, "n", digits=9).alias("code"))
+    return coded.select("*", codes.code_sequence("code", digits=9).cast("long").alias("number"))
+
+
 @query(
     """SELECT bbn, offer_code, CAST(right(offer_code, 7) AS INTEGER) AS number, CAST(substr(offer_code, 6, 2) AS INTEGER) AS month,
               CAST(substr(offer_code, 8, 2) AS INTEGER) AS year,

@@ -112,8 +112,14 @@ def scd2_idempotent(t):
     return scd.scd2_merge(once, t.sql(SOURCE), ["bbn"], RUN, user="second", now=dt.datetime(1998, 6, 15, 12, 0))
 
 
-@query(
-    f"""WITH {TARGET_CTES}, held AS (SELECT * FROM target WHERE current_row_flag = 'Y')
+@query(MERGED)
+def scd2_types_differ(t):
+    """A source with doubles where the table holds decimals changes nothing that is equal."""
+    source = t.sql(SOURCE).withColumn("balance", F.col("balance").cast("double"))
+    return scd.scd2_merge(_target(t), source, ["bbn"], RUN, user=USER, now=NOW)
+
+
+SCD1_MERGED = f"""WITH {TARGET_CTES}, held AS (SELECT * FROM target WHERE current_row_flag = 'Y')
         SELECT coalesce(s.bbn, t.bbn) AS bbn, CAST(CASE WHEN upd THEN s.balance ELSE t.balance END AS DOUBLE) AS balance,
                CASE WHEN upd THEN s.row_hash_value ELSE t.row_hash_value END AS row_hash_value,
                coalesce(t.ctrl_create_user_id, '{USER}') AS ctrl_create_user_id,
@@ -121,7 +127,9 @@ def scd2_idempotent(t):
                CAST(CASE WHEN upd THEN TIMESTAMP '{NOW}' ELSE t.ctrl_last_update_ts END AS VARCHAR) AS ctrl_last_update_ts
         FROM (SELECT t.bbn AS tk, s.bbn AS sk, s.bbn IS NOT NULL AND (t.row_hash_value IS NULL OR t.row_hash_value <> s.row_hash_value) AS upd
               FROM held t FULL JOIN source s ON t.bbn = s.bbn) k LEFT JOIN held t ON k.tk = t.bbn LEFT JOIN source s ON k.sk = s.bbn"""
-)
+
+
+@query(SCD1_MERGED)
 def scd1_merge(t):
     held = _target(t).where("current_row_flag = 'Y'").drop(*scd.VERSION_COLUMNS)
     merged = scd.scd1_merge(held, t.sql(SOURCE), ["bbn"], user=USER, now=NOW)
@@ -145,19 +153,49 @@ RANK = """CASE WHEN row_eff_end_date = DATE '9999-12-31' THEN 0 ELSE 1 END, row_
 
 @query(
     f"""WITH damaged AS ({DAMAGED_SQL}),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY bbn, current_row_flag ORDER BY {RANK}) AS current_rank,
-                          row_number() OVER (PARTITION BY bbn, row_hash_value ORDER BY {RANK}) AS hash_rank FROM damaged),
         chained AS (SELECT DISTINCT a.bbn, a.row_hash_value FROM damaged a JOIN damaged b ON a.bbn = b.bbn
-            AND a.row_hash_value = b.row_hash_value AND a.row_eff_end_date = b.row_eff_start_date AND b.row_eff_end_date IS NOT NULL)
-        SELECT r.bbn, status, r.row_hash_value, CAST(row_eff_start_date AS VARCHAR) AS row_eff_start_date,
+            AND a.row_hash_value = b.row_hash_value AND a.row_eff_end_date = b.row_eff_start_date AND b.row_eff_end_date IS NOT NULL),
+        marked AS (SELECT d.*, c.bbn IS NOT NULL AND row_eff_end_date IS NOT NULL AS broken
+            FROM damaged d LEFT JOIN chained c ON d.bbn = c.bbn AND d.row_hash_value = c.row_hash_value),
+        seen AS (SELECT *, max(row_eff_end_date) OVER (PARTITION BY bbn, row_hash_value ORDER BY row_eff_start_date, row_eff_end_date
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM marked WHERE broken),
+        chains AS (SELECT *, sum(CASE WHEN reached IS NULL OR row_eff_start_date > reached THEN 1 ELSE 0 END) OVER (
+            PARTITION BY bbn, row_hash_value ORDER BY row_eff_start_date, row_eff_end_date ROWS UNBOUNDED PRECEDING) AS chain FROM seen),
+        spans AS (SELECT bbn, row_hash_value, chain, min(row_eff_start_date) AS from_date, max(row_eff_end_date) AS to_date FROM chains GROUP BY ALL),
+        first_rows AS (SELECT * FROM chains QUALIFY row_number() OVER (PARTITION BY bbn, row_hash_value, chain ORDER BY {RANK}) = 1),
+        whole AS (
+            SELECT bbn, status, row_hash_value, row_eff_start_date, row_eff_end_date, current_row_flag, version_id FROM marked WHERE NOT broken
+            UNION ALL SELECT f.bbn, status, f.row_hash_value, from_date, to_date, current_row_flag, version_id
+            FROM first_rows f JOIN spans s ON f.bbn = s.bbn AND f.row_hash_value = s.row_hash_value AND f.chain = s.chain),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY bbn, current_row_flag ORDER BY {RANK}) AS current_rank FROM whole)
+        SELECT bbn, status, row_hash_value, CAST(row_eff_start_date AS VARCHAR) AS row_eff_start_date,
                CAST(row_eff_end_date AS VARCHAR) AS row_eff_end_date, current_row_flag, version_id
-        FROM ranked r LEFT JOIN chained c ON r.bbn = c.bbn AND r.row_hash_value = c.row_hash_value
-        WHERE (current_row_flag = 'N' OR current_rank = 1) AND (c.bbn IS NULL OR hash_rank = 1)"""
+        FROM ranked WHERE current_row_flag = 'N' OR current_rank = 1"""
 )
 def scd2_repair(t):
     return scd.scd2_repair(t.sql(DAMAGED), ["bbn"])
 
 
+# the same content in adjoining intervals, then other content, then the first content again
+RETURNING = """
+    SELECT CAST(c_custkey AS STRING) AS bbn, segment AS status, md5(segment) AS row_hash_value, CAST(from_date AS DATE) AS row_eff_start_date,
+           CAST(to_date AS DATE) AS row_eff_end_date, flag AS current_row_flag, c_custkey * 10 + n AS version_id
+    FROM {customer} CROSS JOIN (VALUES (1, 'A', '1998-01-01', '1998-02-01', 'N'), (2, 'A', '1998-02-01', '1998-03-01', 'N'),
+        (3, 'B', '1998-03-01', '1998-06-01', 'N'), (4, 'A', '1998-06-01', '9999-12-31', 'Y')) v (n, segment, from_date, to_date, flag)
+    WHERE c_nationkey < 12 OR n <> 2"""
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS bbn, status, md5(status) AS row_hash_value, start_ AS row_eff_start_date, end_ AS row_eff_end_date,
+           flag AS current_row_flag, c_custkey * 10 + n AS version_id
+       FROM customer, LATERAL (VALUES (1, 'A', '1998-01-01', CASE WHEN c_nationkey < 12 THEN '1998-03-01' ELSE '1998-02-01' END, 'N'),
+           (3, 'B', '1998-03-01', '1998-06-01', 'N'), (4, 'A', '1998-06-01', '9999-12-31', 'Y')) v (n, status, start_, end_, flag)"""
+)
+def scd2_repair_returning(t):
+    """A chain becomes one row; the same content after a gap stays a version of its own."""
+    return scd.scd2_repair(t.sql(RETURNING), ["bbn"])
+
+
 APPEND_SOURCE = """
     SELECT CAST(c_custkey AS STRING) AS bbn, CASE WHEN c_acctbal > 5000 THEN ' F' ELSE 'O ' END AS status FROM {customer}
     UNION ALL SELECT 'N' || CAST(c_custkey AS STRING), 'n/a' FROM {customer} WHERE c_acctbal < 0"""
@@ -348,7 +386,29 @@ def save_and_copy(t):
 def compact_table(t):
     table = _table(t, "compact", DAILY)
     tables.write_table(_monthly(t), table, DAILY, clustered=False)
-    tables.compact(t.spark, table, ["day", "o_orderkey"])
+    tables.compact(t.spark, table, scratch_path(t.spark, "compacted"), ["day", "o_orderkey"])
+    return t.spark.table(table)
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(date_trunc('month', o_orderdate)::DATE AS VARCHAR) AS day FROM orders")
+def copy_in_place(t):
+    """A table whose files were copied, checked and taken into use where they are now."""
+    table = _table(t, "moved", DAILY)
+    tables.write_table(_monthly(t), table, DAILY)
+    tables.copy_in_place(t.spark, table, scratch_path(t.spark, "moved-to"))
+    return t.spark.table(table)
+
+
+@query(
+    f"""SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(date_trunc('month', o_orderdate)::DATE AS VARCHAR) AS day
+        FROM orders WHERE {MONTH} <> DATE '1998-06-01'"""
+)
+def write_empty_rerun(t):
+    """A rerun without rows takes its partition away and leaves the others alone."""
+    table = _table(t, "rerun", DAILY)
+    monthly = _monthly(t)
+    tables.write_table(monthly, table, DAILY)
+    tables.write_table(monthly.where("o_orderkey < 0"), table, DAILY, replacing={"day": "1998-06-01"})
     return t.spark.table(table)
 
 
@@ -382,6 +442,35 @@ def scd2_written(t):
     return t.spark.table(table)
 
 
+@query(MERGED)
+def scd2_rerun_written(t):
+    """A run that broke off after it had closed rows in the history, and was repeated."""
+    table = _table(t, "versioned", VERSIONED)
+    tables.write_table(_target(t), table, VERSIONED)
+    held = S.where_all(t.spark.table(table), "current_row_flag = 'Y'")
+    step = scd.scd2_step(held, t.sql(SOURCE), ["bbn"], RUN, user=USER, now=NOW)
+    tables.write_table(step.where("scd_action = 'closed'").drop("scd_action"), table, mode="append")
+    tables.write_scd2_step(step, table)
+    return t.spark.table(table)
+
+
+FLAT = C.TableContract.from_ddl(
+    "flat",
+    """bbn string, segment string, balance decimal(18,2), row_hash_value string, ctrl_create_user_id string, ctrl_create_ts timestamp,
+    ctrl_last_update_user_id string, ctrl_last_update_ts timestamp""",
+    keys=("bbn",),
+)
+
+
+@query(SCD1_MERGED)
+def scd1_written(t):
+    """The merge put in the place of the table that it read."""
+    table = _table(t, "flat", FLAT)
+    tables.write_table(_target(t).where("current_row_flag = 'Y'").drop(*scd.VERSION_COLUMNS), table, FLAT)
+    tables.write_scd1(scd.scd1_merge(t.spark.table(table), t.sql(SOURCE), ["bbn"], user=USER, now=NOW), table)
+    return t.spark.table(table).select("bbn", "balance", scd.HASH, scd.CREATE_USER, scd.UPDATE_USER, scd.UPDATE_TS)
+
+
 @query("SELECT l_orderkey, l_quantity, l_returnflag FROM lineitem")
 def delimited_table(t):
     """Rows through a table over pipe-delimited text."""

@@ -5,7 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,8 +109,14 @@ def write_table(
     mode: str = "overwrite",
     strict: bool = True,
     clustered: bool = True,
+    replacing: Mapping[str, object] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Insert by column name. An overwrite of a partitioned table replaces only the partitions written."""
+    """Insert by column name. An overwrite of a partitioned table replaces only the partitions written.
+
+    ``replacing`` names one partition by the values of all partition columns: it is replaced by the rows
+    of that partition even when there are none, and rows of others are refused.
+    """
     spark = df.sparkSession
     if contract is not None:
         df = conform(df, contract, strict)
@@ -119,30 +128,52 @@ def write_table(
     if clustered:
         order = contract.write_ordered_by if contract is not None else ()
         rows = spread(rows, [c.name for c in target if c.isPartition], order)
+    if tasks is not None:
+        rows = rows.repartition(tasks)
+    if replacing is not None:
+        _replace_partition(rows, table, {c.name: replacing[c.name] for c in target if c.isPartition})
+        return df
     with _partition_overwrite(spark, "dynamic"):
         rows.write.mode(mode).insertInto(quote(table))
     return df
 
 
+def _replace_partition(rows: DataFrame, table: str, values: Mapping[str, object]) -> None:
+    """Overwrite exactly one partition, also by nothing."""
+    inside = [F.col(name).cast("string").eqNullSafe(F.lit(str(value))) for name, value in values.items()]
+    other = F.raise_error(F.lit(f"{table}: a row belongs to another partition than {dict(values)}")).cast("boolean")
+    own = rows.where(F.when(reduce(and_, inside), F.lit(True)).otherwise(other)).drop(*values)
+    view = f"replacing_{uuid.uuid4().hex}"
+    own.createOrReplaceTempView(view)
+    spec = ", ".join(f"`{name}` = '{value}'" for name, value in values.items())
+    try:
+        rows.sparkSession.sql(f"INSERT OVERWRITE TABLE {quote(table)} PARTITION ({spec}) SELECT * FROM {view}")
+    finally:
+        rows.sparkSession.catalog.dropTempView(view)
+
+
 def write_parts(frames: Sequence[DataFrame], table: str, mode: str = "overwrite", **options) -> DataFrame | None:
-    """Several frames into one table: united by name and written once. Nothing happens when all are empty."""
-    frames = [frame for frame in frames if not frame.isEmpty()]
+    """Several frames into one table: united by name and written once. None, and nothing happens, when all are empty."""
     if not frames:
         return None
     whole = frames[0]
     for frame in frames[1:]:
         whole = whole.unionByName(frame)
-    return write_table(whole, table, mode=mode, **options)
+    return whole if _write_if_any(whole, table, mode, options) else None
 
 
 def write_each(frames: Mapping[str, DataFrame], mode: str = "overwrite", **options) -> list[str]:
     """One table per frame; empty frames are passed over. Returns the tables written."""
-    written = []
-    for table, frame in frames.items():
-        if not frame.isEmpty():
-            write_table(frame, table, mode=mode, **options)
-            written.append(table)
-    return written
+    return [table for table, frame in frames.items() if _write_if_any(frame, table, mode, options)]
+
+
+def _write_if_any(df: DataFrame, table: str, mode: str, options: Mapping[str, object]) -> bool:
+    """Write a frame and tell whether it had rows, counted by the write. Only where an empty write would
+    clear the table - an overwrite without partitions - the frame is looked at beforehand."""
+    partitioned = any(c.isPartition for c in df.sparkSession.catalog.listColumns(table))
+    if mode == "overwrite" and not partitioned and df.isEmpty():
+        return False
+    return write_with_metrics(df, table, mode=mode, **options)["rows"] > 0
 
 
 def save_table(
@@ -172,38 +203,72 @@ def save_table(
 
 
 def write_scd2_step(
-    step: DataFrame, table: str, action: str = "scd_action", closed: str = "closed", resume_keys: Sequence[str] = ()
+    step: DataFrame, table: str, action: str = "scd_action", closed: str = "closed", resume_keys: Sequence[str] | None = None
 ) -> None:
     """Apply an ``scd2_step`` to its table, which is partitioned by the current flag.
 
     Rows closed by the run are appended to the history; the current partition is then replaced. The
     step is settled first, because its input is the very partition that gets replaced. A run that broke
-    off between the two writes is repeated with ``resume_keys`` (business keys and start date): closed
-    rows that are in the history already are then not appended again.
+    off between the two writes can be repeated: closed rows that the history holds already are not appended
+    again. They are told by ``resume_keys``, by default by all columns but the control columns, and are looked for only among rows
+    that end where closed rows end.
     """
     rows = settle(step)
     ended = rows.where(F.col(action) == closed).drop(action)
-    if resume_keys:
-        history = step.sparkSession.table(table).where("current_row_flag = 'N'").select(*resume_keys)
-        ended = settle(ended.join(history, list(resume_keys), "left_anti"))
-    write_table(ended, table, mode="append")
+    history = step.sparkSession.table(table).where("current_row_flag = 'N'")
+    same = resume_keys or [c for c in ended.columns if not c.startswith("ctrl_") and c != "current_row_flag"]
+    ends = [r[0] for r in ended.select("row_eff_end_date").distinct().collect()]  # the run date, and NULL of tombstones
+    dates = [e for e in ends if e is not None]
+    near = F.col("row_eff_end_date").isin(dates) if dates else F.lit(False)
+    near = F.coalesce(near, F.lit(False)) | (F.col("row_eff_end_date").isNull() if None in ends else F.lit(False))
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in same])
+    there = history.where(near).select(mark.alias("__mark"), F.struct(*[F.col(f"`{c}`") for c in same]).alias("__row")).distinct()
+    fresh = ended.withColumn("__mark", mark).alias("e").join(
+        there.alias("h"), (F.col("e.__mark") == F.col("h.__mark")) & F.struct(*[F.col(f"e.`{c}`") for c in same]).eqNullSafe(F.col("h.__row")), "left_anti"
+    )
+    write_table(settle(fresh.drop("__mark")), table, mode="append")
     write_table(rows.where(F.col(action) != closed).drop(action), table, mode="overwrite")
 
 
+def write_scd1(merged: DataFrame, table: str) -> None:
+    """Put an ``scd1_merge`` in the place of the table that it read: the rows are settled, then written over it."""
+    write_table(settle(merged), table, mode="overwrite")
+
+
 # --- upkeep -----------------------------------------------------------------------------------------
 
 
 def compact(
-    spark: SparkSession, table: str, order: Sequence[str], where: str | None = None, tasks: int | None = None
+    spark: SparkSession, table: str, path: str, order: Sequence[str], where: str | None = None, tasks: int | None = None
 ) -> None:
-    """Rewrite a table sorted: rows in global key ranges, sorted inside each file.
+    """Rewrite a table sorted, rows in global key ranges and sorted inside each file, under a new ``path``.
 
-    ``where`` picks whole partitions; the others are left as they are. The rows go through the shared
-    folder, since a table cannot be replaced while it is being read.
+    The new files are written beside the old ones in one pass; then the table, or each of its partitions, is pointed at
+    them. Readers see the old files or the new ones, and the old ones stay for who clears them up. ``where``
+    picks whole partitions; the others keep their place.
     """
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     chosen = spark.table(table) if where is None else spark.table(table).where(where)
     ranged = chosen.repartitionByRange(tasks, *order) if tasks else chosen.repartitionByRange(*order)
-    write_table(settle(ranged.sortWithinPartitions(*order)), table, clustered=False)
+    writer = ranged.sortWithinPartitions(*partitions, *[c for c in order if c not in partitions]).write
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    switch_location(spark, table, path, partitions, where)
+
+
+def switch_location(spark: SparkSession, table: str, path: str, partitions: Sequence[str], where: str | None = None) -> None:
+    """Point a table, or its partitions (those ``where`` picks), at files that were written under ``path``."""
+    if not partitions:
+        spark.sql(f"ALTER TABLE {quote(table)} SET LOCATION '{path}'")
+    else:
+        named = spark.table(table) if where is None else spark.table(table).where(where)
+        names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {quote(table)}").collect()]
+        if where is not None:
+            wanted = {tuple(str(v) for v in r) for r in named.select(*partitions).distinct().collect()}
+            names = [n for n in names if tuple(part.split("=", 1)[1] for part in n.split("/")) in wanted]
+        for name in names:
+            spec = ", ".join("`{}` = '{}'".format(*part.split("=", 1)) for part in name.split("/"))
+            spark.sql(f"ALTER TABLE {quote(table)} PARTITION ({spec}) SET LOCATION '{path.rstrip('/')}/{name}'")
+    spark.sql(f"REFRESH TABLE {quote(table)}")
 
 
 def copy_table(spark: SparkSession, table: str, copy: str, path: str, validate: bool = True) -> None:
@@ -219,6 +284,20 @@ def copy_table(spark: SparkSession, table: str, copy: str, path: str, validate:
             raise ValueError(f"{copy} differs from {table} in {differing} rows")
 
 
+def copy_in_place(spark: SparkSession, table: str, path: str) -> None:
+    """Copy a table's files to a new path, check that they hold the same rows, and point the table at them."""
+    from daymark.operators.reconcile import difference_count
+
+    source = spark.table(table)
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    writer = spread(source, partitions).write
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    differing = difference_count(source, spark.read.schema(source.schema).parquet(path).select(*source.columns))
+    if differing:
+        raise ValueError(f"the copy of {table} at {path} differs in {differing} rows")
+    switch_location(spark, table, path, partitions)
+
+
 # --- metrics ----------------------------------------------------------------------------------------
 
 
@@ -231,4 +310,7 @@ def observed(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observa
 def write_with_metrics(df: DataFrame, table: str, **options) -> dict:
     watched, observation = observed(df)
     write_table(watched, table, **options)
-    return {"table": table, **observation.get}
+    try:
+        return {"table": table, **observation.get}
+    except Py4JJavaError:  # the optimizer saw that there are no rows and took the count away with them
+        return {"table": table, "rows": 0}

@@ -122,7 +122,7 @@ def test_repair(spark):
     rows = [
         # two current rows: the open one stays although it started later
         ("a", "1", D(2024, 1, 1), D(2024, 2, 1), "Y"), ("a", "2", D(2024, 3, 1), OPEN, "Y"),
-        # one content in adjoining intervals: the open one stays
+        # one content in adjoining intervals: one row with the whole interval
         ("b", "1", D(2024, 1, 1), D(2024, 2, 1), "N"), ("b", "1", D(2024, 2, 1), OPEN, "Y"),
         # the same content again after a gap, and after a tombstone: history, stays
         ("c", "1", D(2024, 1, 1), D(2024, 2, 1), "N"), ("c", "1", D(2024, 3, 1), OPEN, "Y"),
@@ -131,11 +131,43 @@ def test_repair(spark):
         ("e", "1", D(2024, 1, 1), OPEN, "Y"), ("e", "1", D(2024, 1, 1), OPEN, "Y"),
     ]
     repaired = state(scd.scd2_repair(table(spark, rows), ["k"]))
-    assert repaired == sorted([rows[1], rows[3], *rows[4:9], rows[9]], key=repr)
+    joined = ("b", "1", D(2024, 1, 1), OPEN, "Y")
+    assert repaired == sorted([rows[1], joined, *rows[4:9], rows[9]], key=repr)
     again = scd.scd2_repair(table(spark, repaired), ["k"])
     assert state(again) == repaired
 
 
+def test_repair_keeps_what_comes_back(spark):
+    rows = [
+        ("a", "A", D(2024, 1, 1), D(2024, 2, 1), "N"), ("a", "A", D(2024, 2, 1), D(2024, 3, 1), "N"), ("a", "B", D(2024, 3, 1), D(2024, 6, 1), "N"),
+        ("a", "A", D(2024, 6, 1), OPEN, "Y"),
+    ]
+    want = [("a", "A", D(2024, 1, 1), D(2024, 3, 1), "N"), rows[2], rows[3]]
+    assert state(scd.scd2_repair(table(spark, rows), ["k"])) == sorted(want, key=repr)
+
+
+def test_runs_dated_back_and_repeated_source_keys_are_refused(spark):
+    held = table(spark, [("a", "1", START, OPEN, "Y"), ("b", "1", START, OPEN, "Y")])
+    with pytest.raises(Exception, match="before the start of an open row"):
+        merge(held, source(spark, [("a", "2"), ("b", "1")]), "2023-12-01").collect()
+    # nothing would be closed
+    assert len(merge(held, source(spark, [("a", "1"), ("b", "1")]), "2023-12-01").collect()) == 2
+    for rows in ([("a", "1"), ("a", "1")], [("a", "1"), ("a", "2"), ("b", "1")]):
+        with pytest.raises(Exception, match="more than once: a"):
+            merge(held, source(spark, rows)).collect()
+        with pytest.raises(Exception, match="more than once: a"):
+            scd.scd1_merge(held.drop(*scd.VERSION_COLUMNS), source(spark, rows), ["k"], "new", NOW).collect()
+    # rows without a key aren't keys
+    assert len(merge(held, source(spark, [("a", "1"), ("b", "1"), (None, "1"), (None, "1")])).collect()) == 4
+
+
+def test_hash_is_taken_of_what_the_table_holds(spark):
+    held = scd.with_row_hash(spark.createDataFrame([("a", 5)], "k string, v int").withColumn("v", F.col("v").cast("decimal(18,2)")))
+    held = scd.with_version_columns(held, START)
+    merged = scd.scd2_merge(held, spark.createDataFrame([("a", 5.0)], "k string, v double"), ["k"], RUN)
+    assert [(r["k"], r["row_eff_start_date"]) for r in merged.collect()] == [("a", START)]
+
+
 def test_merge_can_repair_first(spark):
     twice = table(spark, [("a", "1", START, OPEN, "Y"), ("a", "1", START, OPEN, "Y")])
     assert state(merge(twice, source(spark, [("a", "1")]), repair=True)) == [("a", "1", START, OPEN, "Y")]
@@ -148,6 +180,8 @@ def test_append(spark):
     new = scd.scd2_append(history, source(spark, [("a", "1 "), ("b", "1"), ("c", "n/a")]), ["k"], RUN, id_column="id")
     assert sorted(tuple(r) for r in new.collect()) == [("b", "1", 4, TODAY), ("c", "", 5, TODAY)]
     assert scd.scd2_append(history.drop("id"), source(spark, [("a", "1")]), ["k"], RUN).count() == 0
+    keyless = history.drop("id").unionByName(spark.createDataFrame([(None, "7", START)], "k string, v string, actual_date date"))
+    assert [r["v"] for r in scd.scd2_append(keyless, source(spark, [(None, "7"), (None, "8")]), ["k"], RUN, clean=False).collect()] == ["8"]
 
 
 def test_migrate(spark):

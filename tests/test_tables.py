@@ -80,8 +80,18 @@ def test_metrics_copy_compact(spark, table, tmp_path):
     name = table()
     data = rows(spark, [(i, D(2024, 1, 1 + i % 2), str(i), "") for i in range(10)])
     assert tables.write_with_metrics(data, name, contract=SNAPS) == {"table": name, "rows": 10}
-    tables.compact(spark, name, ["day", "k"], where="day = '2024-01-01'")
+    before = {r["day"]: r[0] for r in spark.table(name).selectExpr("input_file_name()", "day").distinct().collect()}
+    tables.compact(spark, name, str(tmp_path / "sorted"), ["day", "k"], where="day = '2024-01-01'")
     assert spark.table(name).count() == 10
+    after = {r["day"]: r[0] for r in spark.table(name).selectExpr("input_file_name()", "day").distinct().collect()}
+    assert [d for d in before if before[d] != after[d]] == [D(2024, 1, 1)]
+    tables.copy_in_place(spark, name, str(tmp_path / "moved"))
+    assert spark.table(name).count() == 10
+    tables.write_table(data.where("n < 0"), name, SNAPS, replacing={"day": "2024-01-01"})
+    assert [r["day"] for r in spark.table(name).select("day").distinct().collect()] == [D(2024, 1, 2)]
+    with pytest.raises(Exception, match="another partition"):
+        tables.write_table(data, name, SNAPS, replacing={"day": "2024-01-01"})
+    tables.write_table(data, name, SNAPS)
     tables.copy_table(spark, name, f"{name}_copy", str(tmp_path / "copy"))
     assert spark.table(f"{name}_copy").columns[-1] == "day"
 
@@ -96,7 +106,8 @@ def test_interrupted_version_write_can_be_repeated(spark, table):
         "k string, row_eff_start_date date, row_eff_end_date date, current_row_flag string, scd_action string",
     )
     for _ in range(2):
-        tables.write_scd2_step(step, name, resume_keys=["k", "row_eff_start_date"])
+        tables.write_scd2_step(step, name)
+    tables.write_scd2_step(step, name, resume_keys=["k", "row_eff_start_date"])
     assert spark.table(name).count() == 2
 
 
