@@ -20,10 +20,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn(ROW, F.row_number().over(window)).where(F.col(ROW) == 1).drop(ROW)
 
 
+def gaps(df: DataFrame, names: Sequence[str]) -> Column:
+    """How many of the columns hold nothing: NULL, or blank text."""
+    types = dict(df.dtypes)
+    empty = [F.trim(F.col(f"`{n}`")) == "" if types[n] == "string" else F.lit(False) for n in names]
+    counted = [F.when(F.col(f"`{n}`").isNull() | blank, 1).otherwise(0) for n, blank in zip(names, empty, strict=True)]
+    return sum(counted, F.lit(0))
+
+
 def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key where the source states no order: the smallest over all other columns."""
-    others = [F.col(f"`{name}`") for name in df.columns if name not in set(keys)]
-    return first_per_key(df, keys, others or [F.col(keys[0])])
+    """One row per key where the source states no order: the one with the fewest gaps, then the smallest over all other columns."""
+    names = [name for name in df.columns if name not in set(keys)]
+    others = [gaps(df, names), *[F.col(f"`{name}`").asc_nulls_last() for name in names]]
+    return first_per_key(df, keys, others if names else [F.col(keys[0])])
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

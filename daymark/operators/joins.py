@@ -50,17 +50,19 @@ def enrich(left: DataFrame, right: DataFrame, on: Sequence[str], one_per_key: bo
     return join_splitting(left, any_per_key(right, on) if one_per_key else right, on)
 
 
-def enrich_known(left: DataFrame, right: DataFrame, key: str, scatter: Sequence[str]) -> DataFrame:
+def enrich_known(left: DataFrame, right: DataFrame, key: str, scatter: Sequence[str], splitting: bool = True) -> DataFrame:
     """Left join on a text key that many left rows lack.
 
     Rows without a key would all meet in one task, so each gets a key of its own, made from the
-    ``scatter`` columns, that matches nothing. Hot keys can be split as in ``join_splitting``.
+    ``scatter`` columns, that matches nothing. Hot keys can be split as in ``join_splitting``; where keys are
+    close to unique on the left, ``splitting=False`` leaves a right side that was just grouped where it is.
     """
     joint = "__joint"
     spread = F.concat(F.lit("\x00"), F.xxhash64(*scatter).cast("string"))
     keyed = left.withColumn(joint, F.when(is_blank(key), spread).otherwise(F.col(key).cast("string")))
     known = right.where(~is_blank(key)).withColumn(joint, F.col(key).cast("string")).drop(key)
-    return join_splitting(keyed, known, [joint]).drop(joint)
+    joined = join_splitting(keyed, known, [joint]) if splitting else keyed.join(known, joint, "left")
+    return joined.drop(joint)
 
 
 def require(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -19,7 +19,7 @@ from daymark.functions.bounds import DateLike, RunBounds, day, whole_months, who
 from daymark.functions.cleaning import empty_to_null, present
 from daymark.functions.contacts import normalize_landline, normalize_mobile
 from daymark.operators.contract import TableContract, conform
-from daymark.operators.dedup import any_per_key, distinct_keys
+from daymark.operators.dedup import any_per_key, distinct_keys, gaps
 from daymark.operators.joins import enrich_known, join_splitting, joined_key
 from daymark.operators.rollups import any_flag, any_flags, average_between, max_where
 from daymark.plans.contracts import CROSS_SELL_BASE, STAGING_BASE
@@ -74,15 +74,6 @@ def present_key(name: str) -> Column:
     return empty_to_null(name).isNotNull()
 
 
-def application_flags(
-    applications: DataFrame, product_column: str, product: str, windows: Mapping[str, Column]
-) -> DataFrame:
-    """Per application: whether one for the product was created inside each window."""
-    return any_flags(
-        applications, ["app_number"], {name: (F.col(product_column) == product) & when for name, when in windows.items()}
-    )
-
-
 def product_flags(
     loans: DataFrame, auto_applications: DataFrame, home_applications: DataFrame, run_date: DateLike
 ) -> DataFrame:
@@ -96,25 +87,19 @@ def product_flags(
         & F.col("mutated_pn_number").like(BUSINESS_MARK),
     }
     per_application = any_flags(previous_month_end(loans, run_date, "reporting_date"), ["bbn", "app_number"], held)
-    created = F.col("app_create_date")
-    auto = application_flags(
-        auto_applications,
-        "product_cd",
-        AUTO_PRODUCT,
-        {
-            "is_with_al_application_6m_flag": created.between(day(b.start_6m), day(b.month_start)),
-            "is_with_al_application_12m_flag": created.between(day(b.start_12m), day(b.month_start)),
-        },
-    )
-    home = application_flags(
-        home_applications,
-        "product_code",
-        HOME_PRODUCT,
-        {"is_with_hl_application_flag": created.between(day(b.start_12m), day(b.month_start))},
-    )
-    joined = enrich_known(enrich_known(per_application, auto, "app_number", ["bbn"]), home, "app_number", ["bbn"])
-    names = [*held, "is_with_al_application_6m_flag", "is_with_al_application_12m_flag", "is_with_hl_application_flag"]
-    return any_flags(joined, ["bbn"], {name: F.col(name) > 0 for name in names})
+    created, auto = F.col("app_create_date"), F.col("kind") == "auto"
+    half, year = (created.between(day(start), day(b.month_start)) for start in (b.start_6m, b.start_12m))
+    windows = {
+        "is_with_al_application_6m_flag": auto & (F.col("product") == AUTO_PRODUCT) & half,
+        "is_with_al_application_12m_flag": auto & (F.col("product") == AUTO_PRODUCT) & year,
+        "is_with_hl_application_flag": ~auto & (F.col("product") == HOME_PRODUCT) & year,
+    }
+    # both kinds of applications in one grouped pass, so loans meet them in a single join
+    kinds = (("auto", auto_applications, "product_cd"), ("home", home_applications, "product_code"))
+    listed = [df.select("app_number", F.col(product).alias("product"), "app_create_date", F.lit(kind).alias("kind")) for kind, df, product in kinds]
+    applications = any_flags(listed[0].unionByName(listed[1]), ["app_number"], windows)
+    joined = enrich_known(per_application, applications, "app_number", ["bbn"])
+    return any_flags(joined, ["bbn"], {name: F.col(name) > 0 for name in [*held, *windows]})
 
 
 def card_application_flag(applications: DataFrame, run_date: DateLike) -> DataFrame:
@@ -163,7 +148,8 @@ def contact_summary(contacts: DataFrame, details: DataFrame) -> DataFrame:
         F.max(normalize_landline(text)).alias("landline"),
     )
     kind, category = F.col("contact_type_desc"), F.col("contact_category_desc")
-    rows = contacts.where(F.trim(kind).isin("Present", "Permanent", "Office")).join(texts, "cust_contact_key", "left")
+    wanted = contacts.where(F.trim(kind).isin("Present", "Permanent", "Office"))
+    rows = enrich_known(wanted, texts, "cust_contact_key", ["bbn"])
 
     def pick(value: str, wanted_kind: str, wanted_category: str) -> Column:
         return max_where(value, (kind == wanted_kind) & (category == wanted_category))
@@ -192,7 +178,7 @@ def address_summary(addresses: DataFrame, details: DataFrame) -> DataFrame:
     whole = F.concat_ws(" ", "address_line_1_text", "address_line_2_text", "address_line_3_text")
     kind = F.col("address_type_desc")
     return (
-        addresses.join(lines, "cust_address_key", "left")
+        enrich_known(addresses, lines, "cust_address_key", ["bbn"])
         .groupBy("bbn")
         .agg(
             max_where("zip_code", kind == "Present").alias("present_zip_code"),
@@ -207,7 +193,7 @@ def id_summary(proofs: DataFrame, details: DataFrame) -> DataFrame:
     numbers = details.groupBy("cust_id_proof_key").agg(F.max("id_num_value").alias("id_num_value"))
     primary = F.col("id_category_desc") == "Primary"
     return (
-        proofs.join(numbers, "cust_id_proof_key", "left")
+        enrich_known(proofs, numbers, "cust_id_proof_key", ["bbn"])
         .groupBy("bbn")
         .agg(
             max_where("id_type_code", primary).alias("primary_id_type"),
@@ -234,7 +220,7 @@ def branch_summary(classes: DataFrame, branches: DataFrame) -> DataFrame:
         "cust_category_desc",
         F.trim("acct_origin_branch_code").alias("branch_key"),
     )
-    return join_splitting(any_per_key(named, ["bbn"]), listing, ["branch_key"]).drop("branch_key")
+    return enrich_known(any_per_key(named, ["bbn"]), listing, "branch_key", ["bbn"]).drop("branch_key")
 
 
 def list_flags(lists: Mapping[str, DataFrame]) -> DataFrame:
@@ -251,12 +237,14 @@ def one_row_each(inputs: Sequence[tuple[DataFrame, str, Mapping[str, str | Colum
     """Named columns of several customer-level inputs, one row per customer.
 
     Each input is a frame, its customer column and the wanted columns. All go through one grouped pass, every
-    input as one struct of which the smallest is kept, instead of a reduction and a join per input.
+    input as one struct, instead of a reduction and a join per input. Of several rows of a customer the one with the fewest gaps is
+    kept, then the smallest.
     """
     parts, picks, names = [], [], []
     for i, (df, key, columns) in enumerate(inputs):
         chosen = [(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]
-        parts.append(df.select(F.col(key).alias("bbn"), F.struct(*chosen).alias(f"__{i}")))
+        rows = df.select(F.col(key).alias("bbn"), *chosen)
+        parts.append(rows.select("bbn", F.struct(gaps(rows, list(columns)).alias("__gaps"), *columns).alias(f"__{i}")))
         picks.append(F.min(f"__{i}").alias(f"__{i}"))
         names += [F.col(f"__{i}")[name].alias(name) for name in columns]
     united = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
@@ -354,9 +342,10 @@ def staging_base(t: Tables, run_date: DateLike, as_declared_write_off: bool = Fa
         ["internal_acct_num"],
     )
     account = ["bbn", "external_acct_num"]
-    wide = join_splitting(spine, balances, ["external_acct_num"])
-    wide = enrich_known(wide, cards, "credit_card_physical_num", account)
-    wide = enrich_known(wide, payroll, "internal_acct_num", account)
+    # account and card numbers are close to unique here, so only missing ones need scattering; a customer can be large
+    wide = enrich_known(spine, balances, "external_acct_num", account, splitting=False)
+    wide = enrich_known(wide, cards, "credit_card_physical_num", account, splitting=False)
+    wide = enrich_known(wide, payroll, "internal_acct_num", account, splitting=False)
     wide = join_splitting(wide, profile, ["bbn"])
     flags = [c.name for c in STAGING_BASE.columns if c.name.startswith("is_") and c.name in wide.columns]
     derived = {
