@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +41,17 @@ def components(edges: DataFrame) -> DataFrame:
     found = join_splitting(where, least, ["root"], "inner").select("vertex", "component")
     alone = loops.distinct().join(found, "vertex", "left_anti").select("vertex", F.col("vertex").alias("component"))
     return found.unionByName(alone)
+
+
+def forest(x: np.ndarray, y: np.ndarray, count: int) -> np.ndarray:
+    """The smallest number connected to each of ``count`` numbers by pairs (x, y)."""
+    root = np.arange(count)
+    while True:
+        least = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, x, least)
+        np.minimum.at(new, y, least)
+        new = np.minimum(new, new[new])
+        if (new == root).all():
+            return root
+        root = new

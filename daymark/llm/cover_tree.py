@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.llm.common import kept
-from daymark.llm.components import components
+from daymark.llm.components import components, forest
 from daymark.operators.joins import join_splitting
 
 THRESHOLD = 0.98
@@ -114,20 +114,6 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[
     return x[sure], y[sure]
 
 
-def forest(x: np.ndarray, y: np.ndarray, count: int) -> np.ndarray:
-    """The smallest number connected to each of ``count`` numbers by pairs (x, y)."""
-    root = np.arange(count)
-    while True:
-        least = np.minimum(root[x], root[y])
-        new = root.copy()
-        np.minimum.at(new, x, least)
-        np.minimum.at(new, y, least)
-        new = np.minimum(new, new[new])
-        if (new == root).all():
-            return root
-        root = new
-
-
 def centres(x: np.ndarray, most: int) -> np.ndarray:
     """Farthest-first order of unit vectors: every beginning is a net whose radius is what the next centre was away."""
     chosen = [0]
@@ -200,16 +186,18 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
     tasks = _tasks(leaves, held, threshold)
     cut = join_splitting(placed, leaves.select("label", "dim", "leaf", "blocks"), ["label", "dim", "leaf"], "inner")
     cut = cut.withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-    sides = tasks.select("label", "dim", F.col("leaf_a").alias("leaf"), F.col("block_a").alias("block"), "task", F.lit(0).alias("side")).unionByName(
-        tasks.where((F.col("leaf_a") != F.col("leaf_b")) | (F.col("block_a") != F.col("block_b"))).select("label", "dim", F.col("leaf_b").alias("leaf"), F.col("block_b").alias("block"), "task", F.lit(1).alias("side"))
+    tasks = tasks.withColumn("own", (F.col("leaf_a") == F.col("leaf_b")) & (F.col("block_a") == F.col("block_b")))
+    sides = tasks.select("label", "dim", F.col("leaf_a").alias("leaf"), F.col("block_a").alias("block"), "task", F.lit(0).alias("side"), "own").unionByName(
+        tasks.where(~F.col("own")).select("label", "dim", F.col("leaf_b").alias("leaf"), F.col("block_b").alias("block"), "task", F.lit(1).alias("side"), "own")
     )
     dealt = join_splitting(cut.select("label", "dim", "leaf", "block", "v", "copies", "x"), sides, ["label", "dim", "leaf", "block"], "inner")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["side", "v"])
         x, side, ids, copies = np.stack(frame["x"].to_numpy()), frame["side"].to_numpy(), frame["v"].to_numpy(), frame["copies"].to_numpy()
-        split = int((side == 0).sum())
-        same = split == len(x)
+        split, same = int((side == 0).sum()), bool(frame["own"].iloc[0])
+        if not same and split in (0, len(x)):  # a block that the hash left empty
+            return pd.DataFrame({"v": ids[:0], "n": ids[:0], "root": ids[:0]})
         i, j = linked(x[:split], x if same else x[split:], threshold, same)
         j = j if same else j + split
         n = np.bincount(i, copies[j], len(x)) + np.bincount(j, copies[i], len(x))
