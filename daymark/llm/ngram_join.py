@@ -5,25 +5,28 @@ least o = ceil(t n) shares l of its first n - o + l shingles with it, for any l.
 first shingles look frequent takes the l that makes its estimated cost least: a longer prefix, in which l shingles must be shared before the
 pair is verified. Two documents with different l must share as many as the smaller l says, within the prefixes that belong to it.
 
-Equal sets are one class from the start. Links are wanted as connected classes, so classes that share a prefix shingle are first compared with one
-of them, the hub, which costs no more than the list is long and joins groups of near copies whatever their size. Then only
-pairs of classes that are not connected yet are generated, counted and verified, so no link is missed and no group is squared.
-Every verification is an exact comparison of whole sets.
+Equal sets are one class from the start. Links are wanted as connected classes, so each list of classes that share a prefix shingle has a hub, the
+member whose prefix is the most shared, and all lists of a hub are one cluster. Members are first compared with their hub, which costs no more than the lists are
+long and connects most of a group of near copies whatever its size. Any other link joins two members of some cluster, so clusters that are not connected
+by then are searched: members outside of the hub's component against all members, in blocks, inside the tasks. First by prefixes (as many
+shared shingles as the smaller l asks for) and outlines (counts of shingles by hash range, which bound what two sets can share), which only tells the
+members that may still link; their whole sets are then read off their texts and compared. Tasks return members and spanning
+forests, never pairs, so rows grow with the clusters and not with their squares.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymark.llm.common import blocks, kept
-from daymark.llm.components import components
+from daymark.llm.common import bit_map, blocks, in_map, kept
+from daymark.llm.components import components, forest
 from daymark.llm.shingles import set_keys, shingle_sets
 from daymark.operators.joins import join_splitting
 
@@ -35,6 +38,10 @@ SKETCH_PART = 1 << 12
 #: Largest l, and the cost of comparing one shingle against that of reading one list entry.
 MOST_MATCHES = 8
 COMPARE_COST = 0.05
+#: Members of a block when prefixes and outlines, and when whole sets are compared; rows that a task takes together.
+SEARCH_BLOCK = 1024
+SET_BLOCK = 256
+TASK_ROWS = 4000
 
 
 def sets(docs: DataFrame, text: str, size: int) -> DataFrame:
@@ -98,12 +105,25 @@ def prefix_of(shingle: np.ndarray, seen: np.ndarray, floor: float, percent: int,
     return shingle[order[: base + best + 1]], best + 1
 
 
+def outline(shingle: np.ndarray) -> bytes:
+    """How many shingles fall in each of 2^k equal ranges of hashes, about eight in each."""
+    bits = min(15, max(5, int(len(shingle)).bit_length() - 4))
+    return np.bincount((shingle >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u2").tobytes()
+
+
+def most_shared(a: bytes, b: bytes) -> int:
+    """What two sets can have in common at most, by their outlines: a range holds no more common ones than either set has there."""
+    x, y = np.frombuffer(a, dtype="<u2").astype(np.int64), np.frombuffer(b, dtype="<u2").astype(np.int64)
+    size = min(len(x), len(y))
+    return int(np.minimum(x.reshape(size, -1).sum(axis=1), y.reshape(size, -1).sum(axis=1)).sum())
+
+
 def prefixes(docs: DataFrame, text: str, size: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """``key``, ``n``, ``l`` and the prefix (hashes in order) of every row with a set."""
+    """``key``, ``n``, ``l``, the prefix (hashes in order) and the outline of every row with a set."""
     spark = docs.sparkSession
     # the least counter's neighbourhood is what shingles get by sharing counters
     held = spark.sparkContext.broadcast((counts, float(np.median(counts))))
-    schema = "row long, key binary, n long, l int, prefix array<long>"
+    schema = "row long, key binary, n long, l int, prefix array<long>, outline binary"
     schema = T.StructType([docs.schema["row"], *T.StructType.fromDDL(schema).fields[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,26 +141,52 @@ def prefixes(docs: DataFrame, text: str, size: int, percent: int, counts: np.nda
                 block.column(block.schema.get_field_index("row")).take(pa.array(filled, pa.int64())), pa.array([keys[i] for i in filled], pa.binary()),
                 pa.array((begins[1:] - begins[:-1])[filled], pa.int64()), pa.array([m for _, m in chosen], pa.int32()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                pa.array([outline(shingle[begins[i] : begins[i + 1]]) for i in filled], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
+def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and outlines allow enough common shingles."""
+    own = classes.select("v", "n", "outline")
+    left = join_splitting(pairs, own.select(F.col("v").alias("b"), F.col("n").alias("m"), F.col("outline").alias("y")), ["b"], "inner")
+    both = join_splitting(left, own.select(F.col("v").alias("a"), "n", F.col("outline").alias("x")), ["a"], "inner")
+    sized = both.where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m, x, y = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "n", "m", "x", "y"))
+            good = []
+            for total, p, q in zip(pa.compute.add(n, m).to_pylist(), x.to_pylist(), y.to_pylist(), strict=True):
+                shared = most_shared(p, q)
+                good.append(100 * shared >= percent * (total - shared))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return sized.mapInArrow(run, "a long, b long")
+
+
 def whole_sets(docs: DataFrame, wanted: DataFrame, text: str, size: int) -> DataFrame:
-    """``v`` and the sorted set of the classes in ``wanted`` (v, row, key), read off the text of one of their rows."""
-    rows = docs.join(wanted.select(F.col("row").alias("w")).distinct(), F.col("row").eqNullSafe(F.col("w")), "left_semi")
+    """``v`` and the sorted set of the classes in ``wanted`` (v, row, key), read off the text of one of their rows.
+
+    A map of bits of bounded size tells the tasks that read the texts which rows to look at; a few more may pass it, and the join sorts them out.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(bit_map(wanted.select(F.xxhash64("row").alias("g"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
-            row, shingle = shingle_sets(block.column(block.schema.get_field_index(text)), size)
-            keys = set_keys(row, shingle, block.num_rows)
-            begins = np.searchsorted(row, np.arange(block.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(begins), pa.array(shingle.view(np.int64)))], names=["key", "shingles"])
+        bits = held.value
+        for batch in batches:
+            hashes = batch.column(batch.schema.get_field_index("h")).to_numpy().view(np.uint64)
+            for block in blocks(iter([batch.filter(pa.array(in_map(bits, hashes)))]), text):
+                row, shingle = shingle_sets(block.column(block.schema.get_field_index(text)), size)
+                keys = set_keys(row, shingle, block.num_rows)
+                begins = np.searchsorted(row, np.arange(block.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(begins), pa.array(shingle.view(np.int64)))], names=["key", "shingles"])
 
-    made = rows.select("row", text).mapInArrow(run, "key binary, shingles array<long>")
-    # rows of one id may hold several sets, and a set may come from several rows
-    return made.join(wanted.select("v", "key"), "key").groupBy("v").agg(F.first("shingles").alias("shingles"))
+    made = docs.select(text, F.xxhash64("row").alias("h")).mapInArrow(run, "key binary, shingles array<long>")
+    # a set that several rows of one id have comes several times, which does no harm
+    return kept(made.join(wanted.select("v", "key"), "key").select("v", "shingles"), "whole-sets")
 
 
 def verified(pairs: DataFrame, holding: DataFrame, percent: int) -> DataFrame:
@@ -175,28 +221,31 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     made = kept(sets(docs, "text", size), "sets")
     rows = made.where(F.col("part").isNull()).select("row", "n", "key")
     counts = sketch(made)
-    classes = prefixes(docs, "text", size, percent, counts).groupBy("key").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("l").alias("l"), F.first("prefix").alias("prefix"))
+    classes = prefixes(docs, "text", size, percent, counts).groupBy("key").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("l").alias("l"), F.first("prefix").alias("prefix"), F.first("outline").alias("outline"))
     classes = kept(classes.withColumn("v", F.monotonically_increasing_id()), "classes")
 
-    # one long holds n, l and the least l whose prefix reaches the shingle
-    base = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    level = F.greatest(F.lit(1), F.col("pos") - base + 1).cast("long")
-    packed = F.shiftleft(F.col("n"), 8) + F.shiftleft(F.col("l").cast("long"), 4) + level
-    entries = classes.select("v", "n", "l", F.posexplode("prefix")).select(F.col("col").alias("token"), "v", packed.alias("m")).repartition("token")
-    lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("v").alias("hub")).where("size > 1").select("token", "hub")
+    entries = classes.select("v", F.explode("prefix").alias("token")).repartition("token")
+    lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = kept(entries.join(lists, "token"), "shared")
-
-    tried = kept(_with_hub(shared), "hub-pairs")
-    links = kept(verified(tried, whole_sets(docs, _wanted(tried, classes), "text", size), percent), "hub-links")
-    joined = components(links)
-
-    state = join_splitting(shared.drop("hub"), joined.select(F.col("vertex").alias("v"), "component"), ["v"])
-    state = state.withColumn("component", F.coalesce("component", "v"))
-    open_lists = state.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
-    state = kept(join_splitting(state, open_lists, ["token"], "inner"), "open-lists")
-    pairs = _across(state, percent)
-    pairs = kept(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = verified(pairs, whole_sets(docs, _wanted(pairs, classes), "text", size), percent)
+    clusters = kept(_clusters(shared, classes), "clusters")
+
+    tried = clusters.where((F.col("v") != F.col("hub")) & F.col("tested")).select(F.col("hub").alias("a"), F.col("v").alias("b"))
+    close = kept(plausible(tried, classes, percent), "hub-candidates")
+    links = kept(verified(close, whole_sets(docs, _wanted(close.select(F.explode(F.array("a", "b")).alias("v")), classes), "text", size), percent), "hub-links")
+
+    state = join_splitting(clusters, components(links).select(F.col("vertex").alias("v"), "component"), ["v"])
+    state = kept(state.withColumn("component", F.coalesce("component", "v")), "cluster-state")
+    main = F.max(F.when(F.col("v") == F.col("hub"), F.col("component")))
+    found = state.groupBy("hub").agg(F.min("component").alias("x"), F.max("component").alias("y"), main.alias("main"), F.count(F.lit(1)).alias("n"), F.bool_and("tested").alias("all"))
+    unsettled = found.where((F.col("x") != F.col("y")) & ((F.col("n") > 2) | ~F.col("all"))).select("hub", "main")
+    members = join_splitting(state.select("hub", "v", "component"), unsettled, ["hub"], "inner").withColumn("left", F.col("component") != F.col("main")).drop("main")
+    told = join_splitting(members, classes.select("v", "n", "l", "prefix", "outline"), ["v"], "inner")
+    search = lambda frame: _searched(frame, percent)
+    hopeful = kept(_in_blocks(kept(told, "members"), SEARCH_BLOCK, search, "hub long, v long").distinct(), "hopeful")
+    chosen = whole_sets(docs, _wanted(hopeful.select("v"), classes), "text", size)
+    again = join_splitting(join_splitting(members, hopeful, ["hub", "v"], "inner"), chosen, ["v"], "inner")
+    compare = lambda frame: _compared(frame, percent)
+    more = kept(_in_blocks(kept(again, "member-sets"), SET_BLOCK, compare, "a long, b long"), "cluster-links")
     found = components(links.unionByName(more))
 
     grouped = classes.select("key", "v", "row").join(found.select(F.col("vertex").alias("v"), "component"), "v", "left").withColumn("component", F.coalesce("component", "v"))
@@ -207,39 +256,96 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     return told.select(F.col("row").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _n(m: Column) -> Column:
-    return F.shiftright(m, 8)
-
-
-def _l(m: Column) -> Column:
-    return F.shiftright(m, 4).bitwiseAND(F.lit(15))
-
-
-def _level(m: Column) -> Column:
-    return m.bitwiseAND(F.lit(15))
-
-
-def _with_hub(shared: DataFrame) -> DataFrame:
-    """Pairs of a class and the hub of one of its lists; a class that needs l matches must share that many of the hub's lists."""
-    own = shared.where(F.col("v") != F.col("hub")).groupBy("hub", "v").agg(F.count(F.lit(1)).alias("c"), F.max("m").alias("m"))
-    return own.where(F.col("c") >= _l(F.col("m"))).select(F.col("hub").alias("a"), F.col("v").alias("b"))
-
-
-def _across(state: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different components that share enough prefix shingles and whose sizes allow a link."""
-    x = state.select("token", F.col("v").alias("a"), F.col("m").alias("p"), F.col("component").alias("c"))
-    y = state.select("token", F.col("v").alias("b"), F.col("m").alias("q"), F.col("component").alias("d"))
-    p, q = F.col("p"), F.col("q")
-    matches = F.least(_l(p), _l(q))
-    sizes = F.least(_n(p), _n(q)) * 100 >= F.greatest(_n(p), _n(q)) * percent
-    within = F.greatest(_level(p), _level(q)) <= matches
-    met = x.join(y, (x["token"] == y["token"]) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & sizes & within)
-    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first(matches).alias("l")).where("n >= l").select("a", "b")
-
-
-def _wanted(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    ends = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct()
-    return kept(classes.select("v", "row", "key").join(ends, "v", "left_semi"), "wanted")
+def _clusters(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """``hub``, ``v`` and whether the two share as many of the hub's lists as the smaller l asks for; a hub is a member too."""
+    weight = shared.groupBy("v").agg(F.sum("size").alias("weight"))
+    weighed = join_splitting(shared.select("token", "v"), join_splitting(weight, classes.select("v", "l"), ["v"], "inner"), ["v"], "inner")
+    hubs = weighed.groupBy("token").agg(F.max(F.struct("weight", "v", "l")).alias("h")).select("token", F.col("h.v").alias("hub"), F.col("h.l").alias("hub_l"))
+    own = join_splitting(weighed.select("token", "v", "l"), hubs, ["token"], "inner")
+    counted = own.groupBy("hub", "v").agg(F.count(F.lit(1)).alias("c"), F.max(F.least("l", "hub_l")).alias("l"))
+    return counted.select("hub", "v", (F.col("c") >= F.col("l")).alias("tested"))
+
+
+def _in_blocks(members: DataFrame, block: int, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Runs ``run`` on every pair of a block of left members and a block of all members of a cluster (column ``side``: 0, 1)."""
+    sizes = kept(members.groupBy("hub").agg(F.ceil(F.sum(F.col("left").cast("long")) / block).cast("int").alias("nl"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nr")), "cluster-sizes")
+    total = members.count()
+    cut = join_splitting(members, sizes, ["hub"], "inner")
+    spot = F.xxhash64("v")
+    left = cut.where("left").withColumn("i", F.pmod(spot, F.col("nl")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
+    right = cut.withColumn("j", F.pmod(spot, F.col("nr")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)))
+    dealt = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).drop("nl", "nr", "left")
+    # many small clusters to a task; a pair of blocks is whole in one
+    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("hub", "i", "j"), F.lit(max(1, 2 * total // TASK_ROWS))))
+
+    def each(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = [run(frame.take(rows)) for rows in frame.groupby(["hub", "i", "j"]).indices.values()]
+        return pd.concat(parts, ignore_index=True)
+
+    return dealt.groupBy("task").applyInPandas(each, schema)
+
+
+def _shares(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each array on the left how many of its values each array on the right holds; values of an array are distinct."""
+    every, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    ends = np.cumsum([0, *map(len, left), *map(len, right)])
+    own = [place[a:b] for a, b in zip(ends, ends[1 : len(left) + 1], strict=False)]
+    there, sizes = place[ends[len(left)] :], np.array([len(x) for x in right])
+    sums = np.concatenate(([0], np.cumsum(sizes)))
+    marked = np.zeros(len(every), dtype=np.int64)
+    for values in own:
+        marked[values] = 1
+        total = np.concatenate(([0], np.cumsum(marked[there])))
+        yield total[sums[1:]] - total[sums[:-1]]
+        marked[values] = 0
+
+
+def _searched(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Members that may link to one of another component, by sizes, prefixes and outlines."""
+    sides = [frame[frame["side"] == k] for k in (0, 1)]
+    (v, w), (n, m), (c, d), (p, q) = ([s[x].to_numpy() for s in sides] for x in ("v", "n", "component", "l"))
+    outlines = [[np.frombuffer(x, dtype="<u2").astype(np.int64) for x in s["outline"]] for s in sides]
+    wide = np.array([len(x) for x in outlines[1]])
+    folded: dict[tuple[int, int], np.ndarray] = {}
+    hopeful = [set(), set()]
+    for i, shared in enumerate(_shares(list(sides[0]["prefix"]), list(sides[1]["prefix"]))):
+        fits = (d != c[i]) & (np.minimum(m, n[i]) * 100 >= np.maximum(m, n[i]) * percent) & (shared >= np.minimum(q, p[i]))
+        own = outlines[0][i]
+        for size in np.unique(wide[fits]):
+            least = min(len(own), int(size))
+            at = np.flatnonzero(wide == size)
+            if (key := (int(size), least)) not in folded:
+                folded[key] = np.stack([outlines[1][k].reshape(least, -1).sum(axis=1) for k in at])
+            good = fits[at]
+            most = np.minimum(folded[key][good], own.reshape(least, -1).sum(axis=1)).sum(axis=1)
+            may = at[good][100 * most >= percent * (n[i] + m[at[good]] - most)]
+            if len(may):
+                hopeful[0].add(int(v[i]))
+                hopeful[1].update(w[may].tolist())
+    chosen = sorted(hopeful[0] | hopeful[1])
+    return pd.DataFrame({"hub": np.full(len(chosen), frame["hub"].iloc[0], dtype=np.int64), "v": np.array(chosen, dtype=np.int64)})
+
+
+def _compared(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """A spanning forest of the links between members of different components, by whole sets."""
+    sides = [frame[frame["side"] == k] for k in (0, 1)]
+    if sides[0].empty or sides[1].empty:
+        return pd.DataFrame({"a": np.empty(0, dtype=np.int64), "b": np.empty(0, dtype=np.int64)})
+    (v, w), (c, d), (x, y) = ([s[k].to_numpy() for s in sides] for k in ("v", "component", "shingles"))
+    sizes, rows, columns = np.array([len(k) for k in y]), [], []
+    for i, shared in enumerate(_shares(list(x), list(y))):
+        met = np.flatnonzero((d != c[i]) & (100 * shared >= percent * (len(x[i]) + sizes - shared)))
+        rows.append(np.full(len(met), i))
+        columns.append(met)
+    ids, number = np.unique(np.concatenate([v, w]), return_inverse=True)
+    a, b = number[np.concatenate(rows)], number[len(v) + np.concatenate(columns)]
+    root = forest(a, b, len(ids))
+    tied = np.flatnonzero(root != np.arange(len(ids)))
+    return pd.DataFrame({"a": ids[tied], "b": ids[root[tied]]})
+
+
+def _wanted(ends: DataFrame, classes: DataFrame) -> DataFrame:
+    return kept(classes.select("v", "row", "key").join(ends.distinct(), "v", "left_semi"), "wanted")
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
