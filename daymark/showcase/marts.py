@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.functions import pricing
@@ -14,6 +15,7 @@ from daymark.plans import contracts, loans, offers
 from daymark.showcase.registry import query
 from daymark.showcase.roles import EVENT_RUN, RUN, TestTables
 from daymark.showcase.scalars import EMAIL_SQL, MONTHS
+from daymark.shared import settle
 
 # --- inputs --------------------------------------------------------------------------------------------
 
@@ -31,7 +33,7 @@ ROLE_NAMES = {
 }
 
 
-class MartTables(Mapping):
+class MartTables:
     """The plan's tables, each derived from the test tables when it is asked for."""
 
     def __init__(self, tables: TestTables):
@@ -44,19 +46,24 @@ class MartTables(Mapping):
             return self.tables.role("prior_offers").where(F.col("offer_code").startswith(code))
         return self.tables.role(ROLE_NAMES.get(name, name))
 
-    def __iter__(self):
-        raise NotImplementedError
 
-    def __len__(self):
-        raise NotImplementedError
+STORED: dict[tuple[str, str], DataFrame] = {}
+
+
+def stored_base(tables: TestTables) -> DataFrame:
+    """The base table as its own job leaves it: built and written once per application and directory."""
+    key = (tables.spark.sparkContext.applicationId, tables.directory)
+    if key not in STORED:
+        STORED[key] = settle(B.staging_base(MartTables(tables), RUN))
+    return STORED[key]
 
 
 class OfferTables(MartTables):
-    """For the offer jobs: the base table just built, and loans with a history."""
+    """For the offer jobs: the stored base table, and loans with a history."""
 
     def __init__(self, tables: TestTables):
         super().__init__(tables)
-        self.base = B.staging_base(MartTables(tables), RUN)
+        self.base = stored_base(tables)
 
     def __getitem__(self, name: str):
         if name == "staging_cross_sell_base":
