@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,11 +63,24 @@ def missing_columns(df: DataFrame, contract: TableContract) -> list[str]:
     return [name for name in contract.names if name not in df.columns]
 
 
+def column_findings(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Declared columns that the table lacks, one row each."""
+    rows = [("", "column_present", name, None) for name in missing_columns(df, contract)]
+    return df.sparkSession.createDataFrame(rows, "row_key string, check_name string, column_name string, value string")
+
+
 def check_table(df: DataFrame, contract: TableContract, run_date: DateLike) -> DataFrame:
-    """Error rows of one table, ready to be appended to an error table."""
-    errors = row_findings(df, contract)
-    if contract.keys:
+    """Error rows of one table, ready to be appended to an error table.
+
+    A missing column is a finding of its own; checks that need a missing key column are left out.
+    """
+    lacking = set(missing_columns(df, contract))
+    keys_there = not lacking.intersection(contract.keys)
+    errors = row_findings(df, contract if keys_there else replace(contract, columns=tuple(c for c in contract.columns if c.name not in lacking)))
+    if contract.keys and keys_there:
         errors = errors.unionByName(key_findings(df, contract))
+    if lacking:
+        errors = errors.unionByName(column_findings(df, contract))
     return errors.select(
         F.lit(contract.name).alias("table_name"),
         "check_name",

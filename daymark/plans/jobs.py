@@ -17,6 +17,7 @@ from daymark.plans import base, offers
 from daymark.plans.contracts import CONTRACTS, CROSS_SELL_BASE, STAGING_BASE
 from daymark.sinks.tables import create_table, write_table, write_with_metrics
 from daymark.sources.registry import SOURCES, CatalogReader, Reader, Sources
+from daymark.sources.snapshots import last_of_table
 
 JOBS = (STAGING_BASE.name, CROSS_SELL_BASE.name, *offers.BUILDERS)
 
@@ -70,12 +71,21 @@ def run_job(
     return {"table": table}
 
 
-def check_job(spark: SparkSession, name: str, run_date: DateLike, database: str, error_table: str | None = None) -> DataFrame:
-    """Check the run date's rows of a produced table; with ``error_table`` the findings are appended to it."""
+def check_job(
+    spark: SparkSession, name: str, run_date: DateLike, database: str, error_table: str | None = None, last_snapshot: bool = False
+) -> DataFrame:
+    """Check the run date's rows of a produced table, or with ``last_snapshot`` its latest ones not after that date.
+
+    With ``error_table`` the findings are appended to it.
+    """
     contract = CONTRACTS[name]
-    rows = spark.table(f"{database}.{name}")
-    for partition in contract.partitions:
-        rows = rows.where(rows[partition] == str(run_date))
+    table = f"{database}.{name}"
+    if last_snapshot:
+        rows = last_of_table(spark, table, run_date)
+    else:
+        rows = spark.table(table)
+        for partition in contract.partitions:
+            rows = rows.where(rows[partition] == str(run_date))
     errors = check_table(rows, contract, run_date)
     if error_table is not None:
         write_table(errors, error_table, mode="append", clustered=False)

@@ -8,6 +8,7 @@ keys - and only the survivors are priced, numbered and widened to the declared c
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -216,7 +217,7 @@ def is_card_product(name: Column | str) -> Column:
     return wanted & ~upper.like("%DIMA%") & ~upper.like("%TIME LOAN%") & ~upper.like("%CASHLINK%")
 
 
-# The answers that count as a contact, and the ids that select card campaign activity.
+# The answers that count as a contact, and the ids that select card campaign activity where none are passed.
 CONTACT_ANSWERS = ("Interested", "For Call Back", "Not Interested")
 CAMPAIGN_OWNER, STATUS_GROUP, OFFER_LAYOUT = 608, 16, 200198
 
@@ -231,9 +232,13 @@ def contacted_customers(
     keep_blank: bool = False,
     leads: DataFrame | None = None,
     products: DataFrame | None = None,
+    status_group: int = STATUS_GROUP,
+    offer_layout: int = OFFER_LAYOUT,
 ) -> DataFrame:
     """Per customer with recent activity, whether somebody reached them in the last three months.
 
+    ``owner``, ``status_group`` and ``offer_layout`` are ids of the installation that runs the campaigns.
+
     With ``leads`` and ``products`` only activity on leads for a card product counts. Without them every
     product does, which is how existing tables were filled: there the two tables were joined from the
     left and read nowhere.
@@ -242,7 +247,7 @@ def contacted_customers(
         F.col("createdon").between(day(add_months(run_date, -3)), day(run_date)) & (F.col("ownerid") == owner)
     )
     answers = (
-        statuses.where((F.col("groupkey") == STATUS_GROUP) & (F.col("ownerid") == owner))
+        statuses.where((F.col("groupkey") == status_group) & (F.col("ownerid") == owner))
         .where(F.col("name").isin(*CONTACT_ANSWERS))
         .select(F.col("lookupid").alias("statusid"))
         .distinct()
@@ -264,7 +269,7 @@ def contacted_customers(
         of_cards = leads.join(wanted, "productid", "left_semi").select(F.col("leadid").alias("relatedtoid"))
         recent = recent.join(of_cards, "relatedtoid", "left_semi")
     kind = F.upper("relatedtotypename")
-    by_call = ((F.col("layoutid") == OFFER_LAYOUT) | (kind == "OFFER")) & (F.col("was_reached") == 1)
+    by_call = ((F.col("layoutid") == offer_layout) | (kind == "OFFER")) & (F.col("was_reached") == 1)
     # activity that counts, reduced to one row per lead before it meets the lead's customer
     per_lead = any_flags(
         join_splitting(recent, answers.withColumn("has_answer", F.lit(1)), ["statusid"])
@@ -293,6 +298,12 @@ def _buyer_columns(run_date: DateLike, mobile_flag: str, blank_is_missing: bool,
     }
 
 
+def exclude_holders(base: DataFrame, t: Tables, run_date: DateLike, offers: Sequence[tuple[str, str]]) -> DataFrame:
+    """Drop customers who hold an unexpired offer of any of the tables, in one anti join."""
+    held = [active_offers(t[offers_name(*offer)], run_date, include_run_date=True).select("bbn") for offer in offers]
+    return exclude(base, reduce(DataFrame.union, held), ["bbn"])
+
+
 def auto_ptb(
     t: Tables,
     run_date: DateLike,
@@ -302,8 +313,7 @@ def auto_ptb(
 ) -> DataFrame:
     """Likely auto-loan buyers without an unexpired auto or card offer."""
     base = one_per_customer(eligible(t["staging_cross_sell_base"].where(present("bbn", blank_is_missing)), rules))
-    for product, kind in (("AL", "STP"), ("CC", "PTB")):
-        base = exclude_active(base, t[offers_name(product, kind)], run_date, include_run_date=True)
+    base = exclude_holders(base, t, run_date, (("AL", "STP"), ("CC", "PTB")))
     coded = numbered(base, t[offers_name("AL", "PTB")], "AL", "PTB", run_date, ["bbn"])
     scored = coded.join(any_per_key(t["ptbcasatoal"].select("bbn", "propensity"), ["bbn"]), "bbn", "left")
     columns = {
@@ -358,8 +368,7 @@ def home_ptb(
 ) -> DataFrame:
     """Likely home-loan buyers without any unexpired home, auto-buyer or card-buyer offer."""
     base = one_per_customer(eligible(t["staging_cross_sell_base"], rules))
-    for product, kind in (("HL", "STP"), ("AL", "PTB"), ("CC", "PTB")):
-        base = exclude_active(base, t[offers_name(product, kind)], run_date, include_run_date=True)
+    base = exclude_holders(base, t, run_date, (("HL", "STP"), ("AL", "PTB"), ("CC", "PTB")))
     coded = numbered(base, t[offers_name("HL", "PTB")], "HL", "PTB", run_date, ["bbn"])
     scores = t["casatohlptb"].select("bbn", "hl_propensity_score")
     scored = coded.join(any_per_key(scores, ["bbn"]), "bbn", "left")

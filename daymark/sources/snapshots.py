@@ -156,11 +156,6 @@ def where_all(df: DataFrame, *conditions: Column | str) -> DataFrame:
     return df
 
 
-def read(spark: SparkSession, name: str, frame: DataFrame | None = None) -> DataFrame:
-    """The frame an earlier step supplies, else the catalog table or temp view of that name."""
-    return spark.table(name) if frame is None else frame
-
-
 def snapshot_column(spark: SparkSession, table: str) -> str:
     """The date column of a catalog table: its one partition column."""
     names = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
@@ -174,7 +169,8 @@ def latest_partition(
 ) -> dt.date:
     """Latest snapshot date of a partitioned catalog table, from partition names alone (no data read)."""
     name = column or snapshot_column(spark, table)
-    dates = spark.sql(f"SHOW PARTITIONS {table}").select(
+    quoted = ".".join(f"`{part.strip('`')}`" for part in table.split("."))
+    dates = spark.sql(f"SHOW PARTITIONS {quoted}").select(
         F.regexp_extract("partition", rf"(?:^|/){name}=([^/]*)", 1).try_cast(T.DateType()).alias(name)
     )
     return latest_date(dates, run_date, name, months_back)

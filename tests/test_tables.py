@@ -150,6 +150,8 @@ def test_quality_of_a_sound_table_is_empty(spark):
     bad = spark.createDataFrame([("a", 1), ("a", 2), (" ", 3)], "k string, n int")
     assert sorted(r["check_name"] for r in quality.check_table(bad, contract, "2024-01-01").collect()) == ["key_present", "key_unique"]
     assert quality.missing_columns(good.drop("n"), contract) == ["n"]
+    lacking = quality.check_table(good.drop("n"), contract, "2024-01-01").collect()
+    assert [(r["check_name"], r["column_name"]) for r in lacking] == [("column_present", "n")]
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
