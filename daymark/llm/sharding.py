@@ -21,7 +21,7 @@ from daymark.operators.joins import join_splitting
 
 SHARDS = 24
 ROUNDS = 8
-KEY, PIECE, SHARD, PIECES = "__sh_key", "__sh_piece", "__sh_shard", "__sh_pieces"
+KEY, PIECE, SHARD, PIECES, BEST = "__sh_key", "__sh_piece", "__sh_shard", "__sh_pieces", "__sh_best"
 
 
 def _values(numbers: list[int]) -> Column:
@@ -53,8 +53,8 @@ def _round(state: DataFrame, quota: list[int], opened: list[bool], shards: int)
     # of a shard that too many want, the share of groups that fits is let in
     share = [min(1.0, q / n) if n else 1.0 for q, n in zip(quota, load, strict=True)]
     drawn = F.pmod(F.xxhash64(*unit, F.lit("draw")), F.lit(1 << 20)) / float(1 << 20)
-    moves = wanted.where((F.col("places") > 1) & (drawn < F.element_at(F.array(*[F.lit(x) for x in share]), F.col("best") + 1))).select(*unit, "best")
-    moved = join_splitting(state, moves, unit, "left").withColumn(SHARD, F.coalesce("best", F.col(SHARD))).drop("best")
+    moves = wanted.where((F.col("places") > 1) & (drawn < F.element_at(F.array(*[F.lit(x) for x in share]), F.col("best") + 1))).select(*unit, F.col("best").alias(BEST))
+    moved = join_splitting(state, moves, unit, "left").withColumn(SHARD, F.coalesce(BEST, F.col(SHARD))).drop(BEST)
     return kept(moved, "sharding"), False
 
 

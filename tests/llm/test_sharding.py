@@ -9,7 +9,7 @@ from daymark.llm.sharding import shard_evenly, shard_table
 
 
 def placed(corpus, rows, shards=5, parts=3):
-    frame = corpus.createDataFrame([(i, t, "s", 0) for i, t in rows], "doc_id long, text string, shard string, n int").repartition(parts)
+    frame = corpus.createDataFrame([(i, t, "s", 0, 1) for i, t in rows], "doc_id long, text string, shard string, n int, best int").repartition(parts)
     return shard_evenly(frame, F.col("text"), shards=shards).collect()
 
 
