@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.functions import pricing
 from daymark.operators.contract import TableContract
 from daymark.operators.joins import active_offers, exclude_active
 from daymark.plans import base as B
 from daymark.plans import contracts, loans, offers
+from daymark.showcase import fixed
 from daymark.showcase.registry import query
 from daymark.showcase.roles import EVENT_RUN, RUN, TestTables
 from daymark.showcase.scalars import EMAIL_SQL, MONTHS
@@ -487,7 +487,7 @@ def _decoded(default: str) -> dict[str, str]:
 
 
 OFFER_ROLES = (*BASE_ROLES, "df_pm_history", "prior_offers")
-RATES = ", ".join(f"('{c}', {n}, {f})" for c, n, f in pricing.AUTO_RATES)
+RATES = fixed.AUTO_RATES
 AUTO_RULES = """is_with_al_flag = 0 AND is_with_salad_flag = 0 AND is_with_csl_flag = 0 AND depo_mob_count >= 3 AND age BETWEEN 21 AND 62
     AND adb_3m_avg >= 100000 AND deposit_ob >= 10000 AND is_with_pl_acct_woff_flag = 0 AND is_non_indiv_flag = 0 AND is_dosri_flag = 0
     AND is_enfis_flag = 0 AND is_risk_industry_flag = 0 AND b_score_cc_value >= 581 AND is_with_pl_flag = 0

@@ -10,6 +10,7 @@ from daymark.functions.pricing import AUTO_RATES
 from daymark.operators import dedup, joins, reconcile, rollups
 from daymark.operators.rules import OPERATORS, RulesDisabledError, apply_rules, condition, predicate, to_sql
 from daymark.operators.sequence import number_rows
+from daymark.showcase import fixed
 from daymark.showcase.registry import query
 from daymark.showcase.roles import RUN
 from daymark.sources.snapshots import latest_date
@@ -246,7 +247,7 @@ def semi_exists(t):
 
 @query(
     "SELECT c_custkey, al_ratecode, term, CAST(rate_factor AS DOUBLE) AS rate_factor FROM customer CROSS JOIN (VALUES "
-    + ", ".join(f"('{c}', {n}, {f})" for c, n, f in AUTO_RATES)
+    + fixed.AUTO_RATES
     + ") AS rates(al_ratecode, term, rate_factor)"
 )
 def rate_fan_out(t):

@@ -9,6 +9,7 @@ from daymark.functions import bounds as B
 from daymark.operators.cleanse import cleanse
 from daymark.operators.joins import fan_out
 from daymark.operators.rollups import first_present
+from daymark.showcase import fixed
 from daymark.showcase.registry import query
 from daymark.showcase.roles import RUN
 
@@ -44,20 +45,27 @@ def trim_documents(t):
     return t.documents.select("doc_id", cleaning.trim_text("text").alias("text"), "lang")
 
 
+# numbers in text, text without a number, a number too large for its type, and nothing at all
+NUMBERS = """
+    SELECT o_orderkey, 'PHP ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) || ' only' AS price,
+           CASE o_orderstatus WHEN 'P' THEN NULL WHEN 'F' THEN 'no ' || CAST(o_custkey AS STRING) || ' of ' ELSE o_orderpriority END AS number,
+           CASE WHEN o_orderkey % 3 = 0 THEN '' WHEN o_orderkey % 3 = 1 THEN '-' || CAST(o_custkey AS STRING) ELSE '99999999999' END AS signed
+    FROM {orders}"""
+
+
 @query(
-    """SELECT o_orderkey, CAST(TRY_CAST(regexp_replace(raw, '[^0-9.-]', '', 'g') AS DECIMAL(18,2)) AS DOUBLE) AS amount,
-              TRY_CAST(regexp_replace(o_orderpriority, '[^0-9.-]', '', 'g') AS INTEGER) AS rank,
-              TRY_CAST(regexp_replace(o_orderstatus, '[^0-9.-]', '', 'g') AS INTEGER) AS nothing
-       FROM (SELECT *, 'PHP ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || ' only' AS raw FROM orders)"""
+    f"""SELECT o_orderkey, CAST(TRY_CAST(regexp_replace(price, '[^0-9.-]', '', 'g') AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+              TRY_CAST(nullif(regexp_replace(number, '[^0-9.-]', '', 'g'), '') AS INTEGER) AS rank,
+              TRY_CAST(nullif(regexp_replace(signed, '[^0-9.-]', '', 'g'), '') AS INTEGER) AS nothing
+       FROM ({NUMBERS.replace("{orders}", "orders")})"""
 )
 def str_to_num(t):
-    raw = F.concat(F.lit("PHP "), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit(" only"))
-    priority = F.regexp_extract("o_orderpriority", r"^(\d)-", 1)
-    return t.orders.select(
+    rows = t.sql(NUMBERS)
+    return rows.select(
         "o_orderkey",
-        cleaning.str_to_num(raw, "decimal", 18, 2).alias("amount"),
-        cleaning.str_to_num(F.concat(priority, F.lit("-")), "int").alias("rank"),
-        cleaning.str_to_num("o_orderstatus", "int").alias("nothing"),
+        cleaning.str_to_num("price", "decimal", 18, 2).alias("amount"),
+        cleaning.str_to_num("number", "int").alias("rank"),
+        cleaning.str_to_num("signed", "int").alias("nothing"),
     )
 
 
@@ -118,7 +126,7 @@ SPEC = {
     "fields": [
         {"name": "o_orderkey"},
         {
-            "name": "o.o_orderpriority",
+            "name": "o.o_note",
             "transform": "sql_str_to_num",
             "transform_args": {"cast_type": "int"},
             "alias": "rank",
@@ -131,12 +139,14 @@ SPEC = {
 
 
 @query(
-    f"""SELECT o_orderkey, TRY_CAST(regexp_replace(o_orderpriority, '[^0-9.-]', '', 'g') AS INTEGER) AS rank,
+    f"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey::INTEGER END AS rank,
               CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount, o_orderstatus, '{RUN}' AS business_date
        FROM orders"""
 )
 def cleanse_spec(t):
-    return cleanse(SPEC, RUN, t.orders)
+    customer = F.concat(F.lit("no "), F.col("o_custkey").cast("string"))
+    note = F.when(F.col("o_orderstatus") == "F", customer).when(F.col("o_orderstatus") == "O", F.col("o_orderpriority"))
+    return cleanse(SPEC, RUN, t.orders.withColumn("o_note", note))
 
 
 PHONES = """
@@ -173,7 +183,7 @@ def mobile_norm(t):
     return t.sql(PHONES).select("o_orderkey", contacts.normalize_mobile("phone").alias("mobile"))
 
 
-AREAS = ", ".join(f"'{code}'" for code in contacts.AREA_CODES)
+AREAS = ", ".join(f"'{code}'" for code in fixed.AREA_CODES)
 
 
 @query(
@@ -192,8 +202,8 @@ def landline_norm(t):
     return t.sql(LANDLINES).select("o_orderkey", contacts.normalize_landline("phone").alias("landline"))
 
 
-JUNK = ", ".join(f"'{word}'" for word in contacts.JUNK_EMAILS)
-DOMAINS = ", ".join(f"'{word}'" for word in contacts.EMAIL_DOMAINS)
+JUNK = ", ".join(f"'{word}'" for word in fixed.JUNK_EMAILS)
+DOMAINS = ", ".join(f"'{word}'" for word in fixed.EMAIL_DOMAINS)
 EMAIL_SQL = f"""CASE WHEN {{0}} IS NULL OR trim({{0}}) = '' THEN 'N' WHEN upper(trim({{0}})) IN ({JUNK}) THEN 'N'
     WHEN {{0}} NOT LIKE '%@%' THEN 'N' WHEN NOT regexp_matches({{0}}, '[A-Za-z]') THEN 'N'
     WHEN lower(split_part({{0}}, '@', 1)) IN ('blocked+test') THEN 'N'
@@ -381,7 +391,7 @@ CUSTOMER_MONEY = """
            CASE WHEN count(*) > 10 THEN 1 WHEN count(*) > 3 THEN 0 END AS payroll
     FROM {orders} GROUP BY o_custkey"""
 MONEY_SQL = CUSTOMER_MONEY.replace("{orders}", "orders")
-RATES = ", ".join(f"('{c}', {n}, {f})" for c, n, f in pricing.AUTO_RATES)
+RATES = fixed.AUTO_RATES
 
 
 def _money(t):
