@@ -1,8 +1,10 @@
 """Removal of repeated byte strings from texts, by a distributed merge sort of suffixes that knows common prefixes.
 
 A string of ``length`` bytes is repeated if it also starts anywhere else. Each string has an anchor: of the half-length strings in it the one
-with the least hash, the leftmost of equal ones. Equal strings have equal anchors at equal places, so it is enough to sort the suffixes that begin at anchors,
-one in a hundred bytes, and of these only the ones whose anchor string occurs twice, which counts of hashes tell.
+with the least hash, the leftmost of equal ones. Equal strings have equal anchors at equal places, so it is enough to look at suffixes that begin at anchors,
+one in a hundred bytes, and of these only at the ones whose anchor string occurs twice, which counts of hashes tell. An anchor's
+surroundings are the bytes that strings around it can reach. Where equal surroundings occur twice (again counts of hashes, 128 bits), every string in them is
+repeated. What is left are the ends of repeated passages: anchor strings with several surroundings, one of them unique. Those suffixes are sorted.
 
 Every task sorts its suffixes, keeps each as the length of its common prefix with the one before and the rest (front coding), and hands the run out by a
 hash of the anchor string. The runs of a part are merged by a loser tree whose nodes remember how long a prefix each loser shares with the winner that
@@ -32,10 +34,10 @@ from daymark.operators.joins import join_splitting
 LENGTH = 400
 #: Bytes that are hashed together; their number's bits are the low bits of the keys that minima are taken of.
 SEGMENT_BITS = 19
-#: Suffixes of one part of the merge, and occurrences from which an anchor string is dealt out by its strings instead.
-PART_SUFFIXES = 20_000
-HOT = 10_000
-#: Such strings that all tasks are told of; those with most occurrences come first.
+#: Suffixes of one part of the merge, and different surroundings from which an anchor string is dealt out by its strings instead.
+PART_SUFFIXES = 4000
+HOT = 30_000
+#: Such strings that all tasks are told of; those with most surroundings come first.
 MOST_HOT = 1_000_000
 #: Bytes of suffixes that a task sorts as one run.
 RUN_BYTES = 48 << 20
@@ -223,23 +225,29 @@ def repeated_reach(rights: list[bytes], lefts: list[bytes], weights: np.ndarray,
     """
     half = length - length // 2
     n, width = len(rights), half + length
+    table = places(1 << int(width).bit_length())
     joined = b"".join(left.rjust(half, b"\0") + right.ljust(length, b"\0") for left, right in zip(lefts, rights, strict=True))
-    sums = places(1 << int(width).bit_length()).sums(np.frombuffer(joined, dtype=np.uint8).reshape(n, width))
-    ahead = np.arange(half + 1)  # a string begins so many bytes before the anchor
-    down = places(1 << int(width).bit_length()).down[half - ahead]
-    strings = (sums[:, half + length - ahead] - sums[:, half - ahead]) * down
-    there = (np.array([len(x) for x in lefts])[:, None] >= ahead) & (np.array([len(x) for x in rights])[:, None] >= length - ahead)
-    row, x = np.nonzero(there)
-    key = mix(mix(strings[row, x] + groups[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + x.astype(np.uint64))
-    order = np.argsort(key, kind="stable")
-    equal = key[order][1:] == key[order][:-1]
-    again = np.zeros(len(order), dtype=bool)
-    again[order[1:]] |= equal
-    again[order[:-1]] |= equal
-    again |= weights[row] > 1
+    data = np.frombuffer(joined, dtype=np.uint8).reshape(n, width)
+    before, behind = np.array([len(x) for x in lefts]), np.array([len(x) for x in rights])
     first, last = np.full(n, -1), np.full(n, length)
-    np.maximum.at(first, row[again], x[again])
-    np.minimum.at(last, row[again], x[again])
+    own = groups.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    # places ahead of the anchor a few at a time, and few enough rows at a time for their sums
+    many = max(1, min(half + 1, (1 << 22) // max(1, n)))
+    for start in range(0, half + 1, many):
+        ahead = np.arange(start, min(half + 1, start + many))
+        strings = np.empty((n, len(ahead)), dtype=np.uint64)
+        for k in range(0, n, 4096):
+            sums = table.sums(data[k : k + 4096])
+            strings[k : k + 4096] = (sums[:, half + length - ahead] - sums[:, half - ahead]) * table.down[half - ahead]
+        row, x = np.nonzero((before[:, None] >= ahead) & (behind[:, None] >= length - ahead))
+        key = mix(mix(strings[row, x] + own[row]) + (x + start).astype(np.uint64))
+        order = np.argsort(key, kind="stable")
+        equal = key[order][1:] == key[order][:-1]
+        again = weights[row] > 1
+        again[order[1:]] |= equal
+        again[order[:-1]] |= equal
+        np.maximum.at(first, row[again], x[again] + start)
+        np.minimum.at(last, row[again], x[again] + start)
     return first, last
 
 
@@ -290,13 +298,43 @@ def _suffixes(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarra
     return at, hashes, row, offsets[row], offsets[row + 1], batch.column(batch.schema.get_field_index("name")).to_pylist(), data
 
 
-def sorted_runs(texts: DataFrame, bits: np.ndarray, hot: np.ndarray, parts: int, length: int) -> DataFrame:
-    """Front-coded runs, a part after the other: suffixes whose anchor string is repeated, those of hot ones left out."""
-    held = texts.sparkSession.sparkContext.broadcast((bits, hot))
+def _around(data: np.ndarray, at: int, begin: int, end: int, length: int) -> tuple[bytes, bytes, bytes]:
+    """What stands before an anchor and from it on, as far as its strings reach, and a 128-bit digest of both."""
+    left = data[max(begin, at - (length - length // 2)) : at].tobytes()
+    right = data[at : min(end, at + length)].tobytes()
+    return left, right, hashlib.blake2b(len(left).to_bytes(4, "little") + left + right, digest_size=16).digest()
+
+
+def surroundings(texts: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
+    """Anchors whose string is repeated: its hash ``g``, the digest ``c``, text, place, stretch of the strings around it, copies in this task."""
+    held = texts.sparkSession.sparkContext.broadcast(bits)
     ahead = length - length // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, left_out = held.value
+        for batch in blocks(batches, "body"):
+            at, hashes, row, begin, end, names, data = _suffixes(batch, length)
+            rows: dict[tuple, list] = {}
+            for i in np.flatnonzero(in_map(held.value, hashes)):
+                place, a = int(at[i]), int(at[i]) - int(begin[i])
+                key = (names[row[i]], a)
+                if key in rows:
+                    rows[key][-1] += 1
+                    continue
+                first, last = max(int(begin[i]), place - ahead), min(int(end[i]), place + length)
+                rows[key] = [int(hashes[i].view(np.int64)), _around(data, place, int(begin[i]), int(end[i]), length)[2], first - int(begin[i]), last - int(begin[i]), 1]
+            if rows:
+                columns = [pa.array(c, t) for c, t in zip(zip(*[(*k, *v) for k, v in rows.items()], strict=True), (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["text", "at", "g", "c", "begin", "end", "copies"])
+
+    return texts.select("name", "body").mapInArrow(run, "text binary, at long, g long, c binary, begin long, end long, copies long")
+
+
+def sorted_runs(texts: DataFrame, bits: np.ndarray, open_bits: np.ndarray, hot: np.ndarray, parts: int, length: int) -> DataFrame:
+    """Front-coded runs, a part after the other: suffixes whose surroundings are wanted, those of hot anchor strings left out."""
+    held = texts.sparkSession.sparkContext.broadcast((bits, open_bits, hot))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, wanted, left_out = held.value
         number, size, suffixes = 0, 0, {}
 
         def coded() -> Iterator[pa.RecordBatch]:
@@ -312,17 +350,19 @@ def sorted_runs(texts: DataFrame, bits: np.ndarray, hot: np.ndarray, parts: int,
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "run", "seq", "shared", "rest", "before", "entries"])
 
         for batch in blocks(batches, "body"):
-            at, hashes, _, begin, end, names, data = found = _suffixes(batch, length)
-            take = in_map(known, hashes) & ~np.isin(hashes, left_out)
+            at, hashes, row, begin, end, names, data = _suffixes(batch, length)
             part = (hashes % np.uint64(parts)).astype(np.int64)
-            for i in np.flatnonzero(take):
-                a = int(at[i])
-                key = (int(part[i]), data[a : min(int(end[i]), a + length)].tobytes(), data[max(int(begin[i]), a - ahead) : a].tobytes())
-                entry = names[found[2][i]] + (a - int(begin[i])).to_bytes(4, "little")
+            chosen = np.flatnonzero(in_map(known, hashes) & ~np.isin(hashes, left_out))
+            around = [_around(data, a, b, e, length) for a, b, e in zip(at[chosen].tolist(), begin[chosen].tolist(), end[chosen].tolist(), strict=True)]
+            tops = np.frombuffer(b"".join([x[2][:8] for x in around]), dtype=">u8")
+            for k in np.flatnonzero(in_map(wanted, tops)):
+                i, (left, right, _) = chosen[k], around[k]
+                key = (int(part[i]), right, left)
+                entry = names[row[i]] + (int(at[i]) - int(begin[i])).to_bytes(4, "little")
                 old = suffixes.get(key)
                 if old is None:
                     suffixes[key] = bytearray(entry)
-                    size += len(key[1]) + len(key[2]) + 300
+                    size += len(left) + len(right) + 300
                 else:
                     old += entry
                     size += ENTRY
@@ -343,11 +383,13 @@ def hot_strings(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
         wanted = held.value
         for batch in blocks(batches, "body"):
             at, hashes, row, begin, end, names, data = _suffixes(batch, length)
-            rows = []
+            rows, done = [], -1
             for i in np.flatnonzero(np.isin(hashes, wanted)):
-                for start in range(max(int(begin[i]), int(at[i]) - ahead), min(int(at[i]), int(end[i]) - length) + 1):
+                # neighbouring anchors are in some of the same strings, each of which counts once
+                for start in range(max(int(begin[i]), int(at[i]) - ahead, done + 1), min(int(at[i]), int(end[i]) - length) + 1):
                     digest = hashlib.blake2b(data[start : start + length].tobytes(), digest_size=16).digest()
                     rows.append((digest, names[row[i]], start - int(begin[i])))
+                    done = start
             for k in range(0, len(rows), 20_000):
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows[k : k + 20_000], strict=True), (pa.binary(), pa.binary(), pa.int64()), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=["digest", "text", "begin"])
@@ -369,15 +411,26 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         raise ValueError("strings of fewer than 16 bytes are no passages")
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     texts = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body")).withColumn("name", F.substring(F.unhex(F.sha2("body", 256)), 1, 16))
-    repeated = kept(count_anchors(texts, length), "anchor-strings")
-    total = repeated.agg(F.sum("n").alias("n")).collect()[0]["n"] or 0
-    hot = repeated.where(F.col("n") > hot_from).orderBy(F.desc("n"), "g").limit(MOST_HOT).select("g").collect()
+    bits = bit_map(count_anchors(texts, length))
+    around = kept(surroundings(texts, bits, length), "surroundings")
+    classes = kept(around.groupBy("g", "c").agg(F.sum("copies").alias("n")), "surrounding-classes")
+    # every string of surroundings that occur twice is repeated
+    twice = classes.where("n > 1").select("g", "c")
+    stretches = join_splitting(around.where(F.col("end") - F.col("begin") >= length), twice, ["g", "c"], "inner").select("text", "begin", "end")
+    open_strings = classes.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
+    open_strings = kept(open_strings.select("g", "kinds"), "open-strings")
+    total = open_strings.agg(F.sum("kinds").alias("n")).collect()[0]["n"] or 0
+    hot = open_strings.where(F.col("kinds") > hot_from).orderBy(F.desc("kinds"), "g").limit(MOST_HOT).select("g").collect()
     hot = np.array(sorted(r["g"] for r in hot), dtype=np.int64).view(np.uint64)
-    runs = sorted_runs(texts, bit_map(repeated), hot, max(1, -(-total // part_suffixes)), length)
-    stretches = runs.groupBy("part").applyInPandas(lambda frame: merge_part(frame, length), "text binary, begin long, end long")
+    top = F.conv(F.hex(F.substring("c", 1, 8)), 16, -10).cast("long")
+    wanted = join_splitting(classes, open_strings, ["g"], "inner").select(top.alias("g"))
+    runs = sorted_runs(texts, bits, bit_map(wanted), hot, max(1, -(-total // part_suffixes)), length)
+    merged = runs.groupBy("part").applyInPandas(lambda frame: merge_part(frame, length), "text binary, begin long, end long")
+    stretches = stretches.unionByName(merged)
     if len(hot):
         stretches = stretches.unionByName(hot_strings(texts, hot, length))
-    spans = stretches.groupBy(F.col("text").alias("name")).agg(F.collect_list(F.struct("begin", "end")).alias("found"))
+    # copies of a text tell the same stretches
+    spans = stretches.distinct().groupBy(F.col("text").alias("name")).agg(F.collect_list(F.struct("begin", "end")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "body"):
