@@ -106,16 +106,14 @@ def prefix_of(shingle: np.ndarray, seen: np.ndarray, floor: float, percent: int,
 
 
 def outline(shingle: np.ndarray) -> bytes:
-    """How many shingles fall in each of 2^k equal ranges of hashes, about eight in each."""
-    bits = min(15, max(5, int(len(shingle)).bit_length() - 4))
-    return np.bincount((shingle >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u2").tobytes()
+    """How many shingles fall in each of 2^k equal ranges of hashes, four to eight in each: the width of a count in bytes, then the counts."""
+    bits = min(15, max(5, int(len(shingle)).bit_length() - 3))
+    counts = np.bincount((shingle >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return b"\1" + counts.astype("<u1").tobytes() if counts.max() < 256 else b"\4" + counts.astype("<u4").tobytes()
 
 
-def most_shared(a: bytes, b: bytes) -> int:
-    """What two sets can have in common at most, by their outlines: a range holds no more common ones than either set has there."""
-    x, y = np.frombuffer(a, dtype="<u2").astype(np.int64), np.frombuffer(b, dtype="<u2").astype(np.int64)
-    size = min(len(x), len(y))
-    return int(np.minimum(x.reshape(size, -1).sum(axis=1), y.reshape(size, -1).sum(axis=1)).sum())
+def outlined(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"<u{raw[0]}", offset=1).astype(np.int64)
 
 
 def prefixes(docs: DataFrame, text: str, size: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -148,25 +146,6 @@ def prefixes(docs: DataFrame, text: str, size: int, percent: int, counts: np.nda
     return docs.mapInArrow(run, schema)
 
 
-def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and outlines allow enough common shingles."""
-    own = classes.select("v", "n", "outline")
-    left = join_splitting(pairs, own.select(F.col("v").alias("b"), F.col("n").alias("m"), F.col("outline").alias("y")), ["b"], "inner")
-    both = join_splitting(left, own.select(F.col("v").alias("a"), "n", F.col("outline").alias("x")), ["a"], "inner")
-    sized = both.where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, n, m, x, y = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "n", "m", "x", "y"))
-            good = []
-            for total, p, q in zip(pa.compute.add(n, m).to_pylist(), x.to_pylist(), y.to_pylist(), strict=True):
-                shared = most_shared(p, q)
-                good.append(100 * shared >= percent * (total - shared))
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return sized.mapInArrow(run, "a long, b long")
-
-
 def whole_sets(docs: DataFrame, wanted: DataFrame, text: str, size: int) -> DataFrame:
     """``v`` and the sorted set of the classes in ``wanted`` (v, row, key), read off the text of one of their rows.
 
@@ -189,26 +168,6 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, text: str, size: int) -> Data
     return kept(made.join(wanted.select("v", "key"), "key").select("v", "shingles"), "whole-sets")
 
 
-def verified(pairs: DataFrame, holding: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those whose whole sets (``v``, ``shingles``) are similar enough."""
-    left = join_splitting(pairs.select("a", "b"), holding.select(F.col("v").alias("b"), F.col("shingles").alias("y")), ["b"], "inner")
-    both = join_splitting(left, holding.select(F.col("v").alias("a"), F.col("shingles").alias("x")), ["a"], "inner")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fields = [batch.column(batch.schema.get_field_index(c)) for c in ("x", "y")]
-            (bx, vx), (by, vy) = ((f.offsets.to_numpy(), f.values.to_numpy()) for f in fields)
-            good = []
-            for i in range(batch.num_rows):
-                x, y = vx[bx[i] : bx[i + 1]], vy[by[i] : by[i + 1]]
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            chosen = pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("a", "b")], names=["a", "b"])
-            yield chosen.filter(pa.array(good, pa.bool_()))
-
-    return both.mapInArrow(run, "a long, b long")
-
-
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row, nothing else.
 
@@ -229,23 +188,17 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     shared = kept(entries.join(lists, "token"), "shared")
     clusters = kept(_clusters(shared, classes), "clusters")
 
-    tried = clusters.where((F.col("v") != F.col("hub")) & F.col("tested")).select(F.col("hub").alias("a"), F.col("v").alias("b"))
-    close = kept(plausible(tried, classes, percent), "hub-candidates")
-    links = kept(verified(close, whole_sets(docs, _wanted(close.select(F.explode(F.array("a", "b")).alias("v")), classes), "text", size), percent), "hub-links")
+    # first the hub of each cluster against its members that share as many of its lists as they must
+    near = clusters.where("tested").select("hub", "v", F.col("v").alias("component"), (F.col("v") == F.col("hub")).alias("left"))
+    links = _settled(near, classes, docs, size, percent, matched=True)
 
     state = join_splitting(clusters, components(links).select(F.col("vertex").alias("v"), "component"), ["v"])
-    state = kept(state.withColumn("component", F.coalesce("component", "v")), "cluster-state")
+    state = kept(state.select("hub", "v", F.coalesce("component", "v").alias("component"), "tested"), "cluster-state")
     main = F.max(F.when(F.col("v") == F.col("hub"), F.col("component")))
     found = state.groupBy("hub").agg(F.min("component").alias("x"), F.max("component").alias("y"), main.alias("main"), F.count(F.lit(1)).alias("n"), F.bool_and("tested").alias("all"))
     unsettled = found.where((F.col("x") != F.col("y")) & ((F.col("n") > 2) | ~F.col("all"))).select("hub", "main")
-    members = join_splitting(state.select("hub", "v", "component"), unsettled, ["hub"], "inner").withColumn("left", F.col("component") != F.col("main")).drop("main")
-    told = join_splitting(members, classes.select("v", "n", "l", "prefix", "outline"), ["v"], "inner")
-    search = lambda frame: _searched(frame, percent)
-    hopeful = kept(_in_blocks(kept(told, "members"), SEARCH_BLOCK, search, "hub long, v long").distinct(), "hopeful")
-    chosen = whole_sets(docs, _wanted(hopeful.select("v"), classes), "text", size)
-    again = join_splitting(join_splitting(members, hopeful, ["hub", "v"], "inner"), chosen, ["v"], "inner")
-    compare = lambda frame: _compared(frame, percent)
-    more = kept(_in_blocks(kept(again, "member-sets"), SET_BLOCK, compare, "a long, b long"), "cluster-links")
+    members = join_splitting(state.drop("tested"), unsettled, ["hub"], "inner").withColumn("left", F.col("component") != F.col("main")).drop("main")
+    more = _settled(kept(members, "unsettled"), classes, docs, size, percent, matched=False)
     found = components(links.unionByName(more))
 
     grouped = classes.select("key", "v", "row").join(found.select(F.col("vertex").alias("v"), "component"), "v", "left").withColumn("component", F.coalesce("component", "v"))
@@ -266,23 +219,46 @@ def _clusters(shared: DataFrame, classes: DataFrame) -> DataFrame:
     return counted.select("hub", "v", (F.col("c") >= F.col("l")).alias("tested"))
 
 
-def _in_blocks(members: DataFrame, block: int, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Runs ``run`` on every pair of a block of left members and a block of all members of a cluster (column ``side``: 0, 1)."""
-    sizes = kept(members.groupBy("hub").agg(F.ceil(F.sum(F.col("left").cast("long")) / block).cast("int").alias("nl"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nr")), "cluster-sizes")
+def _settled(members: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, matched: bool) -> DataFrame:
+    """Links (a, b), a spanning forest of them per block, between left members of clusters and members of other components.
+
+    ``matched``: the members have been counted to share enough, so prefixes need not travel.
+    """
+    known = classes.select("v", "n", "l", "outline", *([] if matched else ["prefix"]))
+    hopeful = kept(_in_blocks(members, known, SEARCH_BLOCK, lambda frame: _searched(frame, percent), "hub long, v long").distinct(), "hopeful")
+    chosen = whole_sets(docs, _wanted(hopeful.select("v"), classes), "text", size)
+    left = join_splitting(members, hopeful, ["hub", "v"], "inner")
+    return kept(_in_blocks(left, chosen, SET_BLOCK, lambda frame: _compared(frame, percent), "a long, b long"), "cluster-links")
+
+
+def _in_blocks(members: DataFrame, carried: DataFrame, block: int, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Runs ``run`` on every pair of a block of left members and a block of all members of a cluster.
+
+    ``members`` (hub, v, component, left) are dealt out first and then given what ``carried`` has for v. Column ``side`` tells left ones (0)
+    from all (1); in a cluster of one block every member comes once, and left ones are marked 2.
+    """
+    members = kept(members, "cluster-members")
+    sizes = members.groupBy("hub").agg(F.ceil(F.sum(F.col("left").cast("long")) / block).cast("int").alias("nl"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nr"))
     total = members.count()
-    cut = join_splitting(members, sizes, ["hub"], "inner")
-    spot = F.xxhash64("v")
-    left = cut.where("left").withColumn("i", F.pmod(spot, F.col("nl")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)))
-    right = cut.withColumn("j", F.pmod(spot, F.col("nr")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)))
-    dealt = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).drop("nl", "nr", "left")
+    cut = kept(join_splitting(members, sizes.where("nl > 0"), ["hub"], "inner"), "cluster-blocks")
+    spot, none = F.xxhash64("v"), F.lit(0)
+    small = cut.where("nl = 1 AND nr = 1").select("*", none.alias("i"), none.alias("j"), F.when(F.col("left"), 2).otherwise(1).alias("side"))
+    large = cut.where("nl > 1 OR nr > 1")
+    left = large.where("left").withColumn("i", F.pmod(spot, F.col("nl")).cast("int")).withColumn("j", F.explode(F.sequence(none, F.col("nr") - 1))).withColumn("side", none)
+    right = large.withColumn("j", F.pmod(spot, F.col("nr")).cast("int")).withColumn("i", F.explode(F.sequence(none, F.col("nl") - 1))).withColumn("side", F.lit(1))
+    dealt = small.unionByName(left).unionByName(right).select("hub", "v", "component", "i", "j", "side")
     # many small clusters to a task; a pair of blocks is whole in one
-    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("hub", "i", "j"), F.lit(max(1, 2 * total // TASK_ROWS))))
+    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("hub", "i", "j"), F.lit(max(1, total // TASK_ROWS))))
 
     def each(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [run(frame.take(rows)) for rows in frame.groupby(["hub", "i", "j"]).indices.values()]
         return pd.concat(parts, ignore_index=True)
 
-    return dealt.groupBy("task").applyInPandas(each, schema)
+    return join_splitting(dealt, carried, ["v"], "inner").groupBy("task").applyInPandas(each, schema)
+
+
+def _sides(frame: pd.DataFrame) -> list[pd.DataFrame]:
+    return [frame[frame["side"] != 1], frame[frame["side"] != 0]]
 
 
 def _shares(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[np.ndarray]:
@@ -302,14 +278,18 @@ def _shares(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[np.ndar
 
 def _searched(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Members that may link to one of another component, by sizes, prefixes and outlines."""
-    sides = [frame[frame["side"] == k] for k in (0, 1)]
+    sides = _sides(frame)
     (v, w), (n, m), (c, d), (p, q) = ([s[x].to_numpy() for s in sides] for x in ("v", "n", "component", "l"))
-    outlines = [[np.frombuffer(x, dtype="<u2").astype(np.int64) for x in s["outline"]] for s in sides]
+    outlines = [[outlined(x) for x in s["outline"]] for s in sides]
     wide = np.array([len(x) for x in outlines[1]])
     folded: dict[tuple[int, int], np.ndarray] = {}
-    hopeful = [set(), set()]
-    for i, shared in enumerate(_shares(list(sides[0]["prefix"]), list(sides[1]["prefix"]))):
-        fits = (d != c[i]) & (np.minimum(m, n[i]) * 100 >= np.maximum(m, n[i]) * percent) & (shared >= np.minimum(q, p[i]))
+    hopeful: set[int] = set()
+    counted = "prefix" in frame.columns
+    shares = _shares(list(sides[0]["prefix"]), list(sides[1]["prefix"])) if counted and len(v) and len(w) else None
+    for i in range(len(v)):
+        fits = (d != c[i]) & (np.minimum(m, n[i]) * 100 >= np.maximum(m, n[i]) * percent)
+        if shares is not None:
+            fits &= next(shares) >= np.minimum(q, p[i])
         own = outlines[0][i]
         for size in np.unique(wide[fits]):
             least = min(len(own), int(size))
@@ -320,15 +300,15 @@ def _searched(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
             most = np.minimum(folded[key][good], own.reshape(least, -1).sum(axis=1)).sum(axis=1)
             may = at[good][100 * most >= percent * (n[i] + m[at[good]] - most)]
             if len(may):
-                hopeful[0].add(int(v[i]))
-                hopeful[1].update(w[may].tolist())
-    chosen = sorted(hopeful[0] | hopeful[1])
+                hopeful.add(int(v[i]))
+                hopeful.update(w[may].tolist())
+    chosen = sorted(hopeful)
     return pd.DataFrame({"hub": np.full(len(chosen), frame["hub"].iloc[0], dtype=np.int64), "v": np.array(chosen, dtype=np.int64)})
 
 
 def _compared(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     """A spanning forest of the links between members of different components, by whole sets."""
-    sides = [frame[frame["side"] == k] for k in (0, 1)]
+    sides = _sides(frame)
     if sides[0].empty or sides[1].empty:
         return pd.DataFrame({"a": np.empty(0, dtype=np.int64), "b": np.empty(0, dtype=np.int64)})
     (v, w), (c, d), (x, y) = ([s[k].to_numpy() for s in sides] for k in ("v", "component", "shingles"))

@@ -86,7 +86,7 @@ def test_prefixes_share_what_they_must():
         assert len(chosen) == len(a) - -(-85 * len(a) // 100) + matches
         b = np.unique(np.concatenate([a[: int(len(a) * 0.95) + 1], rng.integers(0, 1 << 62, 1, dtype=np.uint64)]))
         shared = len(np.intersect1d(a, b))
-        x, y = (np.frombuffer(nj.outline(s), dtype="<u2").astype(int) for s in (a, b))
+        x, y = (nj.outlined(nj.outline(s)) for s in (a, b))
         least = min(len(x), len(y))
         assert np.minimum(x.reshape(least, -1).sum(axis=1), y.reshape(least, -1).sum(axis=1)).sum() >= shared
         if 100 * shared >= 85 * (len(a) + len(b) - shared):
