@@ -180,8 +180,8 @@ def scd2_repair(t):
 RETURNING = """
     SELECT CAST(c_custkey AS STRING) AS bbn, segment AS status, md5(segment) AS row_hash_value, CAST(from_date AS DATE) AS row_eff_start_date,
            CAST(to_date AS DATE) AS row_eff_end_date, flag AS current_row_flag, c_custkey * 10 + n AS version_id
-    FROM {customer} CROSS JOIN (VALUES (1, 'A', '1998-01-01', '1998-02-01', 'N'), (2, 'A', '1998-02-01', '1998-03-01', 'N'),
-        (3, 'B', '1998-03-01', '1998-06-01', 'N'), (4, 'A', '1998-06-01', '9999-12-31', 'Y')) v (n, segment, from_date, to_date, flag)
+    FROM {customer} LATERAL VIEW inline(array(struct(1, 'A', '1998-01-01', '1998-02-01', 'N'), struct(2, 'A', '1998-02-01', '1998-03-01', 'N'),
+        struct(3, 'B', '1998-03-01', '1998-06-01', 'N'), struct(4, 'A', '1998-06-01', '9999-12-31', 'Y'))) v AS n, segment, from_date, to_date, flag
     WHERE c_nationkey < 12 OR n <> 2"""
 
 
