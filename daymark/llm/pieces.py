@@ -18,7 +18,7 @@ SPACE = "▁"
 LETTERS = "A-Za-z\u00c0-\u024f"
 MINUS = float("-inf")
 #: Entries of each memo a Python worker keeps; they are cleared when full.
-MEMO = 400_000
+MEMO = 200_000
 
 
 class Lattice:

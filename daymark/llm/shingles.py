@@ -15,7 +15,7 @@ _LOWER[65:91] += 32
 
 BASE = 0x100000001B3
 #: Bytes that are hashed together; a longer text is taken in pieces that end between words.
-PIECE = 1 << 22
+PIECE = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,7 +24,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse modulo 2^64."""
     inverse = pow(BASE, -1, 1 << 64)
