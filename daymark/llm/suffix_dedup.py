@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.llm.common import bit_map, blocks, in_map, kept
@@ -306,27 +306,45 @@ def _around(data: np.ndarray, at: int, begin: int, end: int, length: int) -> tup
 
 
 def surroundings(texts: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
-    """Anchors whose string is repeated: its hash ``g``, the digest ``c``, text, place, stretch of the strings around it, copies in this task."""
+    """Anchors whose string is repeated: its hash ``g``, the digest of the surroundings (ca, cb), the text's name (ta, tb), and one long for the rest.
+
+    These rows are what grows with repeated content, so they are kept narrow: place << 32, bytes before << 20, bytes from it on << 8,
+    and how many copies of the text the task has met (255 stands for more).
+    """
     held = texts.sparkSession.sparkContext.broadcast(bits)
-    ahead = length - length // 2
+    fields = ["g", "ca", "cb", "ta", "tb", "packed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "body"):
             at, hashes, row, begin, end, names, data = _suffixes(batch, length)
-            rows: dict[tuple, list] = {}
+            rows: dict[tuple[bytes, int], list] = {}
             for i in np.flatnonzero(in_map(held.value, hashes)):
-                place, a = int(at[i]), int(at[i]) - int(begin[i])
-                key = (names[row[i]], a)
+                place, first = int(at[i]), int(begin[i])
+                key = (names[row[i]], place - first)
                 if key in rows:
                     rows[key][-1] += 1
                     continue
-                first, last = max(int(begin[i]), place - ahead), min(int(end[i]), place + length)
-                rows[key] = [int(hashes[i].view(np.int64)), _around(data, place, int(begin[i]), int(end[i]), length)[2], first - int(begin[i]), last - int(begin[i]), 1]
+                left, right, digest = _around(data, place, first, int(end[i]), length)
+                rows[key] = [int(hashes[i].view(np.int64)), digest, len(left), len(right), 1]
             if rows:
-                columns = [pa.array(c, t) for c, t in zip(zip(*[(*k, *v) for k, v in rows.items()], strict=True), (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["text", "at", "g", "c", "begin", "end", "copies"])
+                digests = np.frombuffer(b"".join([v[1] for v in rows.values()]), dtype=">i8").astype(np.int64)
+                texts_ = np.frombuffer(b"".join([k[0] for k in rows]), dtype=">i8").astype(np.int64)
+                packed = [(k[1] << 32) | (v[2] << 20) | (v[3] << 8) | min(255, v[4]) for k, v in rows.items()]
+                columns = [np.array([v[0] for v in rows.values()]), digests[::2], digests[1::2], texts_[::2], texts_[1::2], np.array(packed)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=fields)
+
+    return texts.select("name", "body").mapInArrow(run, ", ".join(f"{f} long" for f in fields))
+
+
+def _stretch(packed: str) -> tuple[Column, Column]:
+    """Where the surroundings begin and end in their text."""
+    rest = F.col(packed)
+    at = F.shiftright(rest, 32)
+    return at - F.shiftright(rest, 20).bitwiseAND(F.lit(4095)), at + F.shiftright(rest, 8).bitwiseAND(F.lit(4095))
+
 
-    return texts.select("name", "body").mapInArrow(run, "text binary, at long, g long, c binary, begin long, end long, copies long")
+def _name(a: str, b: str) -> Column:
+    return F.concat(*[F.unhex(F.lpad(F.hex(F.col(x)), 16, "0")) for x in (a, b)])
 
 
 def sorted_runs(texts: DataFrame, bits: np.ndarray, open_bits: np.ndarray, hot: np.ndarray, parts: int, length: int) -> DataFrame:
@@ -407,30 +425,32 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     as given. No string reaches over the end of a text. Null and empty texts have no bytes, texts shorter than ``length`` lose none. Repeated rows
     repeat each other's strings, so they lose all bytes if they are long enough. Other columns are left aside.
     """
-    if length < 16:
-        raise ValueError("strings of fewer than 16 bytes are no passages")
+    if not 16 <= length < 4096:
+        raise ValueError("length must be from 16 to 4095 bytes")
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     texts = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body")).withColumn("name", F.substring(F.unhex(F.sha2("body", 256)), 1, 16))
     bits = bit_map(count_anchors(texts, length))
     around = kept(surroundings(texts, bits, length), "surroundings")
-    classes = kept(around.groupBy("g", "c").agg(F.sum("copies").alias("n")), "surrounding-classes")
+    copies = F.sum(F.col("packed").bitwiseAND(F.lit(255)))
+    classes = kept(around.groupBy("ca", "cb").agg(copies.alias("n"), F.first("g").alias("g")), "surrounding-classes")
     # every string of surroundings that occur twice is repeated
-    twice = classes.where("n > 1").select("g", "c")
-    stretches = join_splitting(around.where(F.col("end") - F.col("begin") >= length), twice, ["g", "c"], "inner").select("text", "begin", "end")
+    twice = classes.where("n > 1").select("ca", "cb")
+    begin, end = _stretch("packed")
+    reaching = around.where(end - begin >= length).select("ca", "cb", "ta", "tb", "packed")
+    stretches = join_splitting(reaching, twice, ["ca", "cb"], "inner").select(_name("ta", "tb").alias("text"), begin.alias("begin"), end.alias("end"))
     open_strings = classes.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
     open_strings = kept(open_strings.select("g", "kinds"), "open-strings")
     total = open_strings.agg(F.sum("kinds").alias("n")).collect()[0]["n"] or 0
     hot = open_strings.where(F.col("kinds") > hot_from).orderBy(F.desc("kinds"), "g").limit(MOST_HOT).select("g").collect()
     hot = np.array(sorted(r["g"] for r in hot), dtype=np.int64).view(np.uint64)
-    top = F.conv(F.hex(F.substring("c", 1, 8)), 16, -10).cast("long")
-    wanted = join_splitting(classes, open_strings, ["g"], "inner").select(top.alias("g"))
+    wanted = join_splitting(classes.select("g", "ca"), open_strings, ["g"], "inner").select(F.col("ca").alias("g"))
     runs = sorted_runs(texts, bits, bit_map(wanted), hot, max(1, -(-total // part_suffixes)), length)
     merged = runs.groupBy("part").applyInPandas(lambda frame: merge_part(frame, length), "text binary, begin long, end long")
     stretches = stretches.unionByName(merged)
     if len(hot):
         stretches = stretches.unionByName(hot_strings(texts, hot, length))
     # copies of a text tell the same stretches
-    spans = stretches.distinct().groupBy(F.col("text").alias("name")).agg(F.collect_list(F.struct("begin", "end")).alias("found"))
+    spans = stretches.groupBy(F.col("text").alias("name")).agg(F.collect_set(F.struct("begin", "end")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "body"):
