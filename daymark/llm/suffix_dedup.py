@@ -18,7 +18,9 @@ An anchor string with very many different surroundings isn't merged in one task:
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -165,6 +167,28 @@ class Run:
         return self.at >= len(self.rows)
 
 
+def pack(rows: list[tuple[bytes, bytes, bytes]]) -> bytes:
+    """A sorted run of (key, before, entries), front-coded: lengths, then the rests of the keys, then the other columns, packed together."""
+    keys = [r[0] for r in rows]
+    shared = [0, *[common(a, b, 0) for a, b in zip(keys, keys[1:], strict=False)]]
+    lengths = np.array([(h, len(k) - h, len(left), len(entries)) for h, (k, left, entries) in zip(shared, rows, strict=True)], dtype="<i4")
+    parts = [len(rows).to_bytes(4, "little"), lengths.tobytes(), *[k[h:] for h, k in zip(shared, keys, strict=True)], *[r[1] for r in rows], *[r[2] for r in rows]]
+    return zlib.compress(b"".join(parts), 4)
+
+
+def unpack(packed: bytes) -> list[tuple[int, bytes, bytes, bytes]]:
+    """Rows of a run: bytes shared with the key before, the rest of the key, what stands before it, entries."""
+    raw = zlib.decompress(packed)
+    count = int.from_bytes(raw[:4], "little")
+    lengths = np.frombuffer(raw, dtype="<i4", count=4 * count, offset=4).reshape(count, 4)
+    at, columns = 4 + 16 * count, []
+    for k in (1, 2, 3):
+        ends = at + np.cumsum(lengths[:, k])
+        columns.append([raw[b - n : b] for b, n in zip(ends.tolist(), lengths[:, k].tolist(), strict=True)])
+        at = int(ends[-1])
+    return list(zip(lengths[:, 0].tolist(), *columns, strict=True))
+
+
 class LoserTree:
     """Merges front-coded runs. ``shared[i]``: bytes that run i's key has in common with the last output."""
 
@@ -254,7 +278,7 @@ def repeated_reach(rights: list[bytes], lefts: list[bytes], weights: np.ndarray,
 def merge_part(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     """Merges a part's runs and tells the stretches that repeated strings cover: text (a, b), begin, end."""
     half = length // 2
-    runs = [Run(list(own.sort_values("seq")[["shared", "rest", "before", "entries"]].itertuples(index=False, name=None))) for _, own in frame.groupby("run")]
+    runs = [Run(unpack(rows)) for rows in frame["rows"]]
     texts, begins, ends = [], [], []
     waiting: list[tuple[bytes, bytes, bytes, int]] = []
     group, began = 0, 0
@@ -356,16 +380,10 @@ def sorted_runs(texts: DataFrame, bits: np.ndarray, open_bits: np.ndarray, hot:
         number, size, suffixes = 0, 0, {}
 
         def coded() -> Iterator[pa.RecordBatch]:
-            rows, part, before = [], -1, b""
             name = (TaskContext.get().partitionId() << 24) + number
-            for k, ((p, right, left), entries) in enumerate(sorted(suffixes.items(), key=lambda x: x[0])):
-                shared = common(before, right, 0) if p == part else 0
-                rows.append((p, name, k, shared, right[shared:], left, bytes(entries)))
-                part, before = p, right
-            for k in range(0, len(rows), 4000):
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows[k : k + 4000], strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["part", "run", "seq", "shared", "rest", "before", "entries"])
+            for part, rows in groupby(sorted(suffixes.items(), key=lambda x: x[0]), key=lambda x: x[0][0]):
+                packed = pack([(right, left, bytes(entries)) for (_, right, left), entries in rows])
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([name], pa.int64()), pa.array([packed], pa.binary())], names=["part", "run", "rows"])
 
         for batch in blocks(batches, "body"):
             at, hashes, row, begin, end, names, data = _suffixes(batch, length)
@@ -389,7 +407,7 @@ def sorted_runs(texts: DataFrame, bits: np.ndarray, open_bits: np.ndarray, hot:
                 number, size, suffixes = number + 1, 0, {}
         yield from coded()
 
-    return texts.select("name", "body").mapInArrow(run, "part long, run long, seq long, shared int, rest binary, before binary, entries binary")
+    return texts.select("name", "body").mapInArrow(run, "part long, run long, rows binary")
 
 
 def hot_strings(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
