@@ -19,7 +19,7 @@ BLOCK_BYTES = 4 << 20
 
 
 #: Session settings of the operators that hand rows to Python: smaller Arrow batches, as several workers share an executor.
-SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
+SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
