@@ -1,19 +1,25 @@
 """Secrets in texts: patterns, and a battery of randomness tests over unbroken runs of encoded characters.
 
-A candidate is a run of at least 20 characters of the base64 and URL alphabets outside of any pattern match. The smallest alphabet that
-holds its characters is taken for its encoding. Three tests ask whether its symbols look drawn evenly and independently from that
+A candidate is a piece of at least 20 characters, outside of any pattern match, of a run of characters of the base64 and URL alphabets. What
+joins words in paths and names ('/', '+', '-', '_') is also a symbol of these alphabets, so a run is cut in every way that leaves one encoding: at
+all four, at all but one, at all but those of base64 and at all but those of base64url; the longest pieces between the cuts are candidates,
+the run as a whole among them if it fits. The smallest alphabet that holds a candidate's characters is taken for its encoding. Three tests ask whether its symbols look drawn evenly and independently from that
 alphabet: chi-squared over symbol classes, Wald-Wolfowitz runs above and below the middle, and lag-one serial correlation; Fisher's
 method joins them. A candidate that they reject as random is dropped.
 
 The others still have to be improbable as ordinary text. How symbols follow each other in ordinary text is counted over all texts, candidates and matches left out; under that
 chain the likelihood ratio of "random" to "ordinary" has mean 1, so its inverse is a valid p-value, and a long run can reach a far smaller one
-than a short run. Benjamini-Hochberg within each length class, over a histogram of p-values of all texts, sets the threshold.
+than a short run. Benjamini-Hochberg within each length class, over a histogram of p-values of all texts, sets the threshold. Every
+candidate counts as a test, but of those of a class that overlap only the most improbable counts as a find; of found candidates that overlap
+the longest is reported. A token that holds '-' behind words joined by '-' (and so for each of the four) is judged together with
+them and in its own pieces, not by itself.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +38,9 @@ KINDS = ("assign", "access", "hex", "random")
 
 SHORTEST = 20
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+#: Pieces of a run that fit one encoding, by the separators that they may hold.
+PIECES = tuple(re.compile(rf"[A-Za-z0-9{held}]{{20,}}") for held in ("+/", "_-", "+", "/", "_", "-", ""))
+_JOINED = re.compile(r"[+/_-]")
 #: Lengths at which a new class of candidates begins.
 CLASSES = (20, 32, 48, 96)
 #: Share of false finds among finds, per length class.
@@ -70,16 +79,38 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of encoded characters that touch no pattern match, decimal numbers left out."""
-    out, at, reach = [], 0, 0
+def candidates(text: str, taken: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Pieces of runs of encoded characters that touch no pattern match, decimal numbers left out, by start; and what they leave out of ordinary text, in runs or parts of runs."""
+    out, apart, at, reach = [], [], 0, 0
     for m in RUN.finditer(text):
         start, end = m.span()
+        near = []  # matches that touch this run, apart and in order
+        if reach > start:
+            near.append((start, reach))
         while at < len(taken) and taken[at][0] < end:
-            reach, at = max(reach, taken[at][2]), at + 1
-        if reach <= start and not m[0].isdigit():
-            out.append((start, end))
-    return out
+            a, b = taken[at][0], taken[at][2]
+            if b > max(reach, start):
+                near.append((max(a, reach), b))
+                reach = b
+            at += 1
+        whole = [(start, end)] if not near else []
+        pieces = {p.span() for own in PIECES for p in own.finditer(text, start, end)} if _JOINED.search(m[0]) else whole
+        begins = [a for a, _ in near]
+        own = []
+        for a, b in sorted(pieces):
+            k = bisect_left(begins, b)
+            if not (k and near[k - 1][1] > a) and not text[a:b].isdigit():
+                own.append((a, b))
+        out += own
+        if not near:
+            apart += whole if not m[0].isdigit() else []
+        else:
+            to = 0
+            for a, b in own:
+                if b > to:
+                    apart.append((max(a, to), b))
+                    to = b
+    return out, apart
 
 
 def encoding(token: str) -> str | None:
@@ -137,13 +168,26 @@ def pair_counts(text: str) -> np.ndarray:
     return np.bincount(at[:-1][both] * 64 + at[1:][both], minlength=4096)
 
 
+def settled(pieces: list[dict], *order: str) -> list[dict]:
+    """Pieces that don't overlap, taken as far as they are free: the largest by ``order`` (of ``p`` and ``length``) first, of equals the first in the text."""
+    out, starts, ends = [], [], []
+    size = {"p": lambda x: -x["p"], "length": lambda x: x["start"] - x["end"]}
+    for x in sorted(pieces, key=lambda x: (*[size[o](x) for o in order], x["start"])):
+        k = bisect_left(starts, x["end"])
+        if not (k and ends[k - 1] > x["start"]):
+            starts.insert(k, x["start"])
+            ends.insert(k, x["end"])
+            out.append(x)
+    return out
+
+
 def length_class(length) -> int:
     return sum(length >= c for c in CLASSES) - 1
 
 
 SPAN = "array<struct<start:long,kind:int,end:long>>"
 TOKEN = "array<struct<start:long,end:long,token:string>>"
-SCORED = "array<struct<start:long,end:long,bin:int,class:int>>"
+SCORED = "array<struct<start:long,end:long,bin:int,class:int,p:double,told:int>>"
 
 
 def scan(docs: DataFrame, doc_id: str, text: str, false_share: float = FALSE_SHARE) -> DataFrame:
@@ -167,10 +211,10 @@ def scan(docs: DataFrame, doc_id: str, text: str, false_share: float = FALSE_SHA
                 t = t or ""
                 spans = base_spans(t)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                runs = candidates(t, spans)
+                runs, apart = candidates(t, spans)
                 tokens.append([{"start": a, "end": b, "token": t[a:b]} for a, b in runs])
                 pairs += pair_counts(t)
-                for a, b in [*runs, *[(a, b) for a, _, b in spans]]:
+                for a, b in [*apart, *[(a, b) for a, _, b in spans]]:
                     pairs -= pair_counts(t[a:b])
             yield pa.RecordBatch.from_arrays([block.column(block.schema.get_field_index("doc_id")), pa.array(base, _SPANS), pa.array(tokens, _TOKENS), pa.nulls(len(base), pa.list_(pa.int64()))], names=["doc_id", "base", "tokens", "pairs"])
         if kind is not None:  # one more row for the counts of this task
@@ -192,19 +236,28 @@ def scan(docs: DataFrame, doc_id: str, text: str, false_share: float = FALSE_SHA
                 own = []
                 for x in tokens:
                     name = encoding(x["token"])
-                    even = name is not None and battery(x["token"], name) >= EVEN
-                    p = surprise(x["token"], len(ENCODINGS[name]), follows) if even else 0.0
-                    own.append({"start": x["start"], "end": x["end"], "bin": min(BINS, int(p * PER_UNIT)), "class": length_class(len(x["token"]))})
+                    p = surprise(x["token"], len(ENCODINGS[name]), follows) if battery(x["token"], name) >= EVEN else 0.0
+                    own.append({"start": x["start"], "end": x["end"], "bin": min(BINS, int(p * PER_UNIT)), "class": length_class(len(x["token"])), "p": p, "told": 0})
+                for c in range(len(CLASSES)):  # a find counts once in its class, a test each time
+                    for x in settled([x for x in own if x["class"] == c], "p", "length"):
+                        x["told"] = x["bin"]
                 scored.append(own)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scored, _SCORED)], names=["doc_id", "base", "scored"])
 
     second = T.StructType([first["doc_id"], first["base"], *_fields(f"scored {SCORED}")])
     judged = kept(seen.where(F.col("pairs").isNull()).select("doc_id", "base", "tokens").mapInArrow(judge, second), "secret-scores")
-    histogram = judged.select(F.inline("scored")).groupBy("class", "bin").agg(F.count(F.lit(1)).alias("n")).collect()  # at most len(CLASSES) * (BINS + 1) rows
-    least = F.array(*[F.lit(x) for x in thresholds({(r["class"], r["bin"]): r["n"] for r in histogram}, false_share)])
-    found = F.filter("scored", lambda x: x["bin"] >= F.element_at(least, x["class"] + 1))
-    random = F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")))
-    return judged.select("doc_id", "base", random.alias("found"))
+    histogram = judged.select(F.inline("scored")).groupBy("class", F.col("told").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most len(CLASSES) * (BINS + 1) rows
+    least = thresholds({(r["class"], r["bin"]): r["n"] for r in histogram}, false_share)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for scored in batch.column(2).to_pylist():
+                passed = settled([x for x in scored if x["bin"] >= least[x["class"]]], "length", "p")
+                found.append([{"start": x["start"], "kind": 3, "end": x["end"]} for x in sorted(passed, key=lambda x: x["start"])])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, _SPANS)], names=["doc_id", "base", "found"])
+
+    return judged.mapInArrow(settle, T.StructType([first["doc_id"], first["base"], *_fields(f"found {SPAN}")]))
 
 
 def thresholds(histogram: dict[tuple[int, int], int], false_share: float = FALSE_SHARE) -> list[int]:
@@ -227,7 +280,7 @@ def _fields(text: str) -> list[T.StructField]:
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
 _TOKENS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("token", pa.string())]))
-_SCORED = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("bin", pa.int32()), ("class", pa.int32())]))
+_SCORED = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("bin", pa.int32()), ("class", pa.int32()), ("p", pa.float64()), ("told", pa.int32())]))
 
 
 def report(found: DataFrame) -> DataFrame:

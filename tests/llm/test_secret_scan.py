@@ -67,3 +67,53 @@ def test_battery_and_thresholds():
     # of 100 candidates 10 with p = 1e-9: all pass; with p = 1e-1 none do
     assert ss.thresholds({(0, 90): 10, (0, 0): 90})[0] <= 90
     assert ss.thresholds({(0, 10): 10, (0, 0): 90})[0] > 10
+
+
+def _joined(rng, symbols, before, after="", must=""):
+    while not set(must) <= set(token := "".join(rng.choice(symbols) for _ in range(40))) or token[0] in "+/-_" or token[-1] in "+/-_":
+        pass
+    return before, token, after
+
+
+def test_tokens_joined_to_other_alphabets_and_words(corpus):
+    rng = random.Random(7)
+    url, plain, alnum = ss.ENCODINGS["base64url"], ss.ENCODINGS["base64"], ss.ENCODINGS["base62"]
+    words = ["".join(rng.choice(["the", "on", "er", "ing", "tion", "as", "for", "re"]) for _ in range(3)) for _ in range(400)]
+    docs, want = [], {}
+    for i in range(400):
+        t = " ".join(rng.choice(words) for _ in range(60))
+        if i % 8 < 4:
+            long = "/".join(rng.choice(words) for _ in range(12)) + "/"
+            before, token, after = (_joined(rng, url, "/files/", "/raw", "-_"), _joined(rng, plain, "my-key-", "", "/"), _joined(rng, alnum, long), _joined(rng, url, "0123456789abcdef" * 2 + "/", "", "-"))[i % 8]
+            start = len(t) + 1 + len(before)
+            t, want[i] = f"{t} {before}{token}{after} end", (start, start + 40)
+        else:
+            t += " /" + "/".join("-".join(rng.choice(words) for _ in range(2)) for _ in range(6))
+        docs.append((i, t))
+    got = {r["doc_id"]: [(x["start"], x["end"]) for x in r["found"]] for r in ss.scan(corpus.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text").collect()}
+    for k in range(4):
+        # a find may hold a separator beside the token, never the words, and one find is told for one token
+        hits = [i for i in want if i % 8 == k and len(got[i]) == 1 and got[i][0][0] <= want[i][0] < want[i][1] <= got[i][0][1] and got[i][0][1] - got[i][0][0] <= 48]
+        assert len(hits) >= 45, k  # of 50
+    assert not any(got[i] for i in got if i not in want)
+
+
+def test_pieces_of_runs():
+    find = lambda t, taken=(): {t[a:b] for a, b in ss.candidates(t, list(taken))[0]}
+    a, b = "aB3" * 8, "xY7" * 8
+    assert find(a) == {a} and find("1" * 30) == set() and find("1" * 30 + "/" + a) == {"1" * 30 + "/" + a, a}
+    assert find(f"{a}-{b}") == {f"{a}-{b}", a, b}
+    assert find(f"{a}/{b}_c") == {f"{a}/{b}", a, b, f"{b}_c"}
+    assert find(f"{a}/{b}", [(2, 0, 5)]) == {b} and find(f"{a}/{b}", [(30, 0, 99)]) == {a} and find(f"{a}/{b}", [(2, 0, 5), (3, 0, 30)]) == set()
+
+
+def test_overlaps_are_settled():
+    piece = lambda a, b, p: {"start": a, "end": b, "p": p}
+    rng = random.Random(8)
+    for _ in range(200):
+        pieces = [piece(a, a + rng.randint(1, 9), rng.randint(0, 5)) for a in (rng.randrange(40) for _ in range(12))]
+        kept = []
+        for x in sorted(pieces, key=lambda x: (-x["p"], x["start"] - x["end"], x["start"])):
+            if all(x["end"] <= y["start"] or y["end"] <= x["start"] for y in kept):
+                kept.append(x)
+        assert ss.settled(pieces, "p", "length") == kept
