@@ -4,7 +4,8 @@ Each benchmark item is cut into windows that overlap. If a document holds a wind
 w + 1 - q (k + 1) q-grams (the q-gram lemma), all within k + 1 neighbouring diagonals, a diagonal being the place in the document less the
 place in the item. Bands of diagonals overlap by k, so one band holds them all. Shared q-grams are counted per document, item and band; a window that
 meets its bound is aligned with that part of the document within the band. Nothing that the definition asks for is lost, and
-nothing else is reported.
+nothing else is reported. Texts are compared with case folded and runs of blanks as one space. Where a window is too short for its edits to leave
+a q-gram whole, q is smaller; items under q characters that have no edits are looked up whole, between word boundaries.
 
 The benchmark is the stated query set: it is cut into blocks of bounded size, each block's q-gram index goes to all tasks, and all documents pass by
 each block in the tasks that read them. No document is moved.
@@ -38,15 +39,61 @@ TABLE_BITS = 22
 #: Cells of the alignments that are worked out together.
 CELLS = 1 << 20
 
-_PLAIN = np.arange(128, dtype=np.uint32)
-_PLAIN[65:91] += 32
-_PLAIN[9:14] = 32
+_FOLDS: list = []
+
+
+def folds() -> tuple[np.ndarray, np.ndarray, dict[int, list[int]], np.ndarray]:
+    """By code point: what it folds to (a blank to a space), how many code points that are, these if several, and whether words are made of it."""
+    if not _FOLDS:
+        one, many = np.arange(0x110000, dtype=np.uint32), np.ones(0x110000, dtype=np.uint8)
+        wide, word = {}, np.zeros(0x110000, dtype=bool)
+        for c in range(0x110000):
+            s = chr(c)
+            if s.isspace():
+                one[c] = 32
+                continue
+            word[c] = s.isalnum()
+            low = s.upper().casefold()  # upper first, as ı and i have one capital
+            if len(low) == 1:
+                one[c] = ord(low)
+            else:
+                many[c], wide[c] = len(low), [ord(x) for x in low]
+        for a, b in ((0x0E00, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xD800), (0xF900, 0xFB00), (0xFF66, 0xFFDD), (0x20000, 0x110000)):
+            word[a:b] = False  # scripts that don't part words, or join particles to them
+        _FOLDS.append((one, many, wide, word))
+    return _FOLDS[0]
+
+
+def folded(text: str, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Code points with case folded and every run of blanks as one space; and if asked for, the place in the text of each."""
+    one, many, wide, _ = folds()
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    out, at = one[points], np.arange(len(points)) if places else None
+    size = many[points]
+    if (size != 1).any():
+        out = np.repeat(out, size)
+        first = np.cumsum(size, dtype=np.int64) - size
+        for k in np.flatnonzero(size != 1):
+            out[first[k] : first[k] + size[k]] = wide[int(points[k])]
+        at = np.repeat(at, size) if places else None
+    blank = out == 32
+    again = blank[1:] & blank[:-1]
+    if again.any():
+        keep = np.concatenate(([True], ~again))
+        out, at = out[keep], at[keep] if places else None
+    return out, at
 
 
 def plain(text: str) -> np.ndarray:
-    """Code points with A-Z in lower case and every ASCII blank as a space; places stay what they are."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    return np.where(points < 128, _PLAIN[np.minimum(points, 127)], points)
+    """The code points of ``folded``."""
+    return folded(text)[0]
+
+
+def item_points(text: str) -> np.ndarray:
+    """``plain`` without blanks at the ends, which are no part of a passage."""
+    points = plain(text)
+    inner = np.flatnonzero(points != 32)
+    return points[inner[0] : inner[-1] + 1] if len(inner) else points[:0]
 
 
 def gram_hashes(points: np.ndarray, q: int) -> np.ndarray:
@@ -63,19 +110,22 @@ def gram_hashes(points: np.ndarray, q: int) -> np.ndarray:
     return out * np.uint64(0xD6E8FEB86659FD93)
 
 
+def gram(length: int, q: int = GRAM, rate: float = ERROR_RATE) -> int:
+    """The largest size up to q of which the edits allowed in ``length`` characters leave one gram whole at least."""
+    return max(1, min(q, length // (int(rate * length) + 1)))
+
+
 def budget(length: int, q: int = GRAM, rate: float = ERROR_RATE) -> tuple[int, int]:
-    """Edits allowed in a window of ``length`` characters and the q-grams that must be shared: the most edits for which the bound holds at least one."""
+    """Edits allowed in a window of ``length`` characters and the grams, of the size that ``gram`` tells, that must be shared."""
     edits = int(rate * length)
-    while edits and length + 1 - q * (edits + 1) < 1:
-        edits -= 1
-    return edits, length + 1 - q * (edits + 1)
+    return edits, length + 1 - gram(length, q, rate) * (edits + 1)
 
 
 @dataclass(frozen=True)
 class Index:
-    """q-grams of a block of items, sorted by hash, and the items' windows."""
+    """q-grams of items, sorted by hash, and the items' windows; ``items`` are their numbers in the block."""
 
-    items: list
+    items: list[int]
     texts: list[np.ndarray]
     hashes: np.ndarray
     item_of: np.ndarray
@@ -88,9 +138,37 @@ class Index:
     reach: int
 
 
-def build_index(items: list[tuple[object, str]], q: int = GRAM, window: int = WINDOW, step: int = STEP, rate: float = ERROR_RATE) -> Index:
-    """``windows`` of an item: begin, length, edits, shared q-grams. Items shorter than q characters have none."""
-    texts = [plain(t) for _, t in items]
+@dataclass(frozen=True)
+class Block:
+    """A block of items: an index for each size of gram, and by length the hashes of items that are looked up whole, their numbers and texts."""
+
+    ids: list
+    parts: list[Index]
+    whole: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def build_index(items: list[tuple[object, str]], q: int = GRAM, window: int = WINDOW, step: int = STEP, rate: float = ERROR_RATE) -> Block:
+    """Items of blanks only are in no index."""
+    texts = [item_points(t) for _, t in items]
+    parts: dict[int, list[int]] = {}
+    whole: dict[int, list[int]] = {}
+    for i, t in enumerate(texts):
+        length = min(len(t), window)
+        if 0 < len(t) < q and not int(rate * length):
+            whole.setdefault(len(t), []).append(i)
+        elif length:
+            parts.setdefault(gram(length, q, rate), []).append(i)
+    short = {}
+    for n, own in sorted(whole.items()):
+        rows = np.stack([texts[i] for i in own])
+        hashes = np.concatenate([gram_hashes(t, n) for t in rows])
+        order = np.argsort(hashes, kind="stable")
+        short[n] = (hashes[order], np.array(own)[order], rows[order])
+    return Block([i for i, _ in items], [_part(own, [texts[i] for i in own], size, window, step, rate) for size, own in sorted(parts.items())], short)
+
+
+def _part(items: list[int], texts: list[np.ndarray], q: int, window: int, step: int, rate: float) -> Index:
+    """``windows`` of an item: begin, length, edits, shared q-grams."""
     each = [gram_hashes(t, q) for t in texts]
     hashes = np.concatenate([*each, np.empty(0, dtype=np.uint64)])
     item_of = np.repeat(np.arange(len(items)), [len(h) for h in each]).astype(np.int64)
@@ -102,11 +180,11 @@ def build_index(items: list[tuple[object, str]], q: int = GRAM, window: int = WI
     for t in texts:
         n = len(t)
         length = min(n, window)
-        begins = sorted({*range(0, n - length, step), n - length}) if n >= q else []
+        begins = sorted({*range(0, n - length, step), n - length})
         windows.append([(b, length, *budget(length, q, rate)) for b in begins])
     least = np.array([min((w[3] for w in own), default=1 << 30) for own in windows])
     overlap = max((w[2] for own in windows for w in own), default=0)
-    return Index([i for i, _ in items], texts, hashes[order], item_of[order], place_of[order], table, windows, least, overlap, q, 2 * window + 2 * BAND)
+    return Index(items, texts, hashes[order], item_of[order], place_of[order], table, windows, least, overlap, q, 2 * window + 2 * BAND)
 
 
 def shared_grams(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,18 +274,48 @@ def verified(index: Index, points: np.ndarray, found: list[tuple[int, int, int,
     return out
 
 
-def passages(index: Index, text: str) -> list[tuple[object, int, int, int, int]]:
+def whole_words(block: Block, points: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Number, begin and end of items that are looked up whole and stand between word boundaries."""
+    word = folds()[3][points]
+    inside = np.concatenate(([False], word[1:] & word[:-1], [False]))
+    for n, (hashes, numbers, rows) in block.whole.items():
+        if n > len(points):
+            continue
+        begins = np.flatnonzero(~(inside[: len(points) - n + 1] | inside[n:]))
+        for k in range(0, len(begins), PIECE):
+            at = begins[k : k + PIECE]
+            own = points[at[0] : at[-1] + n]
+            found = gram_hashes(own, n)[at - at[0]]
+            low, high = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
+            for j in np.flatnonzero(high > low):
+                for one in range(low[j], high[j]):
+                    if (points[at[j] : at[j] + n] == rows[one]).all():
+                        yield int(numbers[one]), int(at[j]), int(at[j]) + n
+
+
+def passages(block: Block, text: str) -> list[tuple[object, int, int, int, int]]:
     """Per item that a text holds: item id, begin and end of what its windows cover, least edits, most shared q-grams.
 
     A long text is looked at in pieces that overlap by more than a window can reach.
     """
     points, out = plain(text), {}
-    for start in range(0, max(1, len(points) - index.reach), PIECE):
-        piece = points[start : start + PIECE + index.reach]
-        for item, a, b, edits, shared in verified(index, piece, candidate_windows(index, piece)):
-            old = out.get(item, (a + start, b + start, edits, shared))
-            out[item] = (min(old[0], a + start), max(old[1], b + start), min(old[2], edits), max(old[3], shared))
-    return [(index.items[i], *out[i]) for i in sorted(out)]
+
+    def add(item: int, a: int, b: int, edits: int, shared: int) -> None:
+        old = out.get(item, (a, b, edits, shared))
+        out[item] = (min(old[0], a), max(old[1], b), min(old[2], edits), max(old[3], shared))
+
+    for index in block.parts:
+        for start in range(0, max(1, len(points) - index.reach), PIECE):
+            piece = points[start : start + PIECE + index.reach]
+            for item, a, b, edits, shared in verified(index, piece, candidate_windows(index, piece)):
+                add(index.items[item], a + start, b + start, edits, shared)
+    if block.whole:
+        for item, a, b in whole_words(block, points):
+            add(item, a, b, 0, 1)
+    if not out:
+        return []
+    at = folded(text, places=True)[1]
+    return [(block.ids[i], int(at[min(a, len(at) - 1)]), int(at[max(b, 1) - 1]) + 1, edits, shared) for i, (a, b, edits, shared) in sorted(out.items())]
 
 
 def contaminated(
@@ -217,8 +325,10 @@ def contaminated(
     """A row per row of ``docs`` and item found in it: ids, begin and end in code points, edits, shared q-grams.
 
     Found means: one of the item's windows of ``window`` characters (the whole item if it is shorter), which begin every ``step``
-    characters and at its end, is in the text with at most ``rate`` times its length edits, upper and lower case A-Z and kinds of ASCII blank
-    taken as equal. Null and empty texts hold nothing; null items and items shorter than ``q`` characters are in nothing.
+    characters and at its end, is in the text with at most ``rate`` times its length edits, after case is folded, runs of blanks are made one space
+    and blanks at the ends of the item are left out. An item under ``q`` characters that ``rate`` allows no edit has to stand between word
+    boundaries, as it would be in parts of words all over; scripts that don't part words have a boundary everywhere. Null and empty texts hold
+    nothing; null items and items of blanks only are in nothing.
     Repeated documents and items are reported each. Items over ``index_chars`` characters are indexed in a block of their own.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -241,9 +351,9 @@ def clean(
     return docs
 
 
-def indexes(benchmark: DataFrame, item_id: str, item_text: str, window: int, step: int, rate: float, q: int, index_chars: int) -> Iterator[Index]:
+def indexes(benchmark: DataFrame, item_id: str, item_text: str, window: int, step: int, rate: float, q: int, index_chars: int) -> Iterator[Block]:
     """The benchmark in blocks of about ``index_chars`` characters, one at least, one after the other."""
-    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item")).where(F.length("item") >= q)
+    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item")).where(F.length("item") > 0)
     size = items.agg(F.sum(F.length("item")).alias("n")).collect()[0]["n"] or 0
     count = max(1, -(-size // index_chars))
     for k in range(count):
@@ -251,7 +361,7 @@ def indexes(benchmark: DataFrame, item_id: str, item_text: str, window: int, ste
         yield build_index(sorted(((r["item_id"], r["item"]) for r in block), key=repr), q, window, step, rate)
 
 
-def _without(docs: DataFrame, index: Index, text: str) -> DataFrame:
+def _without(docs: DataFrame, index: Block, text: str) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +373,7 @@ def _without(docs: DataFrame, index: Index, text: str) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def _search(rows: DataFrame, index: Index, schema: T.StructType) -> DataFrame:
+def _search(rows: DataFrame, index: Block, schema: T.StructType) -> DataFrame:
     held = rows.sparkSession.sparkContext.broadcast(index)
     kinds = [to_arrow_type(f.dataType) for f in schema.fields[1:]]
 

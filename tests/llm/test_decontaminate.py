@@ -84,3 +84,35 @@ def test_blocks_long_texts_and_clean(corpus, monkeypatch):
     assert sorted(r["item_id"] for r in dc.clean(docs, benchmark, index_chars=130).collect()) == [8, 9]
     assert dc.contaminated(docs.limit(0), benchmark).count() == 0
     assert dc.clean(docs, benchmark.limit(0)).count() == 4
+
+
+def test_case_and_blanks_cost_no_edits():
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñçøåłžđабвгдежзийαβγδςıﬁ"
+    for _ in range(40):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(30)]
+        item = " ".join(words)
+        index = dc.build_index([(7, item), (8, f"\n  {item[:60].strip()}\n")])
+        wrapped = "".join(w + rng.choice(["  ", "\n    ", " \t", "  "]) for w in words).strip()
+        for copy in (item.upper(), item.lower(), item.title(), item.swapcase(), wrapped, wrapped.upper()):
+            t = "xx  yy. " + copy + " .zz"
+            found = dc.passages(index, t)
+            assert [p[0] for p in found] == [7, 8] and [p[3] for p in found] == [0, 0]
+            assert t[found[0][1] : found[0][2]] == copy
+
+
+def test_short_items(corpus):
+    items = [(1, "Ünder 12"), (2, "twenty characters ab"), (3, "x"), (4, "今天天气"), (5, "  "), (6, "twenty-three characters")]
+    index = dc.build_index(items)
+    held = lambda t: [p[0] for p in dc.passages(index, t)]
+    assert held("so ünder  12, they") == [1] and held("ÜNDER 12") == [1] and held("under 12") == [] and held("wünder 12") == [] and held("ünder 123") == []
+    assert dc.passages(index, "so ünder  12, they") == [(1, 3, 12, 0, 1)]
+    # one edit in 20 characters wherever it is
+    for i in range(20):
+        assert held("so " + items[1][1][:i] + "#" + items[1][1][i + 1 :] + " they") == [2]
+        assert held("so " + items[5][1][:i] + items[5][1][i + 1 :] + " they") == [6]
+    assert held("so twenty charac##rs ab they") == [] and held("an x. Max") == [3] and held("Max") == [] and held("了今天天气很") == [4] and held("a  b") == []
+    docs = corpus.createDataFrame([(1, "so ünder  12, they"), (2, "clean"), (3, "say twenty_characters ab twice")], "doc_id long, text string")
+    benchmark = corpus.createDataFrame([*items, (7, None), (8, "")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in dc.contaminated(docs, benchmark).collect()) == [(1, 1), (3, 2)]
+    assert [r["doc_id"] for r in dc.clean(docs, benchmark).collect()] == [2]
