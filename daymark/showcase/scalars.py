@@ -452,10 +452,19 @@ def offer_code_build(t):
     "SELECT c_custkey, 'ALPTB0698B' || lpad(CAST(c_custkey * 50000 AS VARCHAR), 9, '0') AS code, c_custkey * 50000 AS number FROM customer WHERE c_custkey * 50000 < 1000000000"
 )
 def offer_code_nine_digits(t):
-    """A wider sequence, for months with more than 9,999,999 codes."""
-    wide = t.customer.where(F.col("c_custkey") * 50000 < 1000000000).withColumn("n", F.col("c_custkey") * 50000)
-    coded = wide.select("c_custkey", codes.build_code("AL", "PTB", RUN, "n", digits=9).alias("code"))
-    return coded.select("*", codes.code_sequence("code", digits=9).cast("long").alias("number"))
+    """A wider sequence, for months with more than 9,999,999 codes: nine digits, and eighteen for numbers past them.
+
+    The SQL text leaves out customers past nine digits; this has every customer.
+    """
+    wide = t.customer.withColumn("n", F.col("c_custkey") * 50000)
+    fits = F.col("n") < 1000000000
+    coded = wide.select(
+        "c_custkey",
+        "n",
+        F.when(fits, codes.build_code("AL", "PTB", RUN, "n", digits=9)).otherwise(codes.build_code("AL", "PTB", RUN, "n", digits=18)).alias("code"),
+    )
+    number = F.when(fits, codes.code_sequence("code", digits=9).cast("long")).otherwise(codes.code_sequence("code", digits=18))
+    return coded.select("c_custkey", "code", number.alias("number"))
 
 
 @query(

@@ -53,3 +53,10 @@ def test_query_matches_oracle(spark, duck, plan, name):
 def test_entry(spark):
     df = entry(spark)
     assert len(df.columns) == 77 and not df.isEmpty()
+
+
+def test_offer_code_nine_digits_has_every_customer(spark, tmp_path):
+    keys = [1, 19_999, 20_000, 150_000, 30_000_000]
+    spark.createDataFrame([(k,) for k in keys], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r["c_custkey"]: (r["code"], r["number"]) for r in queries()["offer_code_nine_digits"](spark, str(tmp_path)).collect()}
+    assert got == {k: (f"ALPTB0698B{k * 50000:0{9 if k < 20_000 else 18}d}", k * 50000) for k in keys}
