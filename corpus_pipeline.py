@@ -20,8 +20,9 @@ from daymark.shared import scratch_path
 
 #: Columns of ``documents``.
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
-#: A language is taken as told from this score on; a text without letters has 0.
-LEAST_SCORE = 0.3
+#: A language is taken as told from this lead over the next one on, in raw scores, which are fitted to 1 and -1; a text without letters has 0. It means
+#: the same for any number of languages. A text that two languages claim equally isn't told.
+LEAST_LEAD = 0.06
 
 
 def _columns(docs: DataFrame) -> DataFrame:
@@ -32,8 +33,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the classifier is fitted on the labelled rows among those that aren't held out."""
     docs = _columns(docs)
     prepared(spark)
-    told = language_id.identify(docs, language_id.learned(docs), language="__lang", score="__score")
-    return told.where((F.col("__lang") != language_id.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).drop("__lang", "__score")
+    told = language_id.identify(docs, language_id.learned(docs), language="__lang", score="__score", lead="__lead")
+    return told.where((F.col("__lang") != language_id.UNKNOWN) & (F.col("__lead") >= LEAST_LEAD)).drop("__lang", "__score", "__lead")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -125,11 +125,15 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS_PER_LANG
     return Model(languages, place, (base.T.astype(np.float64) @ (root @ solved)).astype(np.float32), bits, orders)
 
 
-def predict(model: Model, texts: list[str | None], seen: np.ndarray) -> tuple[list[str], list[float]]:
-    """Language and score of each text, 64 texts to a matrix product."""
-    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+def predict(model: Model, texts: list[str | None], seen: np.ndarray) -> tuple[list[str], list[float], list[float]]:
+    """Language, score and lead of each text, 64 texts to a matrix product.
+
+    The lead is the raw score's distance to the next language's, or to 0 if there is one language only: unlike the score it isn't shared out among
+    the languages.
+    """
+    names, scores, leads = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     if not model.languages:
-        return names, scores
+        return names, scores, leads
     for start in range(0, len(texts), 64):
         block = [(i, spectrum(t, model.bits, model.orders, seen)) for i, t in enumerate(texts[start : start + 64], start) if t]
         block = [(i, s) for i, s in block if len(s)]
@@ -142,10 +146,12 @@ def predict(model: Model, texts: list[str | None], seen: np.ndarray) -> tuple[li
         raw = (present @ model.weights).astype(np.float64) / np.sqrt([[len(s)] for _, s in block])
         shares = np.exp(SHARPNESS * (raw - raw.max(axis=1, keepdims=True)))
         shares /= shares.sum(axis=1, keepdims=True)
-        for (i, _), share in zip(block, shares, strict=True):
+        most = np.sort(raw, axis=1)
+        ahead = most[:, -1] - (most[:, -2] if len(model.languages) > 1 else 0)
+        for (i, _), share, by in zip(block, shares, ahead, strict=True):
             best = int(share.argmax())
-            names[i], scores[i] = model.languages[best], float(share[best])
-    return names, scores
+            names[i], scores[i], leads[i] = model.languages[best], float(share[best]), float(by)
+    return names, scores, leads
 
 
 def sample(rows: DataFrame, key: Column, text: str, label: str, per_label: int = PER_LANGUAGE, most: int = MAX_SAMPLE) -> list:
@@ -166,22 +172,23 @@ def sample(rows: DataFrame, key: Column, text: str, label: str, per_label: int =
     return sorted(usable.where(some).limit(2 * most).collect(), key=lambda r: (r["h"], r["t"]))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
-    """All rows and columns with ``language`` and ``score`` (0 to 1), which replace columns of these names.
+def identify(docs: DataFrame, model: Model, text: str = "text", language: str = "lang_pred", score: str = "score", lead: str | None = None) -> DataFrame:
+    """All rows and columns with ``language`` and ``score`` (0 to 1), and ``lead`` if it is named, which replace columns of these names.
 
     ``und`` and 0 for a null text, an empty one, one without letters, and for all if the model learned nothing. Other texts get a
     learned language, of equal scores the alphabetically first. Whole texts count, however long. Repeated rows get equal answers.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop(language, score)
-    schema = T.StructType([*docs.schema.fields, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())])
+    numbers = [score, *([lead] if lead else [])]
+    docs = docs.drop(language, *numbers)
+    schema = T.StructType([*docs.schema.fields, T.StructField(language, T.StringType()), *[T.StructField(n, T.DoubleType()) for n in numbers]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = held.value
         seen = np.zeros(1 << fitted.bits, dtype=bool)
         for block in blocks(batches, text):
-            names, scores = predict(fitted, block.column(block.schema.get_field_index(text)).to_pylist(), seen)
-            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*block.schema.names, language, score])
+            names, *told = predict(fitted, block.column(block.schema.get_field_index(text)).to_pylist(), seen)
+            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(names, pa.string()), *[pa.array(x, pa.float64()) for x in told[: len(numbers)]]], names=[*block.schema.names, language, *numbers])
 
     return docs.mapInArrow(run, schema)
 

@@ -66,3 +66,16 @@ def test_stages_are_named_and_registered():
     assert [re.sub(r"\W", "", n) for n, _ in cp.STAGES] == ["language", "line_dedup", "near_copies", "decontamination", "sentencepiece"]
     assert "pipeline" in queries() and "pipeline" not in oracle_sql()
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries() if re.match(r"op\d+_", n)) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("languages", [2, 40])
+def test_language_stage_whatever_the_number_of_languages(corpus, languages):
+    rng = random.Random(languages)
+    tongues = [["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(150)] for letters in (rng.sample("abcdefghijklmnopqrstuvwxyzäöüéèñçøå", 18) for _ in range(languages))]
+    text = lambda k, n: " ".join(rng.choices(tongues[k], k=n))
+    docs = [(n, text(n % languages, rng.randint(5, 60)), f"l{n % languages}", "s", 0) for n in range(60 * languages)]
+    short = [(10_000 + n, text(n % languages, 4), None, "s", 0) for n in range(80)]
+    foreign = [(20_000 + n, "".join(rng.choices("абвгдежзиклмнопрст ", k=200)), None, "s", 0) for n in range(40)]
+    got = {r["doc_id"] for r in cp.language(corpus, corpus.createDataFrame(docs + short + foreign, FIELDS), "").collect()}
+    assert {d[0] for d in short} <= got and {d[0] for d in docs} <= got
+    assert not {d[0] for d in foreign} & got
