@@ -33,7 +33,6 @@ def test_round_trip(corpus, rows_of, step, least):
     read = warc.read(corpus, manifest, range_bytes=step)
     got = read.select(warc.page_number(read.record_id).alias("p"), "payload_bytes", "payload_digest", "record_type", warc.page_number(read.refers_to_id).alias("r"))
     assert rows_of(got) == brute(PAGES, least)
-    bodies = {warc.page_number(read.record_id): None}
     bodies = {r["payload_digest"]: bytes(r["payload"]) for r in read.where("record_type = 'response'").collect()}
     assert all(warc.digest(b) == d for d, b in bodies.items())
 
