@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import cover_tree, decontaminate, language_id, line_dedup, ngram_join, secret_scan, sentencepiece_scan, sharding, suffix_dedup, warc
+from daymark.llm import (
+    cover_tree, decontaminate, hard_negatives, language_id, line_dedup, multi_index, ngram_join, secret_scan, sentencepiece_scan, sharding, spelling,
+    suffix_dedup, warc,
+)
 from daymark.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,9 +61,27 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_scan.checked(docs, model)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.digest(table(spark, sf_dir, "embeddings"))
+
+
 def _prepared(query: Query) -> Query:
     return lambda spark, sf_dir: query(prepared(spark), sf_dir)
 
 
-QUERIES: dict[str, Query] = {f.__name__: _prepared(f) for f in (op1_decontamination, op2_warc, op3_secret_scan, op4_ngram_join, op5_line_dedup, op6_sharding, op7_suffix_dedup, op8_embedding_near_dedup, op9_language_id, op10_sentencepiece)}
-SQL: dict[str, str] = {"op2_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL}
+QUERIES: dict[str, Query] = {
+    f.__name__: _prepared(f)
+    for f in (
+        op1_decontamination, op2_warc, op3_secret_scan, op4_ngram_join, op5_line_dedup, op6_sharding, op7_suffix_dedup, op8_embedding_near_dedup,
+        op9_language_id, op10_sentencepiece, op11_hard_negatives, op12_spelling_variants, op13_nearest_neighbours,
+    )
+}
+SQL: dict[str, str] = {"op2_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL, "op11_hard_negatives": hard_negatives.SQL, "op12_spelling_variants": spelling.SQL}
