@@ -33,6 +33,10 @@ CONTROL_COLUMNS = (CREATE_USER, CREATE_TS, UPDATE_USER, UPDATE_TS)
 
 ACTION = "scd_action"
 UNCHANGED, CLOSED, INSERTED, DELETED = "unchanged", "closed", "inserted", "deleted"
+#: Column of ``scd1_changes``: partition values of the row that a change replaces.
+LEFT = "scd_left"
+#: Column of ``latest_state``: the highest id of a key's rows.
+HIGHEST = "highest_id"
 
 SEPARATOR, NULL_MARK = "\x1f", "__NULL__"
 
@@ -73,30 +77,40 @@ def _has_control(df: DataFrame) -> bool:
     return set(CONTROL_COLUMNS) <= set(df.columns)
 
 
-def _sides(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _sides(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Both states of every key side by side, as structs ``old`` and ``new``.
 
     Rows without a complete key match nothing; each gets a place of its own instead of all meeting in the
     task of the NULL key. A complete key that the source holds more than once ends the job: its rows are
     counted in the shuffle that the join needs anyway.
+
+    ``buckets`` says that the target is a table bucketed by the keys: the source is then dealt to as many buckets and joined by the keys alone, so
+    that the target's rows stay where they are. Rows without a complete key go around the join.
     """
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
 
-    def side(df: DataFrame, name: str, alone: Column) -> DataFrame:
-        place = F.when(complete, F.lit(0).cast("long")).otherwise(alone)
-        return df.select(
-            *[F.col(k).alias(f"{name}_{k}") for k in keys], place.alias(f"{name}_place"), F.struct(*df.columns).alias(name)
-        )
+    def side(df: DataFrame, name: str, alone: Column | None) -> DataFrame:
+        place = [] if alone is None else [F.when(complete, F.lit(0).cast("long")).otherwise(alone).alias(f"{name}_place")]
+        return df.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], *place, F.struct(*df.columns).alias(name))
 
-    left = side(target, "old", F.xxhash64(*target.columns))
-    where = [*[f"new_{k}" for k in keys], "new_place"]
-    arriving = side(source, "new", 1 + F.monotonically_increasing_id()).groupBy(*where)
-    right = arriving.agg(F.first("new").alias("new"), F.count(F.lit(1)).alias("__times"))
+    own = buckets is None
+    left = side(target if own else target.where(complete), "old", F.xxhash64(*target.columns) if own else None)
+    arriving = side(source if own else source.where(complete).repartition(buckets, *keys), "new", 1 + F.monotonically_increasing_id() if own else None)
+    matching = [*keys, "place"] if own else list(keys)
+    where = [f"new_{k}" for k in matching]
+    right = arriving.groupBy(*where).agg(F.first("new").alias("new"), F.count(F.lit(1)).alias("__times"))
     shown = F.concat_ws(", ", *[F.col(f"new_{k}").cast("string") for k in keys])
     twice = F.raise_error(F.concat(F.lit("the source holds a key more than once: "), shown))
     right = right.withColumn("new", F.when(F.col("__times") > 1, twice).otherwise(F.col("new")))
-    matched = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in [*keys, "place"]]
-    return left.join(right, matched, "full_outer").select("old", "new")
+    matched = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in matching]
+    sides = left.join(right, matched, "full_outer").select("old", "new")
+    if own:
+        return sides
+    types = dict(sides.dtypes)
+    none = lambda name: F.lit(None).cast(types[name]).alias(name)
+    gone = target.where(~complete).select(F.struct(*target.columns).alias("old"), none("new"))
+    came = source.where(~complete).select(none("old"), F.struct(*source.columns).alias("new"))
+    return sides.unionByName(gone).unionByName(came)
 
 
 def scd2_step(
@@ -108,12 +122,15 @@ def scd2_step(
     now: dt.datetime | None = None,
     partitions: Iterable[str] = (),
     separator: str = SEPARATOR,
+    buckets: int | None = None,
 ) -> DataFrame:
     """What becomes of the current rows when the source is applied, with an ``scd_action`` column.
 
     The output holds every row that is current afterwards and every row closed by this run. A row that
     was opened on the run date itself is replaced, not closed: it was never valid for a whole day. A run
     dated before the start of a row that it would close ends the job, since that row would have no day left.
+
+    ``buckets``: the current rows come from a table with so many buckets by the keys (``tables.save_bucketed``), and only the source is shuffled.
     """
     control = _has_control(current_rows)
     if control and now is None:
@@ -165,7 +182,7 @@ def scd2_step(
         F.when(make_new, row(after, F.when(arrives, F.lit(INSERTED)).otherwise(F.lit(DELETED)))),
     )
     # a version that does not arise is a row of NULLs here
-    return _sides(current_rows, hashed, keys).select(F.inline(versions)).where(F.col(ACTION).isNotNull())
+    return _sides(current_rows, hashed, keys, buckets).select(F.inline(versions)).where(F.col(ACTION).isNotNull())
 
 
 def scd2_merge(
@@ -220,6 +237,43 @@ def scd1_merge(
     )
 
 
+def scd1_changes(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    table_partitions: Sequence[str] = (),
+    user: str = "daymark",
+    now: dt.datetime | None = None,
+    partitions: Iterable[str] = (),
+    separator: str = SEPARATOR,
+) -> DataFrame:
+    """The rows of an ``scd1_merge`` that are new or differ, with ``scd_left``: the partition values of the row that each replaces, null if there was none.
+
+    ``table_partitions`` are the columns that the table is partitioned by; a key whose values of these differ counts as changed even where they
+    are not part of the hash (``partitions``). Of the target keys, hashes, partition values and creation stamps are read, nothing else.
+    """
+    control = _has_control(target)
+    if control and now is None:
+        raise ValueError("the table has control columns: pass the time of the run as now")
+    columns = [name for name in target.columns if name not in {HASH, *CONTROL_COLUMNS}]
+    types = dict(target.dtypes)
+    hashed = with_row_hash(source.select(*[F.col(name).cast(types[name]).alias(name) for name in columns]), partitions, separator)
+    narrow = target.select(*dict.fromkeys([*keys, HASH, *table_partitions, *((CREATE_USER, CREATE_TS) if control else ())]))
+    old, new = F.col("old"), F.col("new")
+    same = F.coalesce(old[HASH] == new[HASH], F.lit(False))
+    for name in table_partitions:
+        same = same & old[name].eqNullSafe(new[name])
+    merged = {name: new[name] for name in [*columns, HASH]}
+    if control:
+        stamp = F.lit(now).cast("timestamp")
+        merged[CREATE_USER] = F.when(old.isNull(), F.lit(user)).otherwise(old[CREATE_USER])
+        merged[CREATE_TS] = F.when(old.isNull(), stamp).otherwise(old[CREATE_TS])
+        merged[UPDATE_USER], merged[UPDATE_TS] = F.lit(user), stamp
+    left = [F.when(old.isNotNull(), F.struct(*[old[p].alias(p) for p in table_partitions])).alias(LEFT)] if table_partitions else [F.lit(None).cast("string").alias(LEFT)]
+    changed = _sides(narrow, hashed, keys).where(new.isNotNull() & ~same)
+    return changed.select(*[merged[name].cast(types[name]).alias(name) for name in target.columns], *left)
+
+
 def scd2_repair(target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join versions of equal content whose intervals meet, and drop further current rows of a key.
 
@@ -322,3 +376,68 @@ def scd2_append(
         return fresh.select(*history.columns)
     last_id = history.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("last_id")).scalar()
     return number_rows(fresh, list(keys), last_id, id_column).select(*history.columns)
+
+
+def latest_state(
+    history: DataFrame, keys: Sequence[str], id_column: str | None = None, column: str = "actual_date", partitions: Iterable[str] = ()
+) -> DataFrame:
+    """What an append needs to know of an append-only version table: per key hash, date and id of its latest row and the highest id (``highest_id``).
+
+    Rows without a complete key are told by their content: one row for each. Of several rows of a key and day the one with the highest id counts, of
+    equal or no ids the one with the highest hash.
+    """
+    ids = [id_column] if id_column else []
+    compared = data_columns(history.columns, [*partitions, column, *ids])
+    hashed = history.select(*keys, column, *ids, row_hash(compared).alias(HASH), *[F.col(i).alias(HIGHEST) for i in ids])
+    return _latest(hashed, keys, id_column, column)
+
+
+def next_state(
+    state: DataFrame, appended: DataFrame, keys: Sequence[str], id_column: str | None = None, column: str = "actual_date", partitions: Iterable[str] = ()
+) -> DataFrame:
+    """The state after rows were appended; to be stored with them."""
+    fresh = latest_state(appended, keys, id_column, column, partitions)
+    return _latest(state.unionByName(fresh), keys, id_column, column)
+
+
+def _latest(rows: DataFrame, keys: Sequence[str], id_column: str | None, column: str) -> DataFrame:
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    ids = [id_column] if id_column else []
+    highest = [F.max(HIGHEST).alias(HIGHEST)] if id_column else []
+    latest = rows.groupBy(*keys, F.when(~complete, F.col(HASH)).alias("__content")).agg(F.max(F.struct(column, *ids, HASH)).alias("__latest"), *highest)
+    return latest.select(*keys, *[F.col("__latest")[c].alias(c) for c in (HASH, column, *ids)], *([HIGHEST] if id_column else []))
+
+
+def scd2_append_indexed(
+    state: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    run_date: DateLike,
+    id_column: str | None = None,
+    column: str = "actual_date",
+    clean: bool = True,
+    partitions: Iterable[str] = (),
+) -> DataFrame:
+    """``scd2_append`` against a stored ``latest_state`` in place of the history, which isn't read.
+
+    Returns the rows to append: the source's columns, then id and date. A run dated before the latest row of a key that it brings ends the job, because
+    the state doesn't know what was valid before.
+    """
+    incoming = clean_strings(source) if clean else source
+    compared = data_columns(incoming.columns, [*partitions, column, *([id_column] if id_column else [])])
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    hashed = incoming.withColumn("__hash", row_hash(compared))
+    known = state.where(complete).select(*keys, F.col(HASH).alias("__known"), F.col(column).alias("__since"))
+    joined = join_splitting(hashed.where(complete), known, keys)
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    late = F.raise_error(F.concat(F.lit(f"the run date {run_date} is before the latest row of: "), shown)).cast("boolean")
+    keep = F.when(F.col("__since") > day(run_date), late).otherwise(F.col("__known").isNull() | (F.col("__known") != F.col("__hash")))
+    seen = state.where(~complete).select(F.col(HASH).alias("__hash")).distinct()
+    keyless = hashed.where(~complete).join(seen, "__hash", "left_anti")
+    fresh = joined.where(keep).select(*incoming.columns).unionByName(keyless.select(*incoming.columns))
+    columns = [c for c in incoming.columns if c not in (id_column, column)]
+    fresh = fresh.select(*columns).withColumn(column, day(run_date))
+    if id_column is None:
+        return fresh
+    last_id = state.agg(F.coalesce(F.max(HIGHEST), F.lit(0)).cast("long").alias("last_id")).scalar()
+    return number_rows(fresh, list(keys), last_id, id_column).select(*columns, id_column, column)

@@ -5,15 +5,17 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from daymark.operators import contract as C
-from daymark.operators import quality, scd
+from daymark.operators import quality, reconcile, scd
 from daymark.showcase.registry import query
 from daymark.showcase.roles import RUN
-from daymark.shared import scratch_path
+from daymark.shared import scratch_path, settle
 from daymark.sinks import files, tables
 from daymark.sources import snapshots as S
+from daymark.sources import versions as V
 
 NOW = dt.datetime(1998, 6, 15, 10, 30, 0)
 USER = "nightly"
@@ -218,6 +220,47 @@ def scd2_append(t):
     return scd.scd2_append(history, t.sql(APPEND_SOURCE), ["bbn"], RUN, id_column="version_id")
 
 
+def _append_sql(after: str) -> str:
+    return f"""WITH latest AS (SELECT bbn, status FROM (SELECT *, row_number() OVER (PARTITION BY bbn ORDER BY actual_date DESC, version_id DESC) AS rn
+                FROM versions WHERE actual_date <= DATE '{RUN}') WHERE rn = 1),
+        incoming AS (SELECT bbn, CASE WHEN trim(status) = 'n/a' THEN '' ELSE trim(status) END AS status FROM ({_text(APPEND_SOURCE)})),
+        appended AS (SELECT i.bbn, i.status, (SELECT max(version_id) FROM versions WHERE actual_date <= DATE '{RUN}') + row_number() OVER (ORDER BY i.bbn) AS version_id,
+            '{RUN}' AS actual_date FROM incoming i LEFT JOIN latest l ON i.bbn = l.bbn WHERE l.bbn IS NULL OR l.status <> i.status) {after}"""
+
+
+def _append_state(t):
+    """History up to the run, one row a day, and its state."""
+    versions = t.role("versions").where(F.col("actual_date") <= RUN)
+    last_of_day = versions.groupBy("bbn", "actual_date").agg(F.max("version_id").alias("version_id"))
+    last = versions.join(last_of_day, ["bbn", "actual_date", "version_id"]).select("bbn", "status", "version_id", "actual_date")
+    # the highest id may stand on a row that a later one of its day replaced
+    return settle(scd.latest_state(last, ["bbn"], "version_id"))
+
+
+@query(_append_sql("SELECT * FROM appended"), roles=("versions",))
+def scd2_append_indexed(t):
+    """New and changed keys told by the stored state of the history, which isn't read."""
+    return scd.scd2_append_indexed(_append_state(t), t.sql(APPEND_SOURCE), ["bbn"], RUN, id_column="version_id")
+
+
+NEXT_DAY = """SELECT CAST(c_custkey AS STRING) AS bbn, CASE WHEN c_acctbal > 9000 THEN 'P' WHEN c_acctbal > 5000 THEN 'F' ELSE 'O' END AS status FROM {customer}"""
+
+
+@query(
+    _append_sql(
+        """SELECT bbn, 'P' AS status, (SELECT max(version_id) FROM appended) + row_number() OVER (ORDER BY bbn) AS version_id, '1998-06-16' AS actual_date
+           FROM (SELECT CAST(c_custkey AS VARCHAR) AS bbn FROM customer WHERE c_acctbal > 9000)"""
+    ),
+    roles=("versions",),
+)
+def scd2_append_indexed_again(t):
+    """With the state carried on, the next day's source brings only what it changes."""
+    state = _append_state(t)
+    fresh = settle(scd.scd2_append_indexed(state, t.sql(APPEND_SOURCE), ["bbn"], RUN, id_column="version_id"))
+    after = settle(scd.next_state(state, fresh, ["bbn"], "version_id"))
+    return scd.scd2_append_indexed(after, t.sql(NEXT_DAY), ["bbn"], "1998-06-16", id_column="version_id")
+
+
 @query(
     f"""WITH old AS (SELECT CAST(c_custkey AS VARCHAR) AS bbn, c_mktsegment AS segment, CAST(c_acctbal AS DECIMAL(18,2)) AS balance FROM customer),
         source AS ({_text(SOURCE)})
@@ -471,6 +514,135 @@ def scd1_written(t):
     return t.spark.table(table).select("bbn", "balance", scd.HASH, scd.CREATE_USER, scd.UPDATE_USER, scd.UPDATE_TS)
 
 
+SEGMENTED = C.TableContract.from_ddl(
+    "segmented",
+    """bbn string, balance decimal(18,2), row_hash_value string, ctrl_create_user_id string, ctrl_create_ts timestamp,
+    ctrl_last_update_user_id string, ctrl_last_update_ts timestamp, segment string""",
+    keys=("bbn",),
+    partitions=("segment",),
+)
+# every BUILDING customer of an even nation moves to a segment of its own, all MACHINERY customers to none
+MOVED = "CASE WHEN c_mktsegment = 'BUILDING' AND c_nationkey % 2 = 0 THEN 'A/B: c' WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_mktsegment END"
+MOVING = f"SELECT CAST(c_custkey AS STRING) AS bbn, {MOVED} AS segment, CAST(c_acctbal AS DECIMAL(18,2)) AS balance FROM {{customer}} WHERE c_nationkey <> 3"
+
+
+@query(
+    f"""SELECT bbn, segment, balance, CASE WHEN moved THEN '{USER}' ELSE 'loader' END AS ctrl_last_update_user_id, 'loader' AS ctrl_create_user_id
+        FROM (SELECT CAST(c_custkey AS VARCHAR) AS bbn, CASE WHEN c_nationkey <> 3 THEN {MOVED} ELSE c_mktsegment END AS segment,
+                CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance,
+                c_nationkey <> 3 AND (c_nationkey = 11 OR c_mktsegment IS DISTINCT FROM {MOVED}) AS moved FROM customer)"""
+)
+def scd1_written_partitioned(t):
+    """Customers change their segment, which is the partition: each is in the table once, whatever a segment's name holds."""
+    table = _table(t, "segmented", SEGMENTED)
+    tables.write_table(_target(t).where("current_row_flag = 'Y'").drop(*scd.VERSION_COLUMNS), table, SEGMENTED)
+    changes = scd.scd1_changes(t.spark.table(table), t.sql(MOVING), ["bbn"], ["segment"], user=USER, now=NOW)
+    tables.write_scd1_changes(changes, table, ["bbn"])
+    return t.spark.table(table).select("bbn", "segment", "balance", scd.UPDATE_USER, scd.CREATE_USER)
+
+
+BY_MONTH = C.TableContract.from_ddl(
+    "by_month",
+    """bbn string, segment string, balance decimal(18,2), row_eff_start_date date, row_eff_end_date date, row_hash_value string,
+    ctrl_create_user_id string, ctrl_create_ts timestamp, ctrl_last_update_user_id string, ctrl_last_update_ts timestamp,
+    current_row_flag string, row_eff_start_month date""",
+    keys=("bbn",),
+    partitions=("current_row_flag", "row_eff_start_month"),
+    write_ordered_by=("bbn",),
+)
+
+
+def _merged_by_month(t) -> str:
+    table = _table(t, "by_month", BY_MONTH)
+    tables.write_table(V.with_start_month(_target(t)), table, BY_MONTH)
+    held = V.current(t.spark.table(table)).drop(V.START_MONTH)
+    tables.write_scd2_months(V.with_start_month(scd.scd2_step(held, t.sql(SOURCE), ["bbn"], RUN, user=USER, now=NOW)), table)
+    return table
+
+
+@query(MERGED)
+def scd2_written_months(t):
+    """The merge applied to a table partitioned by current flag and month of start: only months that lose or gain rows are written."""
+    return t.spark.table(_merged_by_month(t)).drop(V.START_MONTH)
+
+
+@query(f"WITH merged AS ({MERGED}) SELECT bbn, balance, current_row_flag FROM merged WHERE row_eff_start_date <= '1998-01-20' AND '1998-01-20' < row_eff_end_date")
+def asof_months(t):
+    """Versions valid on a day, from the months up to that day's."""
+    return V.valid_in_months(t.spark.table(_merged_by_month(t)), "1998-01-20").select("bbn", "balance", "current_row_flag")
+
+
+@query(f"WITH {STEP_CTES} SELECT {SHOWN}, scd_action FROM step")
+def scd2_step_bucketed(t):
+    """The step over current rows that are stored in buckets by key: only the source is shuffled."""
+    table = f"bucketed_{uuid.uuid4().hex[:12]}"
+    tables.save_bucketed(_target(t).where("current_row_flag = 'Y'"), table, scratch_path(t.spark, "bucketed"), ["bbn"], 8)
+    return scd.scd2_step(t.spark.table(table), t.sql(SOURCE), ["bbn"], RUN, user=USER, now=NOW, buckets=8)
+
+
+@query(f"WITH {STEP_CTES} SELECT {SHOWN} FROM step WHERE scd_action <> 'closed'")
+def scd2_bucketed_written(t):
+    """Current rows after the step, stored in buckets again without moving between them."""
+    table = f"bucketed_{uuid.uuid4().hex[:12]}"
+    tables.save_bucketed(_target(t).where("current_row_flag = 'Y'"), table, scratch_path(t.spark, "bucketed"), ["bbn"], 8)
+    step = scd.scd2_step(t.spark.table(table), t.sql(SOURCE), ["bbn"], RUN, user=USER, now=NOW, buckets=8)
+    now_current = step.where(F.col(scd.ACTION) != scd.CLOSED).drop(scd.ACTION)
+    tables.replace_bucketed(now_current, table, scratch_path(t.spark, "bucketed"), ["bbn"], 8)
+    return t.spark.table(table)
+
+
+@query(
+    """SELECT CAST(date_trunc('month', o_orderdate)::DATE AS VARCHAR) AS day, count(*) AS "rows", 1 AS files, 1 AS fewer, 1 AS in_order
+       FROM orders GROUP BY ALL"""
+)
+def compact_files(t):
+    """What compaction leaves of a table written by many tasks: one sorted file a month, where there were several."""
+    table = _table(t, "compact", DAILY)
+    tables.write_table(_monthly(t), table, DAILY, clustered=False, tasks=4)
+    before = settle(tables.file_stats(t.spark.table(table), ["day"], ["o_orderkey"]).groupBy("day").agg(F.count(F.lit(1)).alias("before")))
+    tables.compact(t.spark, table, scratch_path(t.spark, "compacted"), ["o_orderkey"])
+    at = Window.partitionBy("day", "file").orderBy("place")
+    rows = t.spark.table(table).select(F.col("day").cast("string").alias("day"), "o_orderkey", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    rows = rows.withColumn("falls", F.coalesce(F.lag("o_orderkey").over(at) > F.col("o_orderkey"), F.lit(False)))
+    found = rows.groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("file").alias("files"), (~F.max("falls")).alias("in_order"))
+    return found.join(before, "day").select("day", "rows", "files", (F.col("before") > F.col("files")).alias("fewer"), "in_order")
+
+
+# lines as two systems hold them: in some months one lacks a line, holds one twice, or has another quantity
+OURS = "SELECT l_orderkey, l_linenumber, l_quantity, trunc(l_shipdate, 'month') AS month FROM {lineitem}"
+THEIRS = """SELECT l_orderkey, l_linenumber, CASE WHEN month(l_shipdate) = 3 AND l_orderkey % 5 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+        trunc(l_shipdate, 'month') AS month FROM {lineitem} WHERE NOT (year(l_shipdate) = 1995 AND l_linenumber = 2)
+    UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, trunc(l_shipdate, 'month') FROM {lineitem} WHERE year(l_shipdate) = 1996 AND l_linenumber = 1"""
+HELD_SQL = """ours AS (SELECT l_orderkey, l_linenumber, l_quantity, date_trunc('month', l_shipdate)::DATE AS month FROM lineitem),
+    theirs AS (SELECT l_orderkey, l_linenumber, CASE WHEN month(l_shipdate) = 3 AND l_orderkey % 5 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+            date_trunc('month', l_shipdate)::DATE AS month FROM lineitem WHERE NOT (year(l_shipdate) = 1995 AND l_linenumber = 2)
+        UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, date_trunc('month', l_shipdate)::DATE FROM lineitem
+        WHERE year(l_shipdate) = 1996 AND l_linenumber = 1)"""
+DIFFERENCE_SQL = f"""WITH {HELD_SQL}
+    SELECT l_orderkey, l_linenumber, l_quantity, CAST(month AS VARCHAR) AS month, CASE WHEN sum(n) > 0 THEN 'left_only' ELSE 'right_only' END AS side,
+           CAST(abs(sum(n)) AS BIGINT) AS copies
+    FROM (SELECT *, 1 AS n FROM ours UNION ALL SELECT *, -1 FROM theirs) GROUP BY l_orderkey, l_linenumber, l_quantity, month HAVING sum(n) <> 0"""
+
+
+@query(DIFFERENCE_SQL)
+def reconcile_digest(t):
+    """Differences of two tables by month: months whose digests agree are not compared row by row."""
+    return reconcile.difference_by_digest(t.sql(OURS), t.sql(THEIRS), ["month"])
+
+
+@query(DIFFERENCE_SQL)
+def reconcile_digest_groups(t):
+    """The same without a column to go by: rows are dealt to groups by a hash."""
+    return reconcile.difference_by_digest(t.sql(OURS), t.sql(THEIRS))
+
+
+@query(f"WITH {HELD_SQL} SELECT month::VARCHAR AS month FROM (SELECT DISTINCT month FROM ({DIFFERENCE_SQL.split(HELD_SQL)[1].strip()}))")
+def reconcile_months(t):
+    """The months that differ, from digests alone."""
+    found = reconcile.differing_groups(t.sql(OURS), t.sql(THEIRS), ["month"])
+    return t.spark.createDataFrame(found, "month date")
+
+
 @query("SELECT l_orderkey, l_quantity, l_returnflag FROM lineitem")
 def delimited_table(t):
     """Rows through a table over pipe-delimited text."""

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.functions.bounds import DateLike, day
+from daymark.functions.bounds import DateLike, day, month_start
 from daymark.operators.dedup import first_per_key
 
 OPEN_END = "9999-12-31"
 START, END, CURRENT = "row_eff_start_date", "row_eff_end_date", "current_row_flag"
+#: Derived column of tables that are partitioned by the month in which a version begins.
+START_MONTH = "row_eff_start_month"
 
 
 def is_current() -> Column:
@@ -31,6 +33,25 @@ def live(df: DataFrame) -> DataFrame:
     return df.where(is_live())
 
 
+def with_start_month(df: DataFrame) -> DataFrame:
+    """Rows with the first day of the month in which their version begins."""
+    return df.withColumn(START_MONTH, F.trunc(START, "month"))
+
+
+def valid_in_months(df: DataFrame, run_date: DateLike) -> DataFrame:
+    """Versions whose half-open interval holds the run date, from a table partitioned by ``START_MONTH``: months after the run's are never listed.
+
+    For the latest state of a table ``live`` needs the current partitions only.
+    """
+    return df.where((F.col(START_MONTH) <= day(month_start(run_date))) & (F.col(START) <= day(run_date)) & (day(run_date) < F.col(END)))
+
+
+def began_between(df: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+    """Versions that began from ``start`` to ``end``, both included: only the partitions of these months are read."""
+    months = F.col(START_MONTH).between(day(month_start(start)), day(month_start(end)))
+    return df.where(months & F.col(START).between(day(start), day(end)))
+
+
 def versions_as_of(
     df: DataFrame,
     keys: Sequence[str],
