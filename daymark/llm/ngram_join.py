@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymark.llm.common import bit_map, blocks, in_map, kept
+from daymark.llm.common import bit_map, blocks, in_map, kept, lean, trim
 from daymark.llm.components import components, forest
 from daymark.llm.shingles import set_keys, shingle_sets
 from daymark.operators.joins import join_splitting
@@ -38,10 +38,17 @@ SKETCH_PART = 1 << 12
 #: Largest l, and the cost of comparing one shingle against that of reading one list entry.
 MOST_MATCHES = 8
 COMPARE_COST = 0.05
-#: Members of a block when prefixes and outlines, and when whole sets are compared; rows that a task takes together.
+#: Members of a block when prefixes and outlines, and when whole sets are compared, at most.
 SEARCH_BLOCK = 1024
 SET_BLOCK = 256
+#: Bytes that a member brings per shingle of its set: outline alone, with its prefix, and as a whole set.
+OUTLINE_BYTES, PREFIX_BYTES, SET_BYTES = 0.25, 2, 8
+#: Bytes of a block, and bytes and rows that a task takes together, about. A single larger member stands alone.
+BLOCK_BYTES = 4 << 20
+TASK_BYTES = 12 << 20
 TASK_ROWS = 4000
+#: Bytes of text that are hashed at a time; there are about ten numbers of 8 bytes to a word.
+TEXT_BYTES = 1 << 20
 
 
 def sets(docs: DataFrame, text: str, size: int) -> DataFrame:
@@ -51,7 +58,7 @@ def sets(docs: DataFrame, text: str, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         kind = None
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, TEXT_BYTES):
             kind = block.schema.field("row").type
             row, shingle = shingle_sets(block.column(block.schema.get_field_index(text)), size)
             n = np.bincount(row, minlength=block.num_rows)
@@ -65,7 +72,7 @@ def sets(docs: DataFrame, text: str, size: int) -> DataFrame:
             k = len(parts)
             yield pa.RecordBatch.from_arrays([pa.nulls(k, kind), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(parts, pa.binary())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def sketch(rows: DataFrame) -> np.ndarray:
@@ -126,7 +133,7 @@ def prefixes(docs: DataFrame, text: str, size: int, percent: int, counts: np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketched, floor = held.value
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, TEXT_BYTES):
             row, shingle = shingle_sets(block.column(block.schema.get_field_index(text)), size)
             keys = set_keys(row, shingle, block.num_rows)
             begins = np.searchsorted(row, np.arange(block.num_rows + 1))
@@ -143,7 +150,7 @@ def prefixes(docs: DataFrame, text: str, size: int, percent: int, counts: np.nda
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, text: str, size: int) -> DataFrame:
@@ -157,13 +164,13 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, text: str, size: int) -> Data
         bits = held.value
         for batch in batches:
             hashes = batch.column(batch.schema.get_field_index("h")).to_numpy().view(np.uint64)
-            for block in blocks(iter([batch.filter(pa.array(in_map(bits, hashes)))]), text):
+            for block in blocks(iter([batch.filter(pa.array(in_map(bits, hashes)))]), text, TEXT_BYTES):
                 row, shingle = shingle_sets(block.column(block.schema.get_field_index(text)), size)
                 keys = set_keys(row, shingle, block.num_rows)
                 begins = np.searchsorted(row, np.arange(block.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(begins), pa.array(shingle.view(np.int64)))], names=["key", "shingles"])
 
-    made = docs.select(text, F.xxhash64("row").alias("h")).mapInArrow(run, "key binary, shingles array<long>")
+    made = docs.select(text, F.xxhash64("row").alias("h")).mapInArrow(lean(run), "key binary, shingles array<long>")
     # a set that several rows of one id have comes several times, which does no harm
     return kept(made.join(wanted.select("v", "key"), "key").select("v", "shingles"), "whole-sets")
 
@@ -224,34 +231,43 @@ def _settled(members: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
 
     ``matched``: the members have been counted to share enough, so prefixes need not travel.
     """
-    known = classes.select("v", "n", "l", "outline", *([] if matched else ["prefix"]))
-    hopeful = kept(_in_blocks(members, known, SEARCH_BLOCK, lambda frame: _searched(frame, percent), "hub long, v long").distinct(), "hopeful")
+    members = kept(join_splitting(members, classes.select("v", "n"), ["v"], "inner"), "cluster-members")
+    known = classes.select("v", "l", "outline", *([] if matched else ["prefix"]))
+    weight = OUTLINE_BYTES if matched else PREFIX_BYTES
+    hopeful = kept(_in_blocks(members, known, SEARCH_BLOCK, weight, lambda frame: _searched(frame, percent), "hub long, v long").distinct(), "hopeful")
     chosen = whole_sets(docs, _wanted(hopeful.select("v"), classes), "text", size)
-    left = join_splitting(members, hopeful, ["hub", "v"], "inner")
-    return kept(_in_blocks(left, chosen, SET_BLOCK, lambda frame: _compared(frame, percent), "a long, b long"), "cluster-links")
+    left = kept(join_splitting(members, hopeful, ["hub", "v"], "inner"), "hopeful-members")
+    return kept(_in_blocks(left, chosen, SET_BLOCK, SET_BYTES, lambda frame: _compared(frame, percent), "a long, b long"), "cluster-links")
 
 
-def _in_blocks(members: DataFrame, carried: DataFrame, block: int, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+def _in_blocks(members: DataFrame, carried: DataFrame, block: int, weight: float, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """Runs ``run`` on every pair of a block of left members and a block of all members of a cluster.
 
-    ``members`` (hub, v, component, left) are dealt out first and then given what ``carried`` has for v. Column ``side`` tells left ones (0)
-    from all (1); in a cluster of one block every member comes once, and left ones are marked 2.
+    ``members`` (hub, v, component, left, n; stored) are dealt out first and then given what ``carried`` has for v, ``weight`` bytes for each of the n
+    shingles of its set. Blocks and tasks are bounded by these bytes as well as by rows, counted after rows are copied for pairs of blocks. Column ``side`` tells left
+    ones (0) from all (1); in a cluster of one block every member comes once, and left ones are marked 2.
     """
-    members = kept(members, "cluster-members")
-    sizes = members.groupBy("hub").agg(F.ceil(F.sum(F.col("left").cast("long")) / block).cast("int").alias("nl"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nr"))
-    total = members.count()
-    cut = kept(join_splitting(members, sizes.where("nl > 0"), ["hub"], "inner"), "cluster-blocks")
+    size, own = F.col("n") * F.lit(float(weight)), F.col("left").cast("long")
+    parts = lambda rows, size: F.greatest(F.ceil(rows / block), F.ceil(size / BLOCK_BYTES)).cast("int")
+    sums = members.groupBy("hub").agg(F.sum(own).alias("ln"), F.sum(size * own).alias("ls"), F.count(F.lit(1)).alias("rn"), F.sum(size).alias("rs"))
+    sizes = kept(sums.where("ln > 0").withColumns({"nl": parts(F.col("ln"), F.col("ls")), "nr": parts(F.col("rn"), F.col("rs"))}), "cluster-sizes")
+    one = (F.col("nl") == 1) & (F.col("nr") == 1)
+    copied = lambda left, right: F.coalesce(F.sum(F.when(one, F.col(right)).otherwise(F.col(left) * F.col("nr") + F.col(right) * F.col("nl"))), F.lit(0))
+    rows, total = sizes.agg(copied("ln", "rn"), copied("ls", "rs")).collect()[0]
+    tasks = max(1, -(-int(rows) // TASK_ROWS), -(-int(total) // TASK_BYTES))
+    cut = join_splitting(members, sizes.select("hub", "nl", "nr"), ["hub"], "inner")
     spot, none = F.xxhash64("v"), F.lit(0)
     small = cut.where("nl = 1 AND nr = 1").select("*", none.alias("i"), none.alias("j"), F.when(F.col("left"), 2).otherwise(1).alias("side"))
     large = cut.where("nl > 1 OR nr > 1")
     left = large.where("left").withColumn("i", F.pmod(spot, F.col("nl")).cast("int")).withColumn("j", F.explode(F.sequence(none, F.col("nr") - 1))).withColumn("side", none)
     right = large.withColumn("j", F.pmod(spot, F.col("nr")).cast("int")).withColumn("i", F.explode(F.sequence(none, F.col("nl") - 1))).withColumn("side", F.lit(1))
-    dealt = small.unionByName(left).unionByName(right).select("hub", "v", "component", "i", "j", "side")
+    dealt = small.unionByName(left).unionByName(right).select("hub", "v", "component", "n", "i", "j", "side")
     # many small clusters to a task; a pair of blocks is whole in one
-    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("hub", "i", "j"), F.lit(max(1, total // TASK_ROWS))))
+    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("hub", "i", "j"), F.lit(tasks)))
 
     def each(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [run(frame.take(rows)) for rows in frame.groupby(["hub", "i", "j"]).indices.values()]
+        trim()
         return pd.concat(parts, ignore_index=True)
 
     return join_splitting(dealt, carried, ["v"], "inner").groupBy("task").applyInPandas(each, schema)

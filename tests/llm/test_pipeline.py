@@ -65,7 +65,7 @@ def test_stages_are_named_and_registered():
 
     assert [re.sub(r"\W", "", n) for n, _ in cp.STAGES] == ["language", "line_dedup", "near_copies", "decontamination", "sentencepiece"]
     assert "pipeline" in queries() and "pipeline" not in oracle_sql()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries() if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries() if re.match(r"op\d+_", n)) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("languages", [2, 40])
