@@ -154,14 +154,16 @@ def contract_for(job_name: str, schemas: Mapping[str, Any], source_key: str | No
 
 
 def conform(
-    df: DataFrame, contract: TableContract, strict: bool = False, cast: bool = True, pad: bool = False
+    df: DataFrame, contract: TableContract, strict: bool = False, cast: bool = True, pad: bool | Sequence[str] = False
 ) -> DataFrame:
     """Declared columns in declared order, cast to their declared types.
 
-    Columns the frame lacks are left out, filled with typed NULLs with ``pad``, or an error with ``strict``.
+    Columns the frame lacks are left out, filled with typed NULLs with ``pad`` (all of them, or those it lists), or an error with ``strict``
+    unless they are listed.
     """
     present = {name.lower(): name for name in df.columns}
-    missing = [c.name for c in contract.columns if c.name.lower() not in present]
+    listed = set() if isinstance(pad, bool) else {name.lower() for name in pad}
+    missing = [c.name for c in contract.columns if c.name.lower() not in present and c.name.lower() not in listed]
     if strict and missing:
         raise ContractError(f"{contract.name}: columns missing from the frame: {missing}")
     chosen = []
@@ -169,7 +171,7 @@ def conform(
         if spec.name.lower() in present:
             column = F.col(f"`{present[spec.name.lower()]}`")
             chosen.append((column.cast(spec.data_type) if cast else column).alias(spec.name))
-        elif pad:
+        elif pad is True or spec.name.lower() in listed:
             chosen.append(F.lit(None).cast(spec.data_type).alias(spec.name))
     return df.select(*chosen)
 

@@ -58,3 +58,22 @@ def number_rows(
         .withColumn(name, (index + F.col(BEFORE) + first).cast("long"))
         .drop(SLOT, PART, BEFORE)
     )
+
+
+def number_weighted(df: DataFrame, order: Sequence[str], weight: str, start: Column | int = 0, name: str = "first", partitions: int | None = None) -> DataFrame:
+    """Add ``name``: the number that the first of ``weight`` rows standing behind each row gets, if all of them are numbered in the given order after ``start``.
+
+    Give it keys and weights only: no other column is needed to number rows that are fanned out later (``number + place - 1``). Rows without weight
+    use up no number. Ties as in ``number_rows``.
+    """
+    total = [*order, TIE]
+    tied = df.withColumn(TIE, F.xxhash64(*df.columns))
+    ranged = tied.repartitionByRange(partitions, *total) if partitions else tied.repartitionByRange(*total)
+    placed = settle(ranged.withColumn(PART, F.spark_partition_id()).sortWithinPartitions(PART, *total))
+    running = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    # a row per partition
+    before = placed.groupBy(PART).agg(F.sum(weight).alias("rows")).select(PART, F.coalesce(F.sum("rows").over(running), F.lit(0)).alias(BEFORE))
+    inside = Window.partitionBy(PART).orderBy(*total).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = placed.withColumn(SLOT, F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    first = F.lit(start) if isinstance(start, int) else start
+    return numbered.join(F.broadcast(before), PART).withColumn(name, (F.col(SLOT) + F.col(BEFORE) + first + 1).cast("long")).drop(SLOT, PART, BEFORE, TIE)

@@ -143,4 +143,17 @@ HL_PTB = TableContract.from_ddl(
     partitions=("actual_date",),
 )
 
+#: Columns of the offer tables that nothing here fills: campaigns and their agents do, after the load. Any other column that an input lacks is an error.
+_BY_CAMPAIGN = (
+    "campaign_code", "leads_type", "promo", "product_bundle", "product_name", "qualified_casa", "promo_code", "ob", "ob_tier", "casa_acct_php",
+    "casa_acct_usd", "deal_acct_php", "deal_acct_usd", "gold_propensity", "agent_name", "purpose", "agent_remarks", "spiel", "other_card",
+    "special_otherremarks", "length_of_stay", "no_of_years_employed", "year_started_working", "current_industry", "updated_industry", "updated_position",
+)
+NOT_FILLED: dict[str, tuple[str, ...]] = {
+    AL_STP.name: (*_BY_CAMPAIGN, "pid_count"),
+    CC_STP.name: _BY_CAMPAIGN,
+    HL_STP.name: _BY_CAMPAIGN,
+    **{c.name: ("campaign_code",) for c in (AL_PTB, CC_PTB, HL_PTB)},
+}
+
 CONTRACTS = {c.name: c for c in (STAGING_BASE, CROSS_SELL_BASE, AL_STP, CC_STP, HL_STP, AL_PTB, CC_PTB, HL_PTB)}

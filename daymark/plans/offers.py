@@ -21,10 +21,10 @@ from daymark.functions.codes import build_code, last_sequence
 from daymark.functions.contacts import is_valid_email, yes_no
 from daymark.operators.contract import TableContract, conform
 from daymark.operators.dedup import any_per_key, first_per_key
-from daymark.operators.joins import active_offers, exclude, exclude_active, fan_out, join_splitting
+from daymark.operators.joins import active_offers, exclude, exclude_active, join_splitting
 from daymark.operators.rollups import any_flags
 from daymark.operators.rules import Tree, apply_rules
-from daymark.operators.sequence import number_rows
+from daymark.operators.sequence import number_rows, number_weighted
 from daymark.plans import contracts, loans, rulesets
 
 Tables = Mapping[str, DataFrame]
@@ -111,8 +111,10 @@ def _decoded(default: str | None) -> dict[str, Column]:
     }
 
 
-def _fill(df: DataFrame, columns: Mapping[str, Column], contract: TableContract) -> DataFrame:
-    return conform(df.withColumns(dict(columns)), contract, pad=True)
+def _fill(df: DataFrame, columns: Mapping[str, Column], contract: TableContract, later: Sequence[str] = ()) -> DataFrame:
+    """Declared columns of an offer table. Those that no input has by declaration (``contracts.NOT_FILLED``), or that come ``later``, are NULL;
+    any other missing column is an error."""
+    return conform(df.withColumns(dict(columns)), contract, strict=True, pad=[*contracts.NOT_FILLED.get(contract.name, ()), *later])
 
 
 def auto_stp(
@@ -122,29 +124,49 @@ def auto_stp(
     rates: Sequence[tuple] = pricing.AUTO_RATES,
     per_account: bool = False,
 ) -> DataFrame:
-    """Auto-loan amounts for every rate and term. ``per_account`` keeps every account of a customer."""
+    """Auto-loan amounts for every rate and term. ``per_account`` keeps every account of a customer.
+
+    Offers are numbered before they are fanned out: a customer's amounts are an array, and only customer and number of offers are ordered to
+    find the first number of each.
+    """
     base = eligible(t["staging_cross_sell_base"], rules)
     base = base if per_account else one_per_customer(base)
     checks = loans.auto_loan_checks(t["df_pm_eq"], run_date).where(F.col("loan_criteria_pass") == 1)
     cleared = exclude(checks, loans.recent_auto_bookings(t["df_pm_eq"], run_date), ["bbn"])
     base = join_splitting(base, cleared, ["bbn"], "inner") if per_account else base.join(cleared, "bbn")
-    offers = fan_out(base, [{"al_ratecode": c, "term": n, "rate_factor": f} for c, n, f in rates])
-    amount = pricing.auto_loan_amount("adb_3m_avg", "amort_all_loans", "term", "rate_factor")
-    offers = offers.withColumn("max_loan_amount", amount)
-    offers = offers.where(F.col("max_loan_amount").between(pricing.AUTO_MIN, pricing.AUTO_MAX))
+    own = t[offers_name("AL", "STP")]
     columns = {
         **_stp_columns(run_date),
         "offer_type": F.lit("STP"),
         "product_crm": F.lit("AL"),
         "spiel_id": F.lit("Auto Loan STP"),
     }
-    filled = _fill(offers, columns, contracts.AL_STP).drop("offer_code")
-    order = ["bbn", "al_ratecode", "term"]
     if per_account:
-        filled = filled.distinct()
-        order += [name for name in filled.columns if name not in order]
-    coded = numbered(filled, t[offers_name("AL", "STP")], "AL", "STP", run_date, order)
-    return conform(coded, contracts.AL_STP, strict=True)
+        offers = base.select("*", F.inline(_auto_offers(rates)))
+        filled = _fill(offers, columns, contracts.AL_STP, ("offer_code",)).drop("offer_code").distinct()
+        order = ["bbn", "al_ratecode", "term"]
+        coded = numbered(filled, own, "AL", "STP", run_date, [*order, *[name for name in filled.columns if name not in order]])
+        return conform(coded, contracts.AL_STP, strict=True)
+    held = active_offers(own, run_date, include_run_date=False)
+    fresh = exclude(base, held, ["bbn"]).withColumn("__offers", _auto_offers(rates)).where(F.size("__offers") > 0)
+    counts = fresh.select("bbn", F.size("__offers").alias("__count"))
+    firsts = number_weighted(counts, ["bbn"], "__count", last_sequence(held, run_date), "__first").select("bbn", "__first")
+    spread = fresh.join(firsts, "bbn").select("*", F.posexplode("__offers").alias("__place", "__offer"))
+    offers = spread.select("*", "__offer.*", (F.col("__first") + F.col("__place")).alias("offer_number"))
+    coded = offers.withColumn("offer_code", build_code("AL", "STP", run_date, "offer_number"))
+    return _fill(coded, columns, contracts.AL_STP)
+
+
+def _auto_offers(rates: Sequence[tuple]) -> Column:
+    """A customer's offers in the order of their codes and terms: those whose amount lies in the offered range."""
+    entries = [F.struct(F.lit(c).alias("al_ratecode"), F.lit(n).alias("term"), F.lit(f).alias("rate_factor")) for c, n, f in rates]
+
+    def priced(entry: Column) -> Column:
+        amount = pricing.auto_loan_amount("adb_3m_avg", "amort_all_loans", entry["term"], entry["rate_factor"])
+        return F.struct(*[entry[k].alias(k) for k in ("al_ratecode", "term", "rate_factor")], amount.alias("max_loan_amount"))
+
+    offered = F.filter(F.transform(F.array(*entries), priced), lambda o: o["max_loan_amount"].between(pricing.AUTO_MIN, pricing.AUTO_MAX))
+    return F.array_sort(offered)
 
 
 def card_stp(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daymark.operators import contract as C
 from daymark.operators import quality, reconcile, scd
+from daymark.operators.sequence import number_weighted
 from daymark.showcase.registry import query
 from daymark.showcase.roles import RUN
 from daymark.shared import scratch_path, settle
@@ -390,6 +391,24 @@ def read_last_partition(t):
     return S.last_of_table(t.spark, table, RUN).drop("day")
 
 
+@query(f"SELECT o_orderkey, o_totalprice, o_orderstatus, CAST({MONTH} AS VARCHAR) AS day FROM orders WHERE {MONTH} = DATE '1998-05-01'")
+def month_end_of_table(t):
+    """The last snapshot of the month before the run's, its date taken from the partition names."""
+    table = _table(t, "partitions", DAILY)
+    tables.write_table(_monthly(t), table, DAILY)
+    return S.previous_month_end_of_table(t.spark, table, RUN)
+
+
+# a line stands for as many numbers as its quantity says
+WEIGHTED = "SELECT o_orderkey AS k, o_custkey % 4 AS weight FROM"
+
+
+@query(f"SELECT k, weight, 1000 + coalesce(sum(weight) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS first FROM ({WEIGHTED} orders)")
+def seq_weighted(t):
+    """First numbers of rows that are fanned out later, from keys and weights alone."""
+    return number_weighted(t.sql(f"{WEIGHTED} {{orders}}"), ["k"], "weight", 1000, partitions=6)
+
+
 @query("SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(date_trunc('month', o_orderdate)::DATE AS VARCHAR) AS day FROM orders WHERE o_orderstatus <> 'P'")
 def write_parts(t):
     """Several frames into one table, an empty one among them."""

@@ -150,6 +150,28 @@ def previous_month_end(df: DataFrame, run_date: DateLike, column: str = SNAPSHOT
     return df.where(F.lit(False)) if found is None else exact(df, found, column)
 
 
+def previous_month_end_of_table(spark: SparkSession, table: str, run_date: DateLike, column: str | None = None) -> DataFrame:
+    """``previous_month_end`` of a partitioned catalog table, the date taken from partition names: nothing is scanned for it."""
+    name = column or snapshot_column(spark, table)
+    first, final = previous_month(run_date)
+    found = [d for d in partition_dates(spark, table, name) if as_date(first) <= d <= as_date(final)]
+    return spark.table(table).where(F.lit(False)) if not found else exact(spark.table(table), max(found), name)
+
+
+def partition_dates(spark: SparkSession, table: str, column: str) -> list[dt.date]:
+    """The snapshot dates of a partitioned catalog table, from the names of its partitions; names that are no date are passed over."""
+    quoted = ".".join(f"`{part.strip('`')}`" for part in table.split("."))
+    names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {quoted}").collect()]
+    found = []
+    for name in names:
+        value = dict(part.split("=", 1) for part in name.split("/"))[column]
+        try:
+            found.append(dt.date.fromisoformat(value[:10]))
+        except ValueError:
+            continue
+    return sorted(found)
+
+
 def where_all(df: DataFrame, *conditions: Column | str) -> DataFrame:
     for condition in conditions:
         df = df.where(condition)

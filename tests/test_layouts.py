@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,3 +225,38 @@ def test_digests_of_equal_tables_need_no_row_shuffle(spark, plan):
     nulls = spark.createDataFrame([(None, 1)], "p string, n int")
     found = reconcile.difference_by_digest(nulls, nulls.withColumn("n", F.lit(2)), ["p"]).collect()
     assert sorted((r["n"], r["side"]) for r in found) == [(1, "left_only"), (2, "right_only")]
+
+
+def test_weighted_numbers_are_those_of_the_fanned_out_rows(spark):
+    from daymark.operators.sequence import number_rows, number_weighted
+
+    rows = spark.createDataFrame([(k, k % 3) for k in range(50)], "k int, w int")
+    fanned = rows.where("w > 0").select("k", F.explode(F.sequence(F.lit(1), F.col("w"))).alias("place"))
+    want = {(r["k"], r["place"]): r["sequence"] for r in number_rows(fanned, ["k", "place"], 7).collect()}
+    firsts = {r["k"]: r["first"] for r in number_weighted(rows, ["k"], "w", 7, partitions=5).collect()}
+    assert want == {(k, p): firsts[k] + p - 1 for k, p in want}
+
+
+def test_only_listed_columns_are_padded(spark):
+    df = spark.createDataFrame([("x",)], "k string")
+    contract = C.TableContract.from_ddl("t", "k string, agent string, amount int")
+    assert C.conform(df.withColumn("amount", F.lit(1)), contract, strict=True, pad=["Agent"]).columns == ["k", "agent", "amount"]
+    with pytest.raises(C.ContractError, match="amount"):
+        C.conform(df.withColumnRenamed("k", "K"), contract, strict=True, pad=["agent"])
+
+
+def test_month_end_starts_no_scan(spark, table, plan):
+    from daymark.sources import snapshots as S
+
+    name = table("k int, day date", ("day",))
+    tables.write_table(spark.createDataFrame([(1, D(2024, 1, 3)), (2, D(2024, 1, 30)), (3, D(2024, 2, 5)), (4, None)], "k int, day date"), name)
+    # files don't matter for the date: those of the month's last day are gone when it is looked up
+    there = S.previous_month_end_of_table(spark, name, "2024-02-10")
+    assert [r["k"] for r in there.collect()] == [2]
+    for path in there.inputFiles():
+        Path(path.removeprefix("file://")).unlink()
+    spark.sql(f"REFRESH TABLE {name}")
+    found = S.previous_month_end_of_table(spark, name, "2024-02-10")
+    assert "2024-01-30" in plan(found) and found.count() == 0
+    assert "PartitionFilters: [isnotnull(day" in plan(found)
+    assert S.previous_month_end_of_table(spark, name, "2024-06-10").count() == 0
