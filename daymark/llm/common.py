@@ -56,8 +56,14 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES
             yield batch.slice(start)
 
 
+#: Functions that drop what a module keeps in a Python worker between tasks.
+CACHES: list[Callable[[], None]] = []
+
+
 def trim() -> None:
-    """Give freed memory back to the system: Python workers live on between tasks, and what one of them has kept the others can't use."""
+    """Give memory back to the system, caches of other steps included: Python workers live on between tasks, and what one of them has kept the others can't use."""
+    for drop in CACHES:
+        drop()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -13,6 +13,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from daymark.llm.common import CACHES
+
 SPACE = "▁"
 #: Latin letters, as a character class; a vocabulary is asked whether its pieces mix them with other characters.
 LETTERS = "A-Za-z\u00c0-\u024f"
@@ -249,3 +251,7 @@ def load(model: bytes) -> Lattice:
     # the kind of the model shows in what it does to a text: merging gives scores that are ranks
     ranks = [s for _, s in pieces.values()]
     return Lattice(pieces, bytes_at, sp.unk_id(), all(s == int(s) for s in ranks), texts)
+
+
+# models and their memos outlive the step that needs them, see common.trim
+CACHES.append(load.cache_clear)
