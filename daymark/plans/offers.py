@@ -148,10 +148,11 @@ def auto_stp(
         coded = numbered(filled, own, "AL", "STP", run_date, [*order, *[name for name in filled.columns if name not in order]])
         return conform(coded, contracts.AL_STP, strict=True)
     held = active_offers(own, run_date, include_run_date=False)
-    fresh = exclude(base, held, ["bbn"]).withColumn("__offers", _auto_offers(rates)).where(F.size("__offers") > 0)
-    counts = fresh.select("bbn", F.size("__offers").alias("__count"))
+    offered = base.withColumn("__offers", _auto_offers(rates)).where(F.size("__offers") > 0)
+    # who holds an offer is left out before numbers are stored, so the rows to write don't read the table they go to
+    counts = exclude(offered.select("bbn", F.size("__offers").alias("__count")), held, ["bbn"])
     firsts = number_weighted(counts, ["bbn"], "__count", last_sequence(held, run_date), "__first").select("bbn", "__first")
-    spread = fresh.join(firsts, "bbn").select("*", F.posexplode("__offers").alias("__place", "__offer"))
+    spread = offered.join(firsts, "bbn").select("*", F.posexplode("__offers").alias("__place", "__offer"))
     offers = spread.select("*", "__offer.*", (F.col("__first") + F.col("__place")).alias("offer_number"))
     coded = offers.withColumn("offer_code", build_code("AL", "STP", run_date, "offer_number"))
     return _fill(coded, columns, contracts.AL_STP)
