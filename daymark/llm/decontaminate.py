@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from daymark.llm.common import blocks
+from daymark.llm.common import blocks, lean
 
 GRAM = 12
 WINDOW = 100
@@ -36,6 +36,8 @@ BAND = 16
 #: Characters of a document that are looked at together, and of the filter table (bits of the hash).
 PIECE = 1 << 18
 TABLE_BITS = 22
+#: Shared q-grams (place in the document, place in an item) that are held together.
+PAIRS = 1 << 20
 #: Cells of the alignments that are worked out together.
 CELLS = 1 << 20
 
@@ -123,13 +125,14 @@ def budget(length: int, q: int = GRAM, rate: float = ERROR_RATE) -> tuple[int, i
 
 @dataclass(frozen=True)
 class Index:
-    """q-grams of items, sorted by hash, and the items' windows; ``items`` are their numbers in the block."""
+    """q-grams of items, sorted by hash, with their places in the row of all items (``at``), and the items' windows; ``items`` are their numbers in the block."""
 
     items: list[int]
     texts: list[np.ndarray]
     hashes: np.ndarray
     item_of: np.ndarray
     place_of: np.ndarray
+    at: np.ndarray
     table: np.ndarray
     windows: list[list[tuple[int, int, int, int]]]
     least: np.ndarray
@@ -184,26 +187,66 @@ def _part(items: list[int], texts: list[np.ndarray], q: int, window: int, step:
         windows.append([(b, length, *budget(length, q, rate)) for b in begins])
     least = np.array([min((w[3] for w in own), default=1 << 30) for own in windows])
     overlap = max((w[2] for own in windows for w in own), default=0)
-    return Index(items, texts, hashes[order], item_of[order], place_of[order], table, windows, least, overlap, q, 2 * window + 2 * BAND)
+    return Index(items, texts, hashes[order], item_of[order], place_of[order], order, table, windows, least, overlap, q, 2 * window + 2 * BAND)
 
 
-def shared_grams(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Item, place in the item and place in the document of every shared q-gram."""
+def shared_grams(index: Index, points: np.ndarray, pairs: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Item, place in the item and place in the document of shared q-grams, in slices of about ``pairs``.
+
+    Texts of few different grams, such as rules of dashes, share each with very many places. Slices of the document overlap by the reach of
+    a window, and where one is too rich at any width, slices of the items do so too, so each window stands in one of them with all its grams.
+    """
     hashes = gram_hashes(points, index.q)
     places = np.flatnonzero(index.table[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
     low = np.searchsorted(index.hashes, hashes[places], "left")
     count = np.searchsorted(index.hashes, hashes[places], "right") - low
     places, low, count = places[count > 0], low[count > 0], count[count > 0]
+    start = 0
+    while start < len(places):
+        # grams up to the next start and those within reach of them
+        full = start + max(1, int(np.searchsorted(np.cumsum(count[start : start + pairs]), pairs, "right")))
+        stop = int(np.searchsorted(places, places[full - 1] + 1 - index.reach, "left"))
+        if full >= len(places):
+            stop = full = len(places)
+        elif stop <= start or places[stop] - places[start] < index.reach:
+            stop = int(np.searchsorted(places, places[start] + index.reach, "left"))
+            full = int(np.searchsorted(places, places[start] + 2 * index.reach, "left"))
+        own = slice(start, full)
+        if int(count[own].sum()) <= pairs:
+            yield _expanded(index, places[own], low[own], count[own])
+        else:
+            wide = max(index.reach, pairs // (2 * index.reach))
+            for g in range(0, len(index.hashes), wide):
+                # occurrences of a gram stand by their place in the block
+                a, c = _within(index, low[own], count[own], g, g + wide + index.reach)
+                yield _expanded(index, places[own], a, c)
+        start = stop
+
+
+def _within(index: Index, low: np.ndarray, count: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part of each run of the index whose places in the block are in [begin, end)."""
+    runs, back = np.unique(np.stack([low, low + count]), axis=1, return_inverse=True)
+    edges = np.array([[a + np.searchsorted(index.at[a:b], begin), a + np.searchsorted(index.at[a:b], end)] for a, b in runs.T])[back.ravel()]
+    return edges[:, 0], edges[:, 1] - edges[:, 0]
+
+
+def _expanded(index: Index, places: np.ndarray, low: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     total = int(count.sum())
-    at = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(total) if total else np.empty(0, dtype=np.int64)
+    at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(total)
     return index.item_of[at], index.place_of[at], np.repeat(places, count)
 
 
-def candidate_windows(index: Index, points: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
-    """Item, begin, length, edits, first diagonal of the band, shared q-grams, for all windows that meet their bound in a band."""
-    item, place, there = shared_grams(index, points)
-    if not len(item):
-        return []
+def candidate_windows(index: Index, points: np.ndarray, pairs: int = PAIRS) -> Iterator[list[tuple[int, int, int, int, int, int]]]:
+    """Item, begin, length, edits, first diagonal of the band, shared q-grams, for all windows that meet their bound in a band; a list per slice.
+
+    A window that stands in two slices is told by both, with all its grams by one at least.
+    """
+    for item, place, there in shared_grams(index, points, pairs):
+        if len(item):
+            yield _banded(index, item, place, there)
+
+
+def _banded(index: Index, item: np.ndarray, place: np.ndarray, there: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
     # bands begin every BAND diagonals and hold BAND + overlap of them, the overlap being the most edits that any window may have
     overlap = index.overlap
     diagonal = there - place
@@ -213,8 +256,15 @@ def candidate_windows(index: Index, points: np.ndarray) -> list[tuple[int, int,
         also = diagonal - (first - back) * BAND < BAND + overlap
         keys.append(np.stack([item[also], first[also] - back, place[also]]))
     item, band, place = np.concatenate(keys, axis=1)
-    order = np.lexsort((place, band, item))
-    item, band, place = item[order], band[order], place[order]
+    least, wide, long = int(band.min()), int(band.max() - band.min()) + 1, int(place.max()) + 1
+    if (int(item.max()) + 1) * wide * long < 1 << 63:
+        # item, band and place as one number, which sorts faster
+        rest, place = np.divmod(np.sort((item * wide + (band - least)) * long + place), long)
+        item, band = np.divmod(rest, wide)
+        band += least
+    else:
+        order = np.lexsort((place, band, item))
+        item, band, place = item[order], band[order], place[order]
     edge = np.flatnonzero((np.diff(item) != 0) | (np.diff(band) != 0)) + 1
     begins, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(item)]))
     enough = ends - begins >= index.least[item[begins]]
@@ -257,7 +307,7 @@ def verified(index: Index, points: np.ndarray, found: list[tuple[int, int, int,
     for (length, edits), group in by_shape.items():
         # the band, and as far beside it as the edits can lead
         width = BAND + edits + 2 * edits
-        many = max(1, CELLS // width)
+        many = max(1, CELLS // (length + width))
         for k in range(0, len(group), many):
             part = group[k : k + many]
             patterns = np.stack([index.texts[i][b : b + length] for i, b, *_ in part])
@@ -293,7 +343,7 @@ def whole_words(block: Block, points: np.ndarray) -> Iterator[tuple[int, int, in
                         yield int(numbers[one]), int(at[j]), int(at[j]) + n
 
 
-def passages(block: Block, text: str) -> list[tuple[object, int, int, int, int]]:
+def passages(block: Block, text: str, pairs: int = PAIRS) -> list[tuple[object, int, int, int, int]]:
     """Per item that a text holds: item id, begin and end of what its windows cover, least edits, most shared q-grams.
 
     A long text is looked at in pieces that overlap by more than a window can reach.
@@ -307,8 +357,9 @@ def passages(block: Block, text: str) -> list[tuple[object, int, int, int, int]]
     for index in block.parts:
         for start in range(0, max(1, len(points) - index.reach), PIECE):
             piece = points[start : start + PIECE + index.reach]
-            for item, a, b, edits, shared in verified(index, piece, candidate_windows(index, piece)):
-                add(index.items[item], a + start, b + start, edits, shared)
+            for found in candidate_windows(index, piece, pairs):
+                for item, a, b, edits, shared in verified(index, piece, found):
+                    add(index.items[item], a + start, b + start, edits, shared)
     if block.whole:
         for item, a, b in whole_words(block, points):
             add(item, a, b, 0, 1)
@@ -370,7 +421,7 @@ def _without(docs: DataFrame, index: Block, text: str) -> DataFrame:
             texts = block.column(block.schema.get_field_index(text)).to_pylist()
             yield block.filter(pa.array([not t or not passages(own, t) for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def _search(rows: DataFrame, index: Block, schema: T.StructType) -> DataFrame:
@@ -387,4 +438,4 @@ def _search(rows: DataFrame, index: Block, schema: T.StructType) -> DataFrame:
                 columns = [ids.take(pa.array(at, pa.int64())), *[pa.array(c, t) for c, t in zip(rest, kinds, strict=True)]]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

@@ -27,15 +27,22 @@ from daymark.shared import scratch_path
 #: Fixed values of the formats.
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
+KNOWN = b"WARC/1."
+#: Fixed names of digests, as archives label them.
+DIGESTS = ("md5", "sha1", "sha256", "sha512")
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RANGE_BYTES = 16 << 20
 READ_BYTES = 1 << 20
+#: The first request for what a range's last record has past the range; the next ones double.
+PAST_BYTES = 1 << 16
 LEVEL = 4
 ID_PREFIX = "urn:page:"
 FIRST = "__wa_first"
+#: Type of rows that tell of a record that isn't whole.
+DAMAGED = "damaged"
 MANIFEST = "archive string, bytes long, records long"
-RECORDS = "archive string, offset long, record_type string, record_id string, target_uri string, payload_digest string, payload_bytes long, refers_to_id string, payload binary"
+RECORDS = "archive string, offset long, record_type string, record_id string, target_uri string, payload_digest string, payload_bytes long, refers_to_id string, problem string, payload binary"
 
 
 def digest(payload: bytes) -> str:
@@ -97,35 +104,64 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
 
 
 class _Bytes:
-    """A file as a window that moves forward."""
+    """A file as a window that moves forward, read in requests of ``step`` bytes up to ``stop`` and in smaller ones past it."""
+
+    def __init__(self, handle, size: int, stop: int, step: int = READ_BYTES):
+        self.handle, self.size, self.stop, self.step, self.start, self.data, self.past = handle, size, stop, step, 0, b"", min(step, PAST_BYTES)
+
+    def at(self, place: int, least: int = 1) -> memoryview:
+        """What the window holds from ``place`` on, ``least`` bytes at least unless the file ends. It moves only if it holds less."""
+        end = self.start + len(self.data)
+        if not self.start <= place <= min(place + least, self.size) <= end:
+            # what it holds of these bytes isn't asked for again
+            have = self.data[place - self.start :] if self.start <= place < end else b""
+            if place + len(have) < self.stop:
+                ask = min(self.step, self.stop - place - len(have))
+            else:
+                ask = self.past
+                self.past = min(self.step, 2 * self.past)
+            self.handle.seek(place + len(have))
+            self.start, self.data = place, have + self.handle.read(min(max(least - len(have), ask), self.size - place - len(have)))
+        return memoryview(self.data)[place - self.start :]
 
-    def __init__(self, handle, size: int, step: int = READ_BYTES):
-        self.handle, self.size, self.step, self.start, self.data = handle, size, step, 0, b""
 
-    def at(self, place: int, least: int) -> memoryview:
-        """Bytes from ``place`` on, ``least`` of them unless the file ends."""
-        if not self.start <= place <= place + least <= self.start + len(self.data):
-            self.handle.seek(place)
-            self.start, self.data = place, self.handle.read(min(max(least, self.step), self.size - place))
-        return memoryview(self.data)[place - self.start :]
+def _inflate(window: _Bytes, place: int) -> tuple[bytes, int, str | None] | None:
+    """Content of the record at ``place``, where it ends and what is wrong with it. None if no WARC header shows there."""
+    unpacker, out, at, head, problem = zlib.decompressobj(31), [], place, b"", None
+    while not unpacker.eof:
+        piece = window.at(at)[: 1 << 16]
+        if not piece:
+            problem = "cut off"
+            break
+        try:
+            data = piece
+            if len(head) < len(KNOWN):
+                # the header first, so that damage behind it doesn't hide it
+                head += unpacker.decompress(data, len(KNOWN) - len(head))
+                if not head.startswith(KNOWN[: len(head)]):
+                    return None
+                data = unpacker.unconsumed_tail
+            if len(head) == len(KNOWN):
+                out.append(unpacker.decompress(data))
+        except zlib.error:
+            problem = "damaged"
+            out = out or [_before_damage(bytes(window.at(place)[: 1 << 16]))[len(head) :]]
+            break
+        at += len(piece)
+    if head != KNOWN:
+        return None
+    return head + b"".join(out), at - len(unpacker.unused_data), problem
 
 
-def _inflate(window: _Bytes, place: int, most: int | None) -> tuple[bytes, int] | None:
-    """Content of the gzip member at ``place`` and where it ends; with ``most``, its first bytes only. None if there is no such member."""
-    unpacker, out, got, at = zlib.decompressobj(31), [], 0, place
+def _before_damage(data: bytes) -> bytes:
+    """What the start of a damaged member holds up to the damage, for its header."""
+    unpacker, out = zlib.decompressobj(31), []
     try:
-        while not unpacker.eof:
-            piece = window.at(at, 1)[: 1 << 16]
-            if not piece:
-                return None if most is None else (b"".join(out), at)
-            out.append(unpacker.decompress(piece, 0 if most is None else most - got))
-            got += len(out[-1])
-            at += len(piece)
-            if most is not None and got >= most:
-                break
+        for k in range(0, len(data), 16):
+            out.append(unpacker.decompress(data[k : k + 16]))
     except zlib.error:
-        return None
-    return b"".join(out), at - len(unpacker.unused_data)
+        pass
+    return b"".join(out)
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -137,51 +173,81 @@ def _fields(head: bytes) -> dict[str, str]:
     return out
 
 
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() else None
+
+
+def _contradicts(told: str, payload: bytes) -> bool:
+    """Whether a digest field (algorithm:value, in base32 or hexadecimal) is of other bytes; one of an unknown algorithm can't tell."""
+    name, colon, value = told.partition(":")
+    name = name.lower().replace("-", "") if colon else "sha1"
+    if name not in DIGESTS:
+        return False
+    found = hashlib.new(name, payload).digest()
+    return (value if colon else told).rstrip("=").lower() not in (found.hex(), base64.b32encode(found).decode().rstrip("=").lower())
+
+
 def _parsed(content: bytes, archive: str, offset: int, payloads: bool) -> tuple | None:
-    head, _, rest = content.partition(b"\r\n\r\n")
+    head, blank, rest = content.partition(b"\r\n\r\n")
     fields = _fields(head)
     kind = fields.get("warc-type")
-    if kind not in ("response", "revisit"):
+    if blank and kind not in ("response", "revisit"):
         return None
-    block = rest[: int(fields.get("content-length", 0))]
+    size = _number(fields.get("content-length"))
+    block = rest[:size]
     http, _, payload = block.partition(b"\r\n\r\n")
-    told = fields.get("warc-payload-digest", "").partition(":")[2]
-    if kind == "response" and told and told != digest(payload):
-        raise ValueError(f"{archive}: the payload of the record at {offset} doesn't have its digest")
-    length = len(payload) if kind == "response" else int(_fields(b"\r\n" + http).get("content-length", 0))
+    told = fields.get("warc-payload-digest", "")
     bare = lambda x: None if x is None else x.strip("<>")
-    return (
-        archive, offset, kind, bare(fields.get("warc-record-id")), fields.get("warc-target-uri"),
-        digest(payload) if kind == "response" else told or None, length, bare(fields.get("warc-refers-to")), payload if payloads and kind == "response" else None,
-    )
+    names = (bare(fields.get("warc-record-id")), fields.get("warc-target-uri"))
+    problem = "no length" if size is None else "cut off" if len(block) < size else "wrong digest" if kind == "response" and told and _contradicts(told, payload) else None
+    if problem:
+        return _damaged(archive, offset, problem, *names)
+    length = len(payload) if kind == "response" else _number(_fields(b"\r\n" + http).get("content-length"))
+    seen = digest(payload) if kind == "response" else told.rpartition(":")[2] or None
+    return archive, offset, kind, *names, seen, length, bare(fields.get("warc-refers-to")), None, payload if payloads and kind == "response" else None
+
+
+def _damaged(archive: str, offset: int, problem: str, record_id: str | None = None, uri: str | None = None) -> tuple:
+    return archive, offset, DAMAGED, record_id, uri, None, None, None, problem, None
 
 
-def scan(handle, archive: str, size: int, start: int, stop: int, payloads: bool = True, step: int = READ_BYTES) -> Iterator[tuple]:
-    """Records of an archive that begin in [start, stop)."""
-    window, place = _Bytes(handle, size, step), start
+def scan(handle, archive: str, size: int, start: int, stop: int, payloads: bool = True, step: int = READ_BYTES, strict: bool = True) -> Iterator[tuple]:
+    """Records of an archive that begin in [start, stop), each byte read once but for a few past the end; see ``read``."""
+    window, place = _Bytes(handle, size, stop, step), start
     while place < stop:
-        seen = bytes(window.at(place, min(step, size - place)))
-        if not seen.startswith(MAGIC):
-            found = seen.find(MAGIC, 1)
+        seen = window.at(place, len(MAGIC))
+        if bytes(seen[: len(MAGIC)]) != MAGIC:
+            found = bytes(seen).find(MAGIC, 1)
             # the last two bytes may begin a magic that the next window completes
             place += found if found > 0 else max(1, len(seen) - 2)
             continue
-        begin = _inflate(window, place, len(VERSION))
-        whole = _inflate(window, place, None) if begin and begin[0].startswith(b"WARC/1.") else None
+        whole = _inflate(window, place)
         if whole is None:
             place += 1
             continue
-        told = _parsed(whole[0], archive, place, payloads)
+        content, end, problem = whole
+        if problem:
+            names = _fields(content.partition(b"\r\n\r\n")[0])
+            told = _damaged(archive, place, problem, (names.get("warc-record-id") or "").strip("<>") or None, names.get("warc-target-uri"))
+        else:
+            told = _parsed(content, archive, place, payloads)
+        if told is not None and told[2] == DAMAGED and strict:
+            raise ValueError(f"{archive}: the record at {place} is not whole ({told[8]})")
         if told is not None:
             yield told
-        place = whole[1]
+        # where a member isn't whole the next one may begin anywhere behind its magic
+        place = place + 1 if problem else end
 
 
-def read(spark: SparkSession, manifest: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
+def read(spark: SparkSession, manifest: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True, strict: bool = True) -> DataFrame:
     """Response and revisit records of the archives named by ``archive`` and ``bytes``, a task per byte range.
 
     Other records (warcinfo, metadata, ...) and bytes between members are passed over. A revisit has its payload's length and
-    digest but no payload; so have all records without ``payloads``. A response whose payload contradicts its digest is an error.
+    digest but no payload; so have all records without ``payloads``. Digests may be of any of ``DIGESTS``, in base32 or hexadecimal; others aren't checked.
+
+    A record that shows a WARC header but is damaged or cut off, has no length or contradicts its digest is an error, or without ``strict`` a row of
+    type ``damaged`` with its ``problem`` and what else could be read of it. A member damaged before its header can't be told from
+    bytes between members; ``incomplete`` tells archives that hold fewer records than their manifest says.
     """
     total = manifest.agg(F.sum(F.floor(F.col("bytes") / range_bytes) + 1).alias("n")).collect()[0]["n"] or 1
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long"))
@@ -194,7 +260,7 @@ def read(spark: SparkSession, manifest: DataFrame, range_bytes: int = RANGE_BYTE
                 files, path = pafs.FileSystem.from_uri(r["archive"])
                 with files.open_input_file(path) as handle:
                     rows, held = [], 0
-                    for told in scan(handle, r["archive"], r["bytes"], r["start"], min(r["bytes"], r["start"] + range_bytes), payloads):
+                    for told in scan(handle, r["archive"], r["bytes"], r["start"], min(r["bytes"], r["start"] + range_bytes), payloads, strict=strict):
                         rows.append(told)
                         held += len(told[-1] or b"") + 200
                         if held > 8 * READ_BYTES:
@@ -206,6 +272,13 @@ def read(spark: SparkSession, manifest: DataFrame, range_bytes: int = RANGE_BYTE
     return ranges.mapInArrow(run, RECORDS)
 
 
+def incomplete(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """Archives of a manifest of ``write`` whose whole records, as ``read`` found them, are more or fewer than it says: archive, records, found."""
+    found = records.where(F.col("record_type") != DAMAGED).groupBy("archive").agg(F.count(F.lit(1)).alias("found"))
+    told = manifest.select("archive", "records").join(found, "archive", "left").fillna(0, ["found"])
+    return told.where("records <> found")
+
+
 def page_number(record_id):
     """The page id in a record id that ``write`` made."""
     number = F.substring_index(record_id, ":", -1)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -116,3 +117,28 @@ def test_short_items(corpus):
     benchmark = corpus.createDataFrame([*items, (7, None), (8, "")], "item_id long, text string")
     assert sorted((r["doc_id"], r["item_id"]) for r in dc.contaminated(docs, benchmark).collect()) == [(1, 1), (3, 2)]
     assert [r["doc_id"] for r in dc.clean(docs, benchmark).collect()] == [2]
+
+
+def test_slices_tell_the_same():
+    rng = random.Random(8)
+    rule, two = "-" * 400, "=-" * 150
+    items = [(0, "-" * 100), (1, rule), (2, two), (3, text(rng, 300)), (4, "ab " * 90)]
+    block = dc.build_index(items)
+    for body in ("-" * 1500, two + rule + two, edited(rng, "-" * 900, 30), text(rng, 200) + items[3][1] + rule, edited(rng, items[3][1] * 2, 8), "ab " * 400, ""):
+        whole = dc.passages(block, body, pairs=1 << 40)
+        for pairs in (1, 300, 5_000, 60_000):
+            assert dc.passages(block, body, pairs=pairs) == whole
+    assert [p[0] for p in dc.passages(block, "-" * 1500)] == [0, 1]
+
+
+def test_rule_lines_need_bounded_memory():
+    block = dc.build_index([(0, "-" * 100)])
+    dc.passages(block, "-")  # tables that all texts share
+    tracemalloc.start()
+    try:
+        found = dc.passages(block, "-" * dc.PIECE)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [(i, begin, edits) for i, begin, _, edits, _ in found] == [(0, 0, 0)] and found[0][2] > dc.PIECE - dc.BAND
+    assert peak < 300 << 20
