@@ -145,7 +145,8 @@ def _inflate(window: _Bytes, place: int) -> tuple[bytes, int, str | None] | None
                 out.append(unpacker.decompress(data))
         except zlib.error:
             problem = "damaged"
-            out = out or [_before_damage(bytes(window.at(place)[: 1 << 16]))[len(head) :]]
+            if b"\r\n\r\n" not in b"".join(out):
+                out = [_before_damage(bytes(window.at(place, min(at + len(piece) - place, 1 << 16))))[len(head) :]]
             break
         at += len(piece)
     if head != KNOWN:
