@@ -28,7 +28,7 @@ def _tree(version: str, group: dict) -> dict:
     return {"enabled": True, "version": version, **group}
 
 
-# Names of group accounts kept for the staff of a company.
+# Fixed value: names of group accounts kept for the staff of a company.
 STAFF_ACCOUNT_NAMES = (
     r"(EMPLOYEES OF|EMPLOY|EMP NO |EMP NO\.|EMP, NO\.|EMP NO,|EMP\. NO,|EMP |EMP-|EMP\.|EMP\(|EMP #|EMP#|EMP#\(|EMP,"
     r"|EMP\. # |EMP, \(|EP # |,, EMP)"

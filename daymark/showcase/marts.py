@@ -396,16 +396,20 @@ def loan_rollup(t):
 CONTACT_ROLES = ("activity", "lookupmaster", "act_ex1", "lea_ex1")
 
 
-def _contacted_sql(run_date: str, products: str = "") -> str:
+def _contacted_sql(run_date: str, products: str = "", activity: str = "activity") -> str:
     return f"""contacted AS (
-    SELECT lea_ex1_38 AS bbn, max(CASE WHEN lf.name IN ('Interested', 'For Call Back', 'Not Interested')
-               AND (upper(relatedtotypename) = 'LEAD' OR ((layoutid = 200198 OR upper(relatedtotypename) = 'OFFER')
-                    AND act_ex1_2 = 'Contacted')) THEN 1 ELSE 0 END) AS is_contacted
-    FROM activity af LEFT JOIN (SELECT * FROM lookupmaster WHERE groupkey = 16 AND ownerid = 608) lf ON af.statusid = lf.lookupid
-    LEFT JOIN (SELECT * FROM act_ex1 WHERE act_ex1_2 = 'Contacted') co ON CAST(af.activityid AS VARCHAR) = co.act_ex1_id
-    JOIN lea_ex1 ON af.relatedtoid = lea_ex1_id
-    WHERE createdon BETWEEN CAST(DATE '{run_date}' - INTERVAL 3 MONTH AS DATE) AND DATE '{run_date}' AND af.ownerid = 608
-      AND trim(lea_ex1_38) <> '' {products} GROUP BY 1)"""
+    SELECT bbn, CAST(bool_or(coalesce(reached, FALSE)) AS INTEGER) AS is_contacted FROM (
+        SELECT lead.lea_ex1_38 AS bbn, event.statusid IN (
+                SELECT lookupid FROM lookupmaster
+                WHERE name IN ('For Call Back', 'Interested', 'Not Interested') AND (groupkey, ownerid) = (16, 608))
+            AND CASE WHEN upper(event.relatedtotypename) = 'LEAD' THEN TRUE
+                WHEN event.layoutid = 200198 OR upper(event.relatedtotypename) = 'OFFER' THEN EXISTS (
+                    SELECT 1 FROM act_ex1 WHERE act_ex1_id = event.activityid::VARCHAR AND act_ex1_2 = 'Contacted')
+                ELSE FALSE END AS reached
+        FROM lea_ex1 lead, {activity} event
+        WHERE lead.lea_ex1_id = event.relatedtoid AND length(trim(lead.lea_ex1_38)) > 0 AND event.ownerid = 608 {products}
+          AND event.createdon >= CAST(DATE '{run_date}' - INTERVAL 3 MONTH AS DATE) AND event.createdon <= DATE '{run_date}')
+    GROUP BY bbn)"""
 
 
 @query(f"WITH {_contacted_sql(EVENT_RUN)} SELECT * FROM contacted", roles=CONTACT_ROLES)
@@ -625,7 +629,7 @@ CAMPAIGN_SHIFT = 9350  # days from the events to the orders' run date
 
 
 @query(
-    f"""WITH {BASE_CTES}, {_contacted_sql(RUN).replace("FROM activity af", f"FROM (SELECT * REPLACE (createdon - {CAMPAIGN_SHIFT} AS createdon) FROM activity) af")},
+    f"""WITH {BASE_CTES}, {_contacted_sql(RUN, activity=f"(SELECT * REPLACE (createdon - {CAMPAIGN_SHIFT} AS createdon) FROM activity)")},
         chosen AS ({_first_account(CARD_PTB_RULES)}),
         coded AS (SELECT *, {_code("CCPTB", "bbn")} AS offer_code FROM chosen WHERE bbn NOT IN ({_held("CCSTP", True)})
             AND bbn NOT IN ({_held("CCPTB", False)}))
