@@ -60,10 +60,11 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES
 CACHES: list[Callable[[], None]] = []
 
 
-def trim() -> None:
-    """Give memory back to the system, caches of other steps included: Python workers live on between tasks, and what one of them has kept the others can't use."""
-    for drop in CACHES:
-        drop()
+def trim(caches: bool = False) -> None:
+    """Give memory back to the system, caches of other steps included unless ``caches`` are to stay: Python workers live on between tasks, and what one of them has kept the others can't use."""
+    if not caches:
+        for drop in CACHES:
+            drop()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -71,14 +72,14 @@ def trim() -> None:
         pass
 
 
-def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A function over a task's batches that leaves no freed memory behind."""
+def lean(run: Callable[[Iterator], Iterator], caches: bool = False) -> Callable[[Iterator], Iterator]:
+    """A function over a task's batches that leaves no freed memory behind, and nothing cached but for ``caches``."""
 
     def wrapped(batches: Iterator) -> Iterator:
         try:
             yield from run(batches)
         finally:
-            trim()
+            trim(caches)
 
     return wrapped
 

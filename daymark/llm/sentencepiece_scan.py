@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymark.llm.common import blocks, kept
+from daymark.llm.common import blocks, kept, lean
 from daymark.llm.pieces import MINUS, SPACE, Lattice, load
 
 CHUNK = 1 << 15
 #: Chunks whose matrices one task combines; a string holds 2 GB at most, so a text has at most 256 such blocks.
 BLOCK = 256
+#: Bytes of text encoded at a time; encoding and decoding workers stand side by side.
+TEXT_BYTES = 1 << 20
 ROW = "__sp_row"
 #: Where the model lies unless another path is given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -160,12 +162,12 @@ def _encode_short(docs: DataFrame, model: bytes, text: str, ids: str) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = load(held.value)
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, TEXT_BYTES):
             texts = block.column(block.schema.get_field_index(text)).to_pylist()
             parts = [None if t is None else lattice.encode(normalized(t)) if t else b"" for t in texts]
             yield pa.RecordBatch.from_arrays([*block.columns, _lists(parts)], names=[*block.schema.names, ids])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run, caches=True), schema)
 
 
 def _encode_long(docs: DataFrame, model: bytes, text: str, ids: str, chunk: int) -> DataFrame:
@@ -185,7 +187,7 @@ def _encode_long(docs: DataFrame, model: bytes, text: str, ids: str, chunk: int)
                     yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (row.as_py(), i, count, part)], schema=cut_schema)
 
     cut_schema = pa.schema([("row", pa.int64()), ("i", pa.int64()), ("n", pa.int64()), ("part", pa.string())])
-    chunks = rows.select(ROW, text).mapInArrow(cut, "row long, i long, n long, part string")
+    chunks = rows.select(ROW, text).mapInArrow(lean(cut, caches=True), "row long, i long, n long, part string")
     chunks = kept(chunks.repartition(F.xxhash64("row", "i")), "chunks")
 
     def places(i: int, n: int, part: str, around: int) -> tuple[int, int, bool, bool]:
@@ -200,7 +202,7 @@ def _encode_long(docs: DataFrame, model: bytes, text: str, ids: str, chunk: int)
             columns = [pa.array([r["row"] for r in told], pa.int64()), pa.array([r["i"] for r in told], pa.int64()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "i", "m"])
 
-    single = kept(chunks.mapInArrow(matrices, "row long, i long, m binary").withColumn("block", F.floor(F.col("i") / BLOCK)), "matrices")
+    single = kept(chunks.mapInArrow(lean(matrices, caches=True), "row long, i long, m binary").withColumn("block", F.floor(F.col("i") / BLOCK)), "matrices")
 
     def product(frame: pd.DataFrame) -> pd.DataFrame:
         out = None
@@ -243,7 +245,7 @@ def _encode_long(docs: DataFrame, model: bytes, text: str, ids: str, chunk: int)
             columns = [pa.array([r["row"] for r in told], pa.int64()), pa.array([r["i"] for r in told], pa.int64()), _lists(parts)]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "i", "ids"])
 
-    done = chunks.join(known, ["row", "i"]).mapInArrow(traced, "row long, i long, ids array<int>")
+    done = chunks.join(known, ["row", "i"]).mapInArrow(lean(traced, caches=True), "row long, i long, ids array<int>")
     whole = done.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", "ids"))).alias("all")).select(F.col("row").alias(ROW), F.flatten("all.ids").alias(ids))
     return rows.join(whole, ROW, "left").drop(ROW)
 
@@ -275,7 +277,7 @@ def decode(coded: DataFrame, model: bytes, ids: str = "token_ids", out: str = "d
             said = [spell(lattice, values[a:b].tolist()) if there else None for a, b, there in zip(ends, ends[1:], column.is_valid().to_pylist(), strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.string())], names=[*batch.schema.names, out])
 
-    return coded.mapInArrow(run, schema)
+    return coded.mapInArrow(lean(run, caches=True), schema)
 
 
 def checked(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
