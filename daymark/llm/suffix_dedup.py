@@ -1,8 +1,9 @@
 """Removal of repeated byte strings from texts, by a distributed merge sort of suffixes that knows common prefixes.
 
-A string of ``length`` bytes is repeated if it also starts anywhere else. Each string has an anchor: of the half-length strings in it the one
+A string of ``length`` bytes is repeated if it also starts anywhere else. Texts that occur twice as a whole go first: counts of their 128-bit names tell,
+and one row of each stands for the others in what follows. Each string has an anchor: of the quarter-length strings in it the one
 with the least hash, the leftmost of equal ones. Equal strings have equal anchors at equal places, so it is enough to look at suffixes that begin at anchors,
-one in a hundred bytes, and of these only at the ones whose anchor string occurs twice, which counts of hashes tell. An anchor's
+one in a hundred and fifty bytes, and of these only at the ones whose anchor string occurs twice, which counts of hashes tell. An anchor's
 surroundings are the bytes that strings around it can reach. Where equal surroundings occur twice (again counts of hashes, 128 bits), every string in them is
 repeated. What is left are the ends of repeated passages: anchor strings with several surroundings, one of them unique. Those suffixes are sorted.
 
@@ -13,6 +14,7 @@ compared, from there on. The merged order comes with the common prefixes of neig
 such a group, strings at each place around the anchor are compared over the whole group at once.
 
 An anchor string with very many different surroundings isn't merged in one task: its strings are dealt out by their own hashes and counted.
+In the end only texts that lose a part move to meet what they lose; the others are written where they are read.
 """
 
 from __future__ import annotations
@@ -25,11 +27,11 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import bit_map, blocks, in_map, kept
+from daymark.llm.common import MAP_BITS, bit_map, blocks, in_map, kept
 from daymark.llm.shingles import BASE, mix
 from daymark.operators.joins import join_splitting
 
@@ -80,9 +82,14 @@ def least_in_windows(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(now[:count], now[width - have : width - have + count])
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of all strings of ``length`` bytes within the texts that ``offsets`` bound."""
-    half, size = length // 2, 1 << SEGMENT_BITS
+def core(length: int) -> int:
+    """Bytes of an anchor string. Shorter ones are fewer, as a string has more to choose from, but stand in more places."""
+    return length // 4
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors, ``own`` bytes long, of all strings of ``length`` bytes within the texts that ``offsets`` bound."""
+    half, size = own or length // 2, 1 << SEGMENT_BITS
     table = places(size)
     low = np.uint64(size - 1)
     found, hashes = [], []
@@ -121,16 +128,51 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def count_anchors(texts: DataFrame, length: int) -> DataFrame:
+class Copies:
+    """Tells which texts surely occur twice as a whole, and one row of each, by maps of bits of bounded size.
+
+    A text that occurs once may share its bit with a copied one; such texts are in a map of their own. Where many are, more rows count as if they were
+    alone, which costs work and changes nothing.
+    """
+
+    def __init__(self, named: DataFrame):
+        bucket = F.shiftrightunsigned("h", 64 - MAP_BITS)
+        copied = named.where("n > 1")
+        alike = copied.select(bucket.alias("bucket")).distinct()
+        mistaken = named.where("n = 1").withColumn("bucket", bucket).join(alike, "bucket", "left_semi")
+        self.copied, self.mistaken, self.first = bit_map(copied.select(F.col("h").alias("g"))), bit_map(mistaken.select(F.col("h").alias("g"))), bit_map(copied.select("g"))
+
+    def surely(self, batch: pa.RecordBatch) -> np.ndarray:
+        h = _hashes(batch, "h")
+        return in_map(self.copied, h) & ~in_map(self.mistaken, h)
+
+    def standing(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows without further copies of a text, in blocks."""
+        for batch in batches:
+            stays = ~self.surely(batch) | in_map(self.first, _hashes(batch, "g"))
+            yield from blocks(iter([batch.filter(pa.array(stays))]), "body")
+
+
+def _hashes(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(column)).to_numpy().view(np.uint64)
+
+
+def text_names(texts: DataFrame, length: int) -> DataFrame:
+    """``name``, ``h`` (its hash), ``size``, rows ``n`` and the least row hash ``g`` of each text that is long enough to lose anything."""
+    long = texts.where(F.length("body") >= length).select("name", "h", "g", F.length("body").alias("size"))
+    return long.groupBy("name", "h").agg(F.first("size").alias("size"), F.count(F.lit(1)).alias("n"), F.min("g").alias("g"))
+
+
+def count_anchors(texts: DataFrame, copies: Broadcast, length: int) -> DataFrame:
     """``g`` and ``n`` of anchor strings (their hashes) that occur more than once in the column ``body``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "body"):
-            _, hashes = anchors(*_buffers(batch.column(0)), length)
+        for batch in copies.value.standing(batches):
+            _, hashes = anchors(*_buffers(batch.column(0)), length, core(length))
             g, n = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n)], names=["g", "n"])
 
-    return texts.select("body").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1")
+    return texts.select("body", "h", "g").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1")
 
 
 def common(a: bytes, b: bytes, start: int) -> int:
@@ -247,7 +289,7 @@ def repeated_reach(rights: list[bytes], lefts: list[bytes], weights: np.ndarray,
     ``rights`` begin at the anchor, ``lefts`` end there; ``groups`` tells suffixes of one anchor string, ``weights`` occurrences.
     All strings of an anchor hold the anchor string, so together they cover one stretch.
     """
-    half = length - length // 2
+    half = length - core(length)
     n, width = len(rights), half + length
     table = places(1 << int(width).bit_length())
     joined = b"".join(left.rjust(half, b"\0") + right.ljust(length, b"\0") for left, right in zip(lefts, rights, strict=True))
@@ -277,7 +319,7 @@ def repeated_reach(rights: list[bytes], lefts: list[bytes], weights: np.ndarray,
 
 def merge_part(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     """Merges a part's runs and tells the stretches that repeated strings cover: text (a, b), begin, end."""
-    half = length // 2
+    half = core(length)
     runs = [Run(unpack(rows)) for rows in frame["rows"]]
     texts, begins, ends = [], [], []
     waiting: list[tuple[bytes, bytes, bytes, int]] = []
@@ -317,19 +359,19 @@ def merge_part(frame: pd.DataFrame, length: int) -> pd.DataFrame:
 def _suffixes(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
     """Anchors of a batch: place, hash, row, where its text begins and ends; the texts' names; the bytes."""
     data, offsets = _buffers(batch.column(batch.schema.get_field_index("body")))
-    at, hashes = anchors(data, offsets, length)
+    at, hashes = anchors(data, offsets, length, core(length))
     row = np.searchsorted(offsets, at, "right") - 1
     return at, hashes, row, offsets[row], offsets[row + 1], batch.column(batch.schema.get_field_index("name")).to_pylist(), data
 
 
 def _around(data: np.ndarray, at: int, begin: int, end: int, length: int) -> tuple[bytes, bytes, bytes]:
     """What stands before an anchor and from it on, as far as its strings reach, and a 128-bit digest of both."""
-    left = data[max(begin, at - (length - length // 2)) : at].tobytes()
+    left = data[max(begin, at - (length - core(length))) : at].tobytes()
     right = data[at : min(end, at + length)].tobytes()
     return left, right, hashlib.blake2b(len(left).to_bytes(4, "little") + left + right, digest_size=16).digest()
 
 
-def surroundings(texts: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
+def surroundings(texts: DataFrame, copies: Broadcast, bits: np.ndarray, length: int) -> DataFrame:
     """Anchors whose string is repeated: its hash ``g``, the digest of the surroundings (ca, cb), the text's name (ta, tb), and one long for the rest.
 
     These rows are what grows with repeated content, so they are kept narrow: place << 32, bytes before << 20, bytes from it on << 8,
@@ -339,7 +381,7 @@ def surroundings(texts: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
     fields = ["g", "ca", "cb", "ta", "tb", "packed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "body"):
+        for batch in copies.value.standing(batches):
             at, hashes, row, begin, end, names, data = _suffixes(batch, length)
             rows: dict[tuple[bytes, int], list] = {}
             for i in np.flatnonzero(in_map(held.value, hashes)):
@@ -357,7 +399,7 @@ def surroundings(texts: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
                 columns = [np.array([v[0] for v in rows.values()]), digests[::2], digests[1::2], texts_[::2], texts_[1::2], np.array(packed)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=fields)
 
-    return texts.select("name", "body").mapInArrow(run, ", ".join(f"{f} long" for f in fields))
+    return texts.select("name", "body", "h", "g").mapInArrow(run, ", ".join(f"{f} long" for f in fields))
 
 
 def _stretch(packed: str) -> tuple[Column, Column]:
@@ -371,7 +413,7 @@ def _name(a: str, b: str) -> Column:
     return F.concat(*[F.unhex(F.lpad(F.hex(F.col(x)), 16, "0")) for x in (a, b)])
 
 
-def sorted_runs(texts: DataFrame, bits: np.ndarray, open_bits: np.ndarray, hot: np.ndarray, parts: int, length: int) -> DataFrame:
+def sorted_runs(texts: DataFrame, copies: Broadcast, bits: np.ndarray, open_bits: np.ndarray, hot: np.ndarray, parts: int, length: int) -> DataFrame:
     """Front-coded runs, a part after the other: suffixes whose surroundings are wanted, those of hot anchor strings left out."""
     held = texts.sparkSession.sparkContext.broadcast((bits, open_bits, hot))
 
@@ -385,7 +427,7 @@ def sorted_runs(texts: DataFrame, bits: np.ndarray, open_bits: np.ndarray, hot:
                 packed = pack([(right, left, bytes(entries)) for (_, right, left), entries in rows])
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([name], pa.int64()), pa.array([packed], pa.binary())], names=["part", "run", "rows"])
 
-        for batch in blocks(batches, "body"):
+        for batch in copies.value.standing(batches):
             at, hashes, row, begin, end, names, data = _suffixes(batch, length)
             part = (hashes % np.uint64(parts)).astype(np.int64)
             chosen = np.flatnonzero(in_map(known, hashes) & ~np.isin(hashes, left_out))
@@ -407,17 +449,17 @@ def sorted_runs(texts: DataFrame, bits: np.ndarray, open_bits: np.ndarray, hot:
                 number, size, suffixes = number + 1, 0, {}
         yield from coded()
 
-    return texts.select("name", "body").mapInArrow(run, "part long, run long, rows binary")
+    return texts.select("name", "body", "h", "g").mapInArrow(run, "part long, run long, rows binary")
 
 
-def hot_strings(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
+def hot_strings(texts: DataFrame, copies: Broadcast, hot: np.ndarray, length: int) -> DataFrame:
     """Stretches (text, begin, end) of strings around hot anchor strings that occur more than once, dealt out by the strings' own hashes."""
     held = texts.sparkSession.sparkContext.broadcast(hot)
-    ahead = length - length // 2
+    ahead = length - core(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = held.value
-        for batch in blocks(batches, "body"):
+        for batch in copies.value.standing(batches):
             at, hashes, row, begin, end, names, data = _suffixes(batch, length)
             rows, done = [], -1
             for i in np.flatnonzero(np.isin(hashes, wanted)):
@@ -430,8 +472,7 @@ def hot_strings(texts: DataFrame, hot: np.ndarray, length: int) -> DataFrame:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows[k : k + 20_000], strict=True), (pa.binary(), pa.binary(), pa.int64()), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=["digest", "text", "begin"])
 
-    strings = kept(texts.select("name", "body").mapInArrow(run, "digest binary, text binary, begin long"), "hot-strings")
-    # copies of a text are rows of one name, each of which counts
+    strings = kept(texts.select("name", "body", "h", "g").mapInArrow(run, "digest binary, text binary, begin long"), "hot-strings")
     again = strings.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
     return join_splitting(strings, again, ["digest"], "inner").select("text", "begin", (F.col("begin") + length).alias("end")).distinct()
 
@@ -447,10 +488,13 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         raise ValueError("length must be from 16 to 4095 bytes")
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     texts = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body")).withColumn("name", F.substring(F.unhex(F.sha2("body", 256)), 1, 16))
-    bits = bit_map(count_anchors(texts, length))
-    around = kept(surroundings(texts, bits, length), "surroundings")
-    copies = F.sum(F.col("packed").bitwiseAND(F.lit(255)))
-    classes = kept(around.groupBy("ca", "cb").agg(copies.alias("n"), F.first("g").alias("g")), "surrounding-classes")
+    texts = texts.withColumns({"h": F.xxhash64("name"), "g": F.xxhash64("name", "doc_id")})
+    named = kept(text_names(texts, length), "text-names")
+    copies = docs.sparkSession.sparkContext.broadcast(Copies(named))
+    bits = bit_map(count_anchors(texts, copies, length))
+    around = kept(surroundings(texts, copies, bits, length), "surroundings")
+    met = F.sum(F.col("packed").bitwiseAND(F.lit(255)))
+    classes = kept(around.groupBy("ca", "cb").agg(met.alias("n"), F.first("g").alias("g")), "surrounding-classes")
     # every string of surroundings that occur twice is repeated
     twice = classes.where("n > 1").select("ca", "cb")
     begin, end = _stretch("packed")
@@ -462,39 +506,63 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     hot = open_strings.where(F.col("kinds") > hot_from).orderBy(F.desc("kinds"), "g").limit(MOST_HOT).select("g").collect()
     hot = np.array(sorted(r["g"] for r in hot), dtype=np.int64).view(np.uint64)
     wanted = join_splitting(classes.select("g", "ca"), open_strings, ["g"], "inner").select(F.col("ca").alias("g"))
-    runs = sorted_runs(texts, bits, bit_map(wanted), hot, max(1, -(-total // part_suffixes)), length)
+    runs = sorted_runs(texts, copies, bits, bit_map(wanted), hot, max(1, -(-total // part_suffixes)), length)
     merged = runs.groupBy("part").applyInPandas(lambda frame: merge_part(frame, length), "text binary, begin long, end long")
     stretches = stretches.unionByName(merged)
     if len(hot):
-        stretches = stretches.unionByName(hot_strings(texts, hot, length))
-    # copies of a text tell the same stretches
-    spans = stretches.groupBy(F.col("text").alias("name")).agg(F.collect_set(F.struct("begin", "end")).alias("found"))
+        stretches = stretches.unionByName(hot_strings(texts, copies, hot, length))
+    whole = named.where("n > 1").select(F.col("name").alias("text"), F.lit(0).cast("long").alias("begin"), F.col("size").cast("long").alias("end"))
+    stretches = stretches.unionByName(whole).withColumnRenamed("text", "name")
+    spans = kept(stretches.groupBy("name").agg(F.collect_set(F.struct("begin", "end")).alias("found")), "spans")
+    losing = docs.sparkSession.sparkContext.broadcast(bit_map(spans.select(F.xxhash64("name").alias("g"))))
+    id_type = texts.schema["doc_id"].dataType
+    schema = f"doc_id {id_type.simpleString()}, n_bytes long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary"
+
+    def moves(batch: pa.RecordBatch) -> np.ndarray:
+        return in_map(losing.value, _hashes(batch, "h")) & ~copies.value.surely(batch)
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(iter([batch.filter(pa.array(~moves(batch)))]), "body"):
+                ids, bodies = (block.column(block.schema.get_field_index(c)) for c in ("doc_id", "body"))
+                found = [[(0, len(b))] if gone and len(b) >= length else [] for gone, b in zip(copies.value.surely(block), bodies.to_pylist(), strict=True)]
+                yield _cut(ids, bodies.to_pylist(), found)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(moves(batch))).select(["doc_id", "name", "body"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "body"):
-            ids, bodies, found = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "body", "found"))
-            spans, rest, removed = [], [], []
-            for content, own in zip(bodies.to_pylist(), found.to_pylist(), strict=True):
-                merged: list[list[int]] = []
-                for begin, end in sorted((x["begin"], x["end"]) for x in own or []):
-                    if merged and begin <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], end)
-                    else:
-                        merged.append([begin, end])
-                edges = [0, *[e for span in merged for e in span], len(content)]
-                rest.append(b"".join(content[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-                spans.append([{"begin": a, "end": b} for a, b in merged])
-                removed.append(len(content) - len(rest[-1]))
-            kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-            columns = [ids, pa.array([len(c) for c in bodies.to_pylist()], pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind), pa.array(rest, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
-
-    joined = join_splitting(texts, spans, ["name"]).select("doc_id", "body", "found")
-    id_field = joined.schema["doc_id"]
-    schema = f"doc_id {id_field.dataType.simpleString()}, n_bytes long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary"
-    return joined.mapInArrow(cut, schema)
+        for block in blocks(batches, "body"):
+            ids, bodies, found = (block.column(block.schema.get_field_index(c)) for c in ("doc_id", "body", "found"))
+            yield _cut(ids, bodies.to_pylist(), [[(x["begin"], x["end"]) for x in own or []] for own in found.to_pylist()])
+
+    asked = texts.select("doc_id", "name", "body", "h")
+    moving = asked.mapInArrow(move, texts.select("doc_id", "name", "body").schema)
+    joined = join_splitting(moving, spans, ["name"]).select("doc_id", "body", "found")
+    return asked.mapInArrow(stay, schema).unionByName(joined.mapInArrow(cut, schema))
+
+
+def _cut(ids: pa.Array, bodies: list[bytes], found: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+    """Texts without the stretches found in them."""
+    spans, rest, removed = [], [], []
+    for content, own in zip(bodies, found, strict=True):
+        merged: list[list[int]] = []
+        for begin, end in sorted(own):
+            if merged and begin <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], end)
+            else:
+                merged.append([begin, end])
+        edges = [0, *[e for span in merged for e in span], len(content)]
+        rest.append(b"".join(content[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+        spans.append([{"begin": a, "end": b} for a, b in merged])
+        removed.append(len(content) - len(rest[-1]))
+    kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+    columns = [ids, pa.array([len(c) for c in bodies], pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind), pa.array(rest, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
 def report(cleaned: DataFrame) -> DataFrame:
-    """Counts and the digest of what is left, from what ``without_repeats`` returns."""
-    return cleaned.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    """Counts, the digest of what is left and what is left as text, U+FFFD for cut characters, from what ``without_repeats`` returns."""
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), text.alias("kept_text"))

@@ -83,3 +83,39 @@ def test_merge_equals_sort():
 
 def test_empty_table(corpus):
     assert sd.without_repeats(corpus.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_whole_copies(corpus, rows_of):
+    """Many rows of few texts, one of them in a third of all rows, next to texts that share a part with a copied one or nothing."""
+    rng = random.Random(17)
+    text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    hot, other, short = text(150), text(90), text(12)
+    docs = [(i, hot) for i in range(60)] + [(100 + i, other) for i in range(2)] + [(200 + i, short) for i in range(5)]
+    docs += [(300 + i, text(30) + hot[20 + i : 90] + text(30)) for i in range(20)] + [(400 + i, text(120)) for i in range(40)] + [(7, hot), (7, hot)]
+    rng.shuffle(docs)
+    got = sd.without_repeats(corpus.createDataFrame(docs, "doc_id long, text string").repartition(5), length=40).collect()
+    mine = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], [(s["begin"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in got), key=repr)
+    assert mine == brute(docs, 40)
+
+
+def test_copies_that_share_a_bit(corpus, monkeypatch):
+    """Maps of so few bits that single texts share them with copied ones: none of those is told to be copied."""
+    import pyarrow as pa
+
+    from daymark.llm import common
+
+    monkeypatch.setattr(common, "MAP_BITS", 6)
+    monkeypatch.setattr(common, "PART_BITS", 3)
+    monkeypatch.setattr(sd, "MAP_BITS", 6)
+    rng = random.Random(23)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    copied = [text(70) for _ in range(12)]
+    docs = [(i, c) for i, c in enumerate(copied * 3)] + [(100 + i, text(60)) for i in range(60)] + [(200 + i, text(20) + copied[i][:50]) for i in range(12)]
+    rows = corpus.createDataFrame([(t.encode(), t, i) for i, t in docs], "body binary, name string, g long").selectExpr("*", "xxhash64(name) AS h")
+    copies = sd.Copies(sd.text_names(rows, 40))
+    assert copies.mistaken.any()
+    batch = pa.RecordBatch.from_pylist([r.asDict() for r in rows.collect()])
+    told = {name for name, sure in zip(batch.column("name").to_pylist(), copies.surely(batch), strict=True) if sure}
+    assert told <= set(copied)
+    standing = [name for part in copies.standing(iter([batch])) for name in part.column("name").to_pylist()]
+    assert set(standing) == {t for _, t in docs}
