@@ -24,9 +24,9 @@ def _finding(check: str, column: str, value: Column) -> Column:
     )
 
 
-def row_findings(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Per-row checks, all in one scan: keys present, values castable, values in their domain."""
-    found = []
+def _row_checks(df: DataFrame, contract: TableContract) -> list[tuple[str, str, Column]]:
+    """Check, column and whether a row fails it: keys present, values castable, values in their domain."""
+    checks = []
     available = dict(df.dtypes)
     for spec in contract.columns:
         if spec.name not in available:
@@ -34,13 +34,19 @@ def row_findings(df: DataFrame, contract: TableContract) -> DataFrame:
         value = F.col(f"`{spec.name}`")
         if spec.is_pkey:
             blank = value.isNull() if available[spec.name] != "string" else F.coalesce(F.trim(value) == "", F.lit(True))
-            found.append(F.when(blank, _finding("key_present", spec.name, value)))
+            checks.append(("key_present", spec.name, blank))
         if available[spec.name] != spec.spark_type.simpleString():
             bad = value.isNotNull() & value.try_cast(spec.spark_type).isNull()
-            found.append(F.when(bad, _finding("type", spec.name, value)))
+            checks.append(("type", spec.name, bad))
         if spec.domain:
             outside = value.isNotNull() & ~value.isin(*spec.domain)
-            found.append(F.when(outside, _finding("domain", spec.name, value)))
+            checks.append(("domain", spec.name, outside))
+    return checks
+
+
+def row_findings(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Per-row checks, all in one scan."""
+    found = [F.when(fails, _finding(check, column, F.col(f"`{column}`"))) for check, column, fails in _row_checks(df, contract)]
     if not found:
         found = [F.when(F.lit(False), _finding("none", "", F.lit(None)))]
     key = _key_text(contract.keys) if contract.keys else F.lit("")
@@ -48,6 +54,24 @@ def row_findings(df: DataFrame, contract: TableContract) -> DataFrame:
     return df.select(key.alias("row_key"), F.inline(F.array(*found))).where(F.col("check_name").isNotNull())
 
 
+FAILED = "failed_checks"
+
+
+def mark_failures(df: DataFrame, contract: TableContract) -> DataFrame:
+    """The rows with the array ``failed_checks`` of the per-row checks that each fails, as 'check:column'. A missing column raises."""
+    lacking = missing_columns(df, contract)
+    if lacking:
+        raise ValueError(f"{contract.name} lacks {', '.join(lacking)}")
+    failed = [F.when(fails, F.lit(f"{check}:{column}")) for check, column, fails in _row_checks(df, contract)]
+    return df.withColumn(FAILED, F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>"))
+
+
+def failure_counts(df: DataFrame, contract: TableContract) -> dict[str, Column]:
+    """An aggregate per per-row check over what ``mark_failures`` returns, so that a write can observe them."""
+    names = [f"{check}:{column}" for check, column, _ in _row_checks(df, contract)]
+    return {name: F.count_if(F.array_contains(FAILED, name)) for name in names}
+
+
 def key_findings(df: DataFrame, contract: TableContract) -> DataFrame:
     """Keys that occur more than once."""
     keys = contract.keys

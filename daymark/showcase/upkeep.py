@@ -369,6 +369,40 @@ def _monthly(t):
     return t.orders.withColumn("day", F.trunc(F.col("o_orderdate").cast("date"), "month"))
 
 
+PRICED = C.TableContract.load(
+    {
+        "name": "priced",
+        "columns": [
+            {"name": "l_orderkey", "data_type": "bigint", "is_pkey": True},
+            {"name": "l_linenumber", "data_type": "int", "is_pkey": True},
+            {"name": "l_returnflag", "data_type": "string", "domain": ["A", "N"]},
+            {"name": "l_extendedprice", "data_type": "double"},
+        ],
+    }
+)
+
+
+@query(
+    """WITH rows_ AS (SELECT l_orderkey, CASE WHEN l_quantity > 1 THEN l_linenumber END AS l_linenumber, l_returnflag, l_extendedprice FROM lineitem),
+        judged AS (SELECT *, concat_ws(', ', CASE WHEN l_linenumber IS NULL THEN 'key_present:l_linenumber' END,
+                                         CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'domain:l_returnflag' END) AS failed FROM rows_)
+        SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice, failed,
+               CASE WHEN failed = '' THEN (SELECT count(*) FROM judged WHERE failed = '') ELSE (SELECT count(*) FROM judged WHERE failed <> '') END AS told
+        FROM judged"""
+)
+def write_checked(t):
+    """Passing rows in the table, failing ones beside it with what they fail, each with the number that the write told of its kind."""
+    rows = t.lineitem.select("l_orderkey", F.when(F.col("l_quantity") > 1, F.col("l_linenumber")).cast("int").alias("l_linenumber"), "l_returnflag", "l_extendedprice")
+    table = _table(t, "priced", PRICED)
+    beside = f"{table}_rejected"
+    path = scratch_path(t.spark, "rejected")
+    t.spark.sql(f"CREATE TABLE {beside} (l_orderkey BIGINT, l_linenumber INT, l_returnflag STRING, l_extendedprice DOUBLE, failed_checks ARRAY<STRING>) USING parquet LOCATION '{path}'")
+    told = tables.write_checked(rows, table, PRICED, beside)
+    good = t.spark.table(table).select("*", F.lit("").alias("failed"), F.lit(told["rows"]).cast("long").alias("told"))
+    bad = t.spark.table(beside).withColumn("failed", F.concat_ws(", ", "failed_checks")).drop("failed_checks").withColumn("told", F.lit(told["rejected"]).cast("long"))
+    return good.unionByName(bad)
+
+
 @query(
     f"""SELECT o_orderkey, CASE WHEN {MONTH} = DATE '1998-06-01' THEN 0 ELSE o_totalprice END AS o_totalprice, o_orderstatus,
               CAST({MONTH} AS VARCHAR) AS day FROM orders"""

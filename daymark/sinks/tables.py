@@ -13,10 +13,12 @@ from urllib.parse import unquote
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from daymark.operators import quality
 from daymark.operators.contract import TableContract, conform, partitions_last
 from daymark.operators.scd import ACTION, CLOSED, LEFT, UNCHANGED
-from daymark.shared import settle
+from daymark.shared import scratch_path, settle
 from daymark.sources.versions import START_MONTH
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -517,3 +519,32 @@ def write_with_metrics(df: DataFrame, table: str, **options) -> dict:
         return {"table": table, **observation.get}
     except Py4JJavaError:  # the optimizer saw that there are no rows and took the count away with them
         return {"table": table, "rows": 0}
+
+
+def write_checked(df: DataFrame, table: str, contract: TableContract, rejected: str | None = None, **options) -> dict:
+    """Write the rows that pass the per-row checks of their contract, and those that don't to the table ``rejected``, with what they fail.
+
+    The frame is computed once: it goes to the shared folder in two parts, passing and failing rows, and that write observes the
+    count of each check. Each table is then written from its own part. Without ``rejected`` a failing row ends the job before the table is touched.
+    ``options`` are those of ``write_table``. Returns ``rows``, ``rejected`` and ``checks`` (failing rows per 'check:column').
+    """
+    spark = df.sparkSession
+    path, part = scratch_path(spark, "checked"), "__passes"
+    marked = quality.mark_failures(df, contract)
+    counts = quality.failure_counts(df, contract)
+    observation = Observation(f"checked_{uuid.uuid4().hex}")
+    passes = F.size(quality.FAILED) == 0
+    numbered = [c.alias(f"c{i}") for i, c in enumerate(counts.values())]
+    marked.observe(observation, F.count_if(passes).alias("rows"), F.count_if(~passes).alias("rejected"), *numbered).withColumn(part, passes.cast("int")).write.partitionBy(part).parquet(path)
+    try:
+        seen = observation.get
+    except Py4JJavaError:  # the optimizer saw that there are no rows and took the counts away with them
+        seen = {}
+    told = {"table": table, "rows": seen.get("rows", 0), "rejected": seen.get("rejected", 0), "checks": {name: seen.get(f"c{i}", 0) for i, name in enumerate(counts)}}
+    if told["rejected"] and rejected is None:
+        raise ValueError(f"{told['rejected']} rows for {table} fail their checks: {told['checks']}")
+    staged = spark.read.schema(T.StructType([*marked.schema.fields, T.StructField(part, T.IntegerType())])).parquet(path)
+    write_table(staged.where(F.col(part) == 1).drop(part, quality.FAILED), table, contract, **options)
+    if rejected is not None:
+        write_table(staged.where(F.col(part) == 0).drop(part), rejected, mode="append", clustered=False)
+    return told

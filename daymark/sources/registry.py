@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daymark.functions.bounds import DateLike
 from daymark.functions.cleaning import clean_strings
@@ -161,6 +164,34 @@ def load(source: Source, reader: Reader, run_date: DateLike) -> DataFrame:
     return snapshots.where_all(df, *source.filters)
 
 
+def load_together(specs: Mapping[str, Source], reader: Reader, run_date: DateLike, tag: str = "reads") -> DataFrame:
+    """Several reads of one table in one scan: the rows that any of them takes, with the names of those that do in the array ``tag``.
+
+    The reads may differ in their filters only. Filters that all share are applied to the scan, so they still prune; the others become
+    tags. Rows of one read are ``where(array_contains(tag, name))``.
+    """
+    if not specs:
+        raise ValueError("no reads given")
+    names, reads = list(specs), list(specs.values())
+    if len({replace(s, filters=()) for s in reads}) > 1:
+        raise ValueError(f"these reads differ in more than their filters: {', '.join(names)}")
+    shared = tuple(f for f in reads[0].filters if all(f in s.filters for s in reads))
+    df = load(replace(reads[0], filters=shared), reader, run_date)
+    taken = []
+    for name, source in specs.items():
+        own = [F.expr(f"({f})") for f in source.filters if f not in shared]
+        taken.append(F.when(reduce(and_, own), F.lit(name)) if own else F.lit(name))
+    return df.withColumn(tag, F.array_compact(F.array(*taken))).where(F.size(tag) > 0)
+
+
+def fusible(specs: Mapping[str, Source]) -> list[list[str]]:
+    """Names of reads that ``load_together`` can take in one scan, in their order; groups of one are left out."""
+    groups: dict[Source, list[str]] = {}
+    for name, source in specs.items():
+        groups.setdefault(replace(source, filters=()), []).append(name)
+    return [names for names in groups.values() if len(names) > 1]
+
+
 @dataclass
 class Sources:
     """Loads the named reads on demand and keeps the DataFrames for the run."""

@@ -5,7 +5,7 @@ import pytest
 from daymark.operators.contract import TableContract
 from daymark.sinks import tables
 from daymark.sources import snapshots as S
-from daymark.sources.registry import SOURCES, CatalogReader, Source, Sources, load
+from daymark.sources.registry import SOURCES, CatalogReader, Source, Sources, fusible, load, load_together
 
 D = dt.date
 
@@ -112,3 +112,22 @@ def test_registry(spark):
     sources.register(["enfis_bbn"])
     assert [r["bbn"] for r in spark.table("enfis_bbn").collect()] == ["a"]
     assert sources["enfis_bbn"] is sources["enfis_bbn"]
+
+
+def test_reads_of_one_table_in_one_scan(spark, plan, tmp_path):
+    rows = [("a", " Email 1\t", "Y"), ("b", "Landline", "Y"), ("c", "none", "Y"), ("d", "Email 2", "N"), ("e", None, "Y")]
+    spark.createDataFrame(rows, "k string, kind string, current_row_flag string").write.parquet(f"{tmp_path}/t")
+    live = "current_row_flag = 'Y'"
+    specs = {"all": Source("t", filters=(live,)), "email": Source("t", filters=(live, "kind LIKE 'Email%'")), "line": Source("t", filters=(live, "kind = 'Landline'"))}
+    reader = lambda table: spark.read.parquet(f"{tmp_path}/{table}")
+    together = load_together(specs, reader, "2024-01-01")
+    got = {(r["k"], name) for r in together.collect() for name in r["reads"]}
+    assert got == {(r["k"], name) for name, spec in specs.items() for r in load(spec, reader, "2024-01-01").collect()}
+    text = plan(together)
+    assert "EqualTo(current_row_flag,Y)" in text
+    without_all = load_together({n: specs[n] for n in ("email", "line")}, reader, "2024-01-01")
+    assert sorted(r["k"] for r in without_all.collect()) == ["a", "b"]
+    with pytest.raises(ValueError, match="more than their filters"):
+        load_together({"all": specs["all"], "other": Source("t", "last")}, reader, "2024-01-01")
+    assert fusible({**specs, "alone": Source("u")}) == [["all", "email", "line"]]
+    assert ["dim_cust_contact", "dim_cust_contact_email", "dim_cust_contact_mobile", "dim_cust_contact_landline"] in fusible(SOURCES)

@@ -159,3 +159,29 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     if named:
         assert shared_dir(spark) == named
     assert settle(spark.range(3)).count() == 3
+
+
+def test_checked_write_routes_failing_rows_aside(spark, table):
+    contract = C.TableContract.load(
+        {"name": "t", "columns": [{"name": "k", "data_type": "string", "is_pkey": True}, {"name": "n", "data_type": "int"}, {"name": "flag", "data_type": "string", "domain": ["Y", "N"]}]}
+    )
+    data = [("a", "1", "Y"), ("b", "x", "Q"), (" ", "2", "N"), (None, None, None), ("c", None, None), ("a", "1", "Y")]
+    frame = spark.createDataFrame(data, "k string, n string, flag string")
+    name = table(contract)
+    with pytest.raises(ValueError, match="3 rows for"):
+        tables.write_checked(frame, name, contract)
+    assert spark.table(name).count() == 0
+    beside = f"{name}_rejected"
+    spark.sql(f"CREATE TABLE {beside} (k STRING, n STRING, flag STRING, failed_checks ARRAY<STRING>) USING parquet")
+    told = tables.write_checked(frame, name, contract, beside)
+    assert told == {"table": name, "rows": 3, "rejected": 3, "checks": {"key_present:k": 2, "type:n": 1, "domain:flag": 1}}
+    assert sorted(map(tuple, spark.table(name).collect()), key=repr) == [("a", 1, "Y"), ("a", 1, "Y"), ("c", None, None)]
+    failed = {(r["k"], r["n"]): r["failed_checks"] for r in spark.table(beside).collect()}
+    assert failed == {("b", "x"): ["type:n", "domain:flag"], (" ", "2"): ["key_present:k"], (None, None): ["key_present:k"]}
+    # the counts are those of the findings that check_table lists
+    found = quality.row_findings(frame, contract).groupBy("check_name", "column_name").count().collect()
+    assert {f"{r['check_name']}:{r['column_name']}": r["count"] for r in found} == told["checks"]
+    none = tables.write_checked(frame.where("false"), table(contract), contract)
+    assert none["rows"] == none["rejected"] == 0
+    with pytest.raises(ValueError, match="lacks flag"):
+        tables.write_checked(frame.drop("flag"), name, contract)
