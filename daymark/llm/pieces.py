@@ -19,8 +19,10 @@ SPACE = "▁"
 #: Latin letters, as a character class; a vocabulary is asked whether its pieces mix them with other characters.
 LETTERS = "A-Za-z\u00c0-\u024f"
 MINUS = float("-inf")
-#: Entries of each memo a Python worker keeps; they are cleared when full.
+#: Entries of each memo a Python worker keeps. Memos are cleared when full; that of words first lets go of those not met for a while.
 MEMO = 200_000
+#: Characters whose longest piece is looked up at once.
+HEAD = 4
 
 
 class Lattice:
@@ -32,6 +34,8 @@ class Lattice:
         self.worst = min((s for _, s in pieces.values()), default=0.0) - 10.0
         self.texts = texts or []
         self._prefixes: dict[str, bool] = {}
+        self._shorter: dict[str, str] = {}
+        self._heads: dict[str, tuple[str, bool]] = {}
         self._after: dict[str | None, dict[str, bool]] = {}
         self._codes: dict[str, bytes] = {}
         self._whole: dict[str, bool] = {}
@@ -133,6 +137,10 @@ class Lattice:
                 for k in range(1, len(piece)):
                     self._prefixes.setdefault(piece[:k], False)
                 self._prefixes[piece] = self.weight(piece) is not None
+            for piece in self.pieces:
+                ends = [k for k in range(1, len(piece)) if self._prefixes[piece[:k]]]
+                if ends:
+                    self._shorter[piece] = piece[: ends[-1]]
         return self._prefixes
 
     def _followers(self, last: str | None) -> dict[str, bool]:
@@ -157,45 +165,65 @@ class Lattice:
 
     def _short_word(self, text: str) -> bytes:
         """The same for merges, depth first from the longest pieces: places where no row of pieces goes on are met once."""
-        begins, after, size = self._begins(), self._after, len(text)
+        after, shorter, size = self._after, self._shorter, len(text)
         path: list[str] = []
-        waiting: list[tuple[int, str | None, list[str]]] = []
         dead: set[tuple[int, str | None]] = set()
-        begin, before = 0, None
+        begin, before, piece = 0, None, self._at(text, 0, size) if size else None
         while begin < size:
-            choices = []
-            for end in range(begin + 1, size + 1):
-                piece = text[begin:end]
-                kind = begins.get(piece)
-                if kind:
-                    choices.append(piece)
-                elif kind is None:
-                    if end == begin + 1:
-                        choices.append(piece)  # a character without a piece
+            known = after.get(before)
+            if known is None:
+                known = self._followers(before)
+            while piece is not None:
+                fits = known.get(piece)
+                if fits is None:
+                    fits = known[piece] = self.meet(before, piece)
+                if fits and not (dead and (begin + len(piece), piece) in dead):
                     break
-            while True:
-                known = after.get(before)
-                if known is None:
-                    known = self._followers(before)
-                while choices:
-                    piece = choices.pop()
-                    fits = known.get(piece)
-                    if fits is None:
-                        fits = known[piece] = self.meet(before, piece)
-                    if fits and not (dead and (begin + len(piece), piece) in dead):
-                        break
-                else:
-                    dead.add((begin, before))
-                    begin, before, choices = waiting.pop()
-                    path.pop()
-                    continue
-                waiting.append((begin, before, choices))
-                path.append(piece)
-                begin, before = begin + len(piece), piece
-                break
+                piece = shorter.get(piece)
+            else:
+                dead.add((begin, before))
+                begin -= len(path.pop())
+                piece, before = shorter.get(before), path[-1] if path else None
+                continue
+            path.append(piece)
+            begin += len(piece)
+            before = piece
+            if begin < size:
+                piece = self._at(text, begin, size)
         codes = self._codes
         return b"".join([codes.get(piece) or self.coded(piece) for piece in path])
 
+    def _at(self, text: str, begin: int, size: int) -> str:
+        """The longest piece that begins at a place; a character without a piece stands for itself."""
+        head = text[begin : begin + HEAD]
+        found = self._heads.get(head)
+        if found is None:
+            if len(self._heads) >= MEMO // 2:
+                self._heads.clear()
+            found = self._heads[head] = self._head(head)
+        piece, more = found
+        if more:
+            begins = self._begins()
+            for end in range(begin + HEAD + 1, size + 1):
+                longer = text[begin:end]
+                kind = begins.get(longer)
+                if kind is None:
+                    break
+                if kind:
+                    piece = longer
+        return piece
+
+    def _head(self, head: str) -> tuple[str, bool]:
+        """The longest piece that a few characters begin with, and whether longer pieces may begin with all of them."""
+        begins, piece = self._begins(), head[0]
+        for end in range(1, len(head) + 1):
+            kind = begins.get(head[:end])
+            if kind is None:
+                return piece, False
+            if kind:
+                piece = head[:end]
+        return piece, len(head) == HEAD
+
     def coded(self, piece: str) -> bytes:
         """Ids of a piece, 32 bits each."""
         found = self._codes.get(piece)
@@ -215,16 +243,20 @@ class Lattice:
 
 
 class _Words(dict):
-    """Ids by word, up to a bound."""
+    """Ids by word, up to a bound in two halves: a full half becomes the older one, whose words come back when they are met again and go if not."""
 
     def __init__(self, lattice: Lattice):
         super().__init__()
         self.lattice = lattice
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, text: str) -> bytes:
-        out = self.lattice.word(text)[0]
+        out = self.older.get(text)
+        if out is None:
+            out = self.lattice.word(text)[0]
         if len(text) <= 64:
-            if len(self) >= MEMO:
+            if len(self) >= MEMO // 2:
+                self.older = dict(self)
                 self.clear()
             self[text] = out
         return out

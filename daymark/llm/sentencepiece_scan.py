@@ -18,6 +18,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,13 +140,16 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "token_
     has null ids, an empty one none. Texts longer than ``chunk`` characters go through the scan, whole; there is no
     bound on a text but that of a string. Repeated rows are encoded one by one. An empty table gives an empty result.
     """
+    short, long = _parted(docs.drop(ids), text, chunk)
+    return _encode_short(short, model, text, ids).unionByName(_encode_long(long, model, text, ids, chunk))
+
+
+def _parted(docs: DataFrame, text: str, chunk: int) -> tuple[DataFrame, DataFrame]:
     if chunk < 64:
         raise ValueError("a chunk must be longer than the pieces that reach over its ends")
-    docs = docs.drop(ids)
     # empty and null lengths compare as not long
     long = F.coalesce(F.length(text) > chunk, F.lit(False))
-    short = _encode_short(docs.where(~long), model, text, ids)
-    return short.unionByName(_encode_long(docs.where(long), model, text, ids, chunk))
+    return docs.where(~long), docs.where(long)
 
 
 def _lists(parts: list[bytes | None]) -> pa.Array:
@@ -156,6 +160,10 @@ def _lists(parts: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=none)
 
 
+def _coded(lattice: Lattice, texts: list[str | None]) -> list[bytes | None]:
+    return [None if t is None else lattice.encode(normalized(t)) if t else b"" for t in texts]
+
+
 def _encode_short(docs: DataFrame, model: bytes, text: str, ids: str) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
@@ -163,8 +171,7 @@ def _encode_short(docs: DataFrame, model: bytes, text: str, ids: str) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = load(held.value)
         for block in blocks(batches, text, TEXT_BYTES):
-            texts = block.column(block.schema.get_field_index(text)).to_pylist()
-            parts = [None if t is None else lattice.encode(normalized(t)) if t else b"" for t in texts]
+            parts = _coded(lattice, block.column(block.schema.get_field_index(text)).to_pylist())
             yield pa.RecordBatch.from_arrays([*block.columns, _lists(parts)], names=[*block.schema.names, ids])
 
     return docs.mapInArrow(lean(run, caches=True), schema)
@@ -250,6 +257,22 @@ def _encode_long(docs: DataFrame, model: bytes, text: str, ids: str, chunk: int)
     return rows.join(whole, ROW, "left").drop(ROW)
 
 
+def _spelled(lattice: Lattice, column: pa.ListArray) -> Iterator[str | None]:
+    """The text of each list of ids, one at a time."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    for a, b, there in zip(ends, ends[1:], column.is_valid().to_pylist(), strict=False):
+        if not there:
+            yield None
+            continue
+        said = "".join(map(lattice.texts.__getitem__, values[a:b].tolist()))
+        said = said[1:] if said.startswith(" ") else said
+        try:
+            said.encode()
+        except UnicodeEncodeError:
+            said = said.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+        yield said
+
+
 def decode(coded: DataFrame, model: bytes, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """All rows and columns with the text of ``ids`` in ``out``, which replaces a column of that name; null for null, empty for none.
 
@@ -260,32 +283,40 @@ def decode(coded: DataFrame, model: bytes, ids: str = "token_ids", out: str = "d
     held = coded.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*coded.schema.fields, T.StructField(out, T.StringType())])
 
-    def spell(lattice: Lattice, which: list[int]) -> str:
-        said = "".join(map(lattice.texts.__getitem__, which))
-        said = said[1:] if said.startswith(" ") else said
-        try:
-            said.encode()
-        except UnicodeEncodeError:
-            return said.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
-        return said
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = load(held.value)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-            said = [spell(lattice, values[a:b].tolist()) if there else None for a, b, there in zip(ends, ends[1:], column.is_valid().to_pylist(), strict=False)]
+            said = list(_spelled(lattice, batch.column(batch.schema.get_field_index(ids))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.string())], names=[*batch.schema.names, out])
 
     return coded.mapInArrow(lean(run, caches=True), schema)
 
 
-def checked(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
+def checked(docs: DataFrame, model: bytes, text: str = "text", ids: str = "token_ids", chunk: int = CHUNK) -> DataFrame:
     """All rows and columns but the text, with ``token_ids``, ``n_tokens`` and whether the ids decode to the text (``round_trip``).
 
     Null texts have null ids and no number, and decode to null. U+2581 in a text is taken as the blank that it comes back as.
+    Short texts are encoded and decoded in one step, so no text goes back to where it came from.
     """
-    back = decode(encode(docs, model, text), model, out="__sp_decoded")
-    same = F.col("__sp_decoded").eqNullSafe(F.replace(F.col(text), F.lit(SPACE), F.lit(" ")))
-    number = F.when(F.col("token_ids").isNotNull(), F.size("token_ids")).cast("long")
-    return back.withColumns({"n_tokens": number, "round_trip": same}).drop(text, "__sp_decoded")
+    short, long = _parted(docs.drop(ids), text, chunk)
+    return _verdicts(short, model, text, ids).unionByName(_verdicts(_encode_long(long, model, text, ids, chunk), model, text, ids))
+
+
+def _verdicts(rows: DataFrame, model: bytes, text: str, ids: str) -> DataFrame:
+    """Rows without their text, with ``ids`` unless they have them, number and ``round_trip``."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+    others = [f for f in rows.schema.fields if f.name not in (text, ids)]
+    added = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType())), *T.StructType.fromDDL("n_tokens long, round_trip boolean").fields])
+    known = ids in rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = load(held.value)
+        for block in blocks(batches, text, TEXT_BYTES):
+            texts = block.column(block.schema.get_field_index(text)).to_pylist()
+            lists = block.column(block.schema.get_field_index(ids)) if known else _lists(_coded(lattice, texts))
+            same = [said == (None if t is None else t.replace(SPACE, " ")) for t, said in zip(texts, _spelled(lattice, lists), strict=True)]
+            numbers = pa.compute.list_value_length(lists).cast(pa.int64())
+            columns = [block.column(block.schema.get_field_index(f.name)) for f in others]
+            yield pa.RecordBatch.from_arrays([*columns, lists, numbers, pa.array(same, pa.bool_())], names=[*[f.name for f in others], *added.names])
+
+    return rows.mapInArrow(lean(run, caches=True), T.StructType([*others, *added.fields]))

@@ -106,3 +106,42 @@ def test_bytes_that_make_no_character(corpus):
     ids = [lattice.bytes_at + 0xC3, lattice.bytes_at + 0x28]
     coded = corpus.createDataFrame([(ids,), ([],), (None,)], "token_ids array<int>")
     assert [r["decoded"] for r in sc.decode(coded, model).collect()] == ["�(", "", None]
+
+
+def merging():
+    words = ["the", "on", "tion", "ing", "and", "ab", "abab", "bab"]
+    pieces = dict.fromkeys("▁abdeghinot") | dict.fromkeys(w[:k] for w in words for k in range(1, len(w) + 1))
+    return Lattice({p: (i, -float(i)) for i, p in enumerate(pieces)}, None, 99, merges=True)
+
+
+def test_words_that_come_again_outlive_many_that_do_not(monkeypatch):
+    monkeypatch.setattr("daymark.llm.pieces.MEMO", 64)
+    lattice, rng, looked_up = merging(), random.Random(3), []
+    word = lattice.word
+    lattice.word = lambda text: looked_up.append(text) or word(text)
+    for _ in range(400):
+        lattice.encode("▁the" + "".join("▁" + "".join(rng.choices("abdeghinot", k=12)) for _ in range(8)))
+    assert looked_up.count("▁the") == 1
+    assert len(lattice._words) + len(lattice._words.older) <= 64
+
+
+def test_short_words_as_merged():
+    lattice, rng = merging(), random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choices(["▁", "a", "b", "ab", "the", "ti", "on", "ing", "é"], k=rng.randint(1, 9)))
+        ids = [i for piece in lattice.merged(text) for i in lattice.ids(piece)]
+        assert np.frombuffer(lattice._short_word(text), dtype="<i4").tolist() == ids
+
+
+@needs_model
+def test_short_texts_meet_python_once(corpus):
+    model = sc.model_bytes(corpus, sc.MODEL)
+    docs = corpus.createDataFrame([(1, "one"), (2, None), (3, ""), (4, "x" * 40_000)], "doc_id long, text string")
+    told = sc.checked(docs, model)
+    assert told.columns == ["doc_id", "token_ids", "n_tokens", "round_trip"]
+    # nothing in Python is done above the union of short and long texts, and short ones come from the table
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert 0 <= plan.index("Union") < plan.index("MapInArrow")
+    assert {r["doc_id"]: (r["n_tokens"], r["round_trip"]) for r in told.where("doc_id < 4").collect()}.keys() == {1, 2, 3}
+    assert [r["n_tokens"] for r in told.where("doc_id in (2, 3)").orderBy("doc_id").collect()] == [None, 0]
+    assert told.where("round_trip").count() == 4
