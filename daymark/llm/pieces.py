@@ -8,6 +8,7 @@ whole text gives, as no merge inside one pair ever depends on symbols outside of
 
 from __future__ import annotations
 
+import gc
 import re
 from functools import lru_cache
 
@@ -285,5 +286,12 @@ def load(model: bytes) -> Lattice:
     return Lattice(pieces, bytes_at, sp.unk_id(), all(s == int(s) for s in ranks), texts)
 
 
+def drop_models() -> None:
+    """A lattice and its words know each other, so without a collection the memory of a dropped one is freed late or never."""
+    if load.cache_info().currsize:
+        load.cache_clear()
+        gc.collect()
+
+
 # models and their memos outlive the step that needs them, see common.trim
-CACHES.append(load.cache_clear)
+CACHES.append(drop_models)

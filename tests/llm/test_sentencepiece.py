@@ -1,10 +1,13 @@
+import gc
 import random
+import weakref
 from pathlib import Path
 
 import numpy as np
 import pytest
 
 from daymark.llm import sentencepiece_scan as sc
+from daymark.llm.common import trim
 from daymark.llm.pieces import Lattice, load
 
 MODEL = Path(sc.MODEL)
@@ -145,3 +148,17 @@ def test_short_texts_meet_python_once(corpus):
     assert {r["doc_id"]: (r["n_tokens"], r["round_trip"]) for r in told.where("doc_id < 4").collect()}.keys() == {1, 2, 3}
     assert [r["n_tokens"] for r in told.where("doc_id in (2, 3)").orderBy("doc_id").collect()] == [None, 0]
     assert told.where("round_trip").count() == 4
+
+
+@needs_model
+def test_other_steps_free_the_model():
+    """Workers take turns at tasks of all steps: what one keeps of an earlier step, the others can't use."""
+    held = weakref.ref(load(MODEL.read_bytes()))
+    gc.disable()
+    try:
+        trim(caches=True)
+        assert held() is not None
+        trim()
+        assert held() is None
+    finally:
+        gc.enable()
