@@ -119,3 +119,26 @@ def test_copies_that_share_a_bit(corpus, monkeypatch):
     assert told <= set(copied)
     standing = [name for part in copies.standing(iter([batch])) for name in part.column("name").to_pylist()]
     assert set(standing) == {t for _, t in docs}
+
+
+@pytest.mark.parametrize("hot", [10_000, 3])
+def test_texts_that_go_on_repeating_themselves(corpus, monkeypatch, hot):
+    """Equal surroundings every few bytes of a text are a row or two, not one for each place, and count as often as they stand."""
+    rng = random.Random(31 + hot)
+    text = lambda n: "".join(rng.choice("cdefgh é") for _ in range(n))
+    docs = [(i, text(rng.randrange(30)) + "ab" * 1500 + text(30)) for i in range(6)] + [(10, "xyz" * 700), (11, text(50) + "xyz" * 13 + "q" + text(50))]
+    docs += [(20 + i, text(40) + "ab" * 19 + text(1 + i)) for i in range(8)] + [(40, "ab" * 60 + text(90) + "ab" * 60), (41, "ab" * 20), (42, text(200))]
+    written, write = {}, sd.kept
+
+    def counted(df, name):
+        out = write(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(sd, "kept", counted)
+    got = sd.without_repeats(corpus.createDataFrame(docs, "doc_id long, text string").repartition(3), length=40, hot_from=hot).collect()
+    mine = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], [(s["begin"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in got), key=repr)
+    assert mine == brute(docs, 40)
+    assert written["surroundings"] < 500
+    assert written.get("hot-strings", 0) < 2500
+    assert ("hot-strings" in written) == (hot == 3)
