@@ -142,3 +142,23 @@ def test_texts_that_go_on_repeating_themselves(corpus, monkeypatch, hot):
     assert written["surroundings"] < 500
     assert written.get("hot-strings", 0) < 2500
     assert ("hot-strings" in written) == (hot == 3)
+
+
+def test_hot_strings_that_reach_each_other(corpus, monkeypatch):
+    """A string that stands every other byte of many texts is a row or two for each text, also at the ends, whose surroundings all differ."""
+    rng = random.Random(41)
+    text = lambda n: "".join(rng.choice("cdefgh é") for _ in range(n))
+    docs = [(i, text(45) + "ab" * 60 + text(45)) for i in range(20)] + [(90, text(60) + "ab" * 20 + text(3)), (91, "ab" * 19 + "a" + text(50))]
+    most, write = [], sd.kept
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "hot-strings":
+            most.append(out.groupBy("digest").count().agg({"count": "max"}).collect()[0][0])
+        return out
+
+    monkeypatch.setattr(sd, "kept", counted)
+    got = sd.without_repeats(corpus.createDataFrame(docs, "doc_id long, text string").repartition(3), length=40, hot_from=3).collect()
+    mine = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], [(s["begin"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in got), key=repr)
+    assert mine == brute(docs, 40)
+    assert most and most[0] <= 3 * len(docs)
