@@ -158,3 +158,9 @@ def test_queries_stay_in_the_jvm_without_pair_joins(spark, plan, name):
 def test_columns_are_pruned(spark, plan):
     text = plan(ENTRIES["any_flags"](spark, "/root/testdata/sf0.001"))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double>" in text
+
+
+def test_contact_texts_are_not_broadcast(spark, plan):
+    """Seven rows a customer, exploded and not yet counted: files of any length may hold more than the driver takes."""
+    text = plan(ENTRIES["contact_summary"](spark, "/root/testdata/sf0.001"))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
