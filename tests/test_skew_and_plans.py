@@ -164,3 +164,12 @@ def test_contact_texts_are_not_broadcast(spark, plan):
     """Seven rows a customer, exploded and not yet counted: files of any length may hold more than the driver takes."""
     text = plan(ENTRIES["contact_summary"](spark, "/root/testdata/sf0.001"))
     assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_base_broadcasts_lists_of_places_only(spark, plan):
+    """Regions, nations and branches may be sent to all tasks; what has a row per customer, account or loan is merged."""
+    text = plan(ENTRIES["base_wide"](spark, "/root/testdata/sf0.001"))
+    # orders and lines meet in the test input, before the job
+    sent = [line for line in text.split("\n") if "BroadcastHashJoin" in line and "orderkey" not in line]
+    assert len(sent) == 3 and sum("nationkey" in line or "regionkey" in line for line in sent) == 2
+    assert sum("SortMergeJoin" in line for line in text.split("\n")) == 17
