@@ -173,3 +173,9 @@ def test_base_broadcasts_lists_of_places_only(spark, plan):
     sent = [line for line in text.split("\n") if "BroadcastHashJoin" in line and "orderkey" not in line]
     assert len(sent) == 3 and sum("nationkey" in line or "regionkey" in line for line in sent) == 2
     assert sum("SortMergeJoin" in line for line in text.split("\n")) == 17
+
+
+def test_buyers_of_cards_meet_clusters_leads_and_calls_in_merges(spark, plan):
+    text = plan(ENTRIES["ptb_card"](spark, "/root/testdata/sf0.001"))
+    for key in ("bbn", "relatedtoid", "activity_key"):
+        assert any(f"SortMergeJoin [{key}#" in line for line in text.split("\n"))
