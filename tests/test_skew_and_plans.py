@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from daymark.operators import dedup, joins, reconcile, rollups, scd
 from daymark.operators.sequence import number_rows
-from daymark.showcase import ENTRIES
+from daymark.shared import settle
+from daymark.showcase import ENTRIES, marts
 
 HOT, REST = 30_000, 60_000
 
@@ -179,3 +180,14 @@ def test_buyers_of_cards_meet_clusters_leads_and_calls_in_merges(spark, plan):
     text = plan(ENTRIES["ptb_card"](spark, "/root/testdata/sf0.001"))
     for key in ("bbn", "relatedtoid", "activity_key"):
         assert any(f"SortMergeJoin [{key}#" in line for line in text.split("\n"))
+
+
+@pytest.mark.parametrize("name", ["stp_card"])
+def test_offers_build_their_base_without_guessed_broadcasts(spark, plan, monkeypatch, name):
+    built = []
+    monkeypatch.setattr(marts, "STORED", {})
+    monkeypatch.setattr(marts, "settle", lambda df: built.append(plan(df)) or settle(df))
+    ENTRIES[name](spark, "/root/testdata/sf0.001")
+    lines = built[0].split("\n")
+    assert len(built) == 1 and sum("SortMergeJoin" in line for line in lines) == 17
+    assert sum("BroadcastHashJoin" in line and "orderkey" not in line for line in lines) == 3
