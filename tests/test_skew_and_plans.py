@@ -191,3 +191,9 @@ def test_offers_build_their_base_without_guessed_broadcasts(spark, plan, monkeyp
     lines = built[0].split("\n")
     assert len(built) == 1 and sum("SortMergeJoin" in line for line in lines) == 17
     assert sum("BroadcastHashJoin" in line and "orderkey" not in line for line in lines) == 3
+
+
+@pytest.mark.parametrize("name", ["ptb_auto"])
+def test_buyers_meet_their_scores_in_a_merge(spark, plan, name):
+    lines = plan(ENTRIES[name](spark, "/root/testdata/sf0.001")).split("\n")
+    assert [line.split("- ")[1].split(" ")[0] for line in lines if "LeftOuter" in line] == ["SortMergeJoin"]
