@@ -193,7 +193,7 @@ def test_offers_build_their_base_without_guessed_broadcasts(spark, plan, monkeyp
     assert sum("BroadcastHashJoin" in line and "orderkey" not in line for line in lines) == 3
 
 
-@pytest.mark.parametrize("name", ["ptb_auto"])
+@pytest.mark.parametrize("name", ["ptb_auto", "ptb_home"])
 def test_buyers_meet_their_scores_in_a_merge(spark, plan, name):
     lines = plan(ENTRIES[name](spark, "/root/testdata/sf0.001")).split("\n")
     assert [line.split("- ")[1].split(" ")[0] for line in lines if "LeftOuter" in line] == ["SortMergeJoin"]
