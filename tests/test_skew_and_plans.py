@@ -182,7 +182,7 @@ def test_buyers_of_cards_meet_clusters_leads_and_calls_in_merges(spark, plan):
         assert any(f"SortMergeJoin [{key}#" in line for line in text.split("\n"))
 
 
-@pytest.mark.parametrize("name", ["stp_card", "stp_home"])
+@pytest.mark.parametrize("name", ["stp_card", "stp_home", "stp_auto"])
 def test_offers_build_their_base_without_guessed_broadcasts(spark, plan, monkeypatch, name):
     built = []
     monkeypatch.setattr(marts, "STORED", {})
